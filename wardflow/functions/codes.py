@@ -1,0 +1,35 @@
+"""Code-prefix rules compiled to column predicates.
+
+A rule set is a list of ``CodeRule`` (category, version, prefix length, and
+either a value set or a closed string range). Each category becomes one
+boolean expression over (code, version); Spark turns large IN lists into hash
+sets, so evaluating all categories is one projection per row, no join.
+"""
+
+from __future__ import annotations
+
+from collections import OrderedDict
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def rule_predicate(rule, code: Column, version: Column) -> Column:
+    head = F.substring(code, 1, rule.prefix_len)
+    if rule.values:
+        test = head == rule.values[0] if len(rule.values) == 1 else head.isin(*rule.values)
+    else:
+        # binary string order, no padding: '425' is not between '4254' and '4259'
+        test = head.between(rule.lo, rule.hi)
+    return (version == rule.version) & test
+
+
+def category_predicates(rules, code, version) -> "OrderedDict[str, Column]":
+    """category -> OR of its rules, in first-seen order."""
+    code = F.col(code) if isinstance(code, str) else code
+    version = F.col(version) if isinstance(version, str) else version
+    out: "OrderedDict[str, Column]" = OrderedDict()
+    for rule in rules:
+        p = rule_predicate(rule, code, version)
+        out[rule.category] = out[rule.category] | p if rule.category in out else p
+    return out

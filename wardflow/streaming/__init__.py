@@ -1,0 +1,7 @@
+"""Streaming.
+
+The feature pipeline this package rebuilds is batch only: every step is a
+batch SELECT over stored tables or a batch file read. There are no streams,
+watermarks or stateful operators to carry over, so this subpackage is empty on
+purpose (see README, "Not built").
+"""
