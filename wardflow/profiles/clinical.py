@@ -138,6 +138,26 @@ MODEL_DATA_COLUMNS = [
     "age", "charlson_comorbidity_index",
 ]
 
+# Spark types of the feature table (the output contract).
+MODEL_DATA_TYPES = {
+    "subject_id": "bigint", "hadm_id": "bigint", "race": "string",
+    "admittime": "timestamp_ntz", "dischtime": "timestamp_ntz", "hospital_expire_flag": "int",
+    "readmission_flag": "int",
+    "num_procedures": "bigint", "num_unique_procedures": "bigint", "num_unique_icd_codes": "bigint",
+    "num_unique_drugs": "bigint", "num_prescribed_days": "bigint", "num_prescription_records": "bigint",
+    "num_hospital_admissions": "bigint",
+    "proc_icd_codes": "string", "diag_icd_codes": "string", "drg_concat": "string",
+    "top_drg_code": "string", "top_drg_type": "string", "top_drg_severity": "int", "top_drg_mortality": "int",
+    "num_emar_medications": "bigint", "num_abnormal_labevents": "bigint",
+    "num_prev_emergency": "bigint", "num_prev_non_emergency": "bigint",
+    "num_prev_general_practice": "bigint", "num_prev_general_surgery": "bigint",
+    "num_prev_internal_medicine": "bigint",
+    "age": "int", "charlson_comorbidity_index": "int",
+}
+
+# Name of the row-index column pandas writes in front of an exported frame.
+CSV_INDEX_COLUMN = "Unnamed: 0"
+
 # Columns removed before modelling: identifiers, times, free-text code sequences.
 # drg_concat and top_drg_code are high-cardinality text with no numeric form and
 # are removed as well (see README, "Training frame").
