@@ -2,24 +2,107 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.codes import category_predicates
+from wardflow.functions.codes import rule_predicate
 from wardflow.functions.scores import score_bands, weighted_index
+from wardflow.sources.local import local_frame
 
 
-def code_flags(events: DataFrame, key: str, code: str, version: str, rules) -> DataFrame:
-    """Per key, one 0/1 flag per rule category: 1 if any of the key's codes
-    matches the category for its version.
+def _categories(rules) -> list[str]:
+    cats: list[str] = []
+    for r in rules:
+        if r.category not in cats:
+            cats.append(r.category)
+    return cats
+
+
+def rule_tables(spark: SparkSession, rules) -> dict[int, DataFrame]:
+    """The value-set rules as small lookup tables, one per prefix length:
+    (version, prefix) -> bit mask of the categories that list this prefix.
+    Their size is fixed by the rule set (a few hundred rows), independent of
+    the data, so they are always broadcast."""
+    cats = _categories(rules)
+    if len(cats) > 62:
+        raise ValueError("at most 62 categories fit in one mask")
+    bit = {c: 1 << i for i, c in enumerate(cats)}
+    rows = [(r.version, r.prefix_len, v, bit[r.category]) for r in rules if r.values for v in r.values]
+    df = local_frame(spark, rows, "version int, n int, prefix string, bit long")
+    out = {}
+    for n in sorted({r[1] for r in rows}):
+        out[n] = (df.where(F.col("n") == n).groupBy("version", "prefix")
+                  .agg(F.bit_or("bit").alias("mask")))
+    return out
+
+
+def range_mask(rules, code: Column, version: Column) -> Column:
+    """Bit mask of the range rules a code matches (a handful of comparisons)."""
+    cats = _categories(rules)
+    mask = F.lit(0).cast("long")
+    for r in rules:
+        if not r.values:
+            b = 1 << cats.index(r.category)
+            mask = mask.bitwiseOR(F.when(rule_predicate(r, code, version), F.lit(b).cast("long")).otherwise(0))
+    return mask
+
+
+# Above this many distinct matching codes the code map is joined by shuffle
+# instead of being broadcast.
+BROADCAST_MAX_CODES = 1_000_000
+
 
-    The rules are compiled into column predicates (one projection, no join);
-    MAX over 0/1 is combined map-side, so each task sends at most one row per
-    key to the shuffle.
+def code_map(events: DataFrame, code: str, version: str, rules) -> DataFrame:
+    """(version, code, mask) for the distinct codes that match any category.
+
+    The rules are evaluated once per distinct code, not once per row: value
+    sets by hash lookup in the broadcast rule tables (one probe per prefix
+    length), ranges by a few comparisons. DISTINCT is combined map-side, so
+    only each task's distinct codes are shuffled.
+    """
+    spark = events.sparkSession
+    codes = (events.select(F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
+             .where(F.col("_c").isNotNull() & F.col("_v").isNotNull()).distinct())
+    masks = [range_mask(rules, F.col("_c"), F.col("_v"))]
+    for n, table in rule_tables(spark, rules).items():
+        t = table.select(F.col("version").alias(f"_tv{n}"), F.col("prefix").alias(f"_tp{n}"),
+                         F.col("mask").alias(f"_m{n}"))
+        codes = codes.withColumn(f"_p{n}", F.substring("_c", 1, n))
+        codes = codes.join(F.broadcast(t), (codes["_v"] == t[f"_tv{n}"]) & (codes[f"_p{n}"] == t[f"_tp{n}"]),
+                           "left")
+        masks.append(F.coalesce(F.col(f"_m{n}"), F.lit(0).cast("long")))
+    mask = masks[0]
+    for m in masks[1:]:
+        mask = mask.bitwiseOR(m)
+    return codes.select("_v", "_c", mask.alias("_mask")).where(F.col("_mask") != 0)
+
+
+def code_masks(events: DataFrame, key: str, code: str, version: str, rules) -> DataFrame:
+    """(key, mask): per key, the OR of the category bits of all its codes;
+    keys without any matching code get no row.
+
+    The per-code map is written once to the checkpoint folder and its row
+    count checked: up to ``BROADCAST_MAX_CODES`` rows it is broadcast (each
+    event row then costs one hash probe and no shuffle), beyond that it is
+    joined by shuffle. Rows whose code matches nothing drop out at the join,
+    and BIT_OR is combined map-side, so each task sends at most one row per
+    key to the final shuffle.
     """
-    preds = category_predicates(rules, code, version)
-    flags = events.select(key, *[F.when(p, 1).otherwise(0).alias(cat) for cat, p in preds.items()])
-    return flags.groupBy(key).agg(*[F.max(cat).alias(cat) for cat in preds])
+    cmap = code_map(events, code, version, rules).checkpoint(eager=True)
+    small = cmap.count() <= BROADCAST_MAX_CODES
+    ev = events.select(F.col(key).alias("_k"), F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
+    hits = ev.join(F.broadcast(cmap) if small else cmap, ["_v", "_c"], "inner")
+    return hits.groupBy("_k").agg(F.bit_or("_mask").alias("_mask")).withColumnRenamed("_k", key)
+
+
+def code_flags(events: DataFrame, key: str, code: str, version: str, rules) -> DataFrame:
+    """Per key, one 0/1 flag per rule category: 1 if any of the key's codes
+    matches the category for its version. Keys without a matching code get
+    no row (``flags_for_all`` fills in zeros)."""
+    cats = _categories(rules)
+    m = code_masks(events, key, code, version, rules)
+    return m.select(key, *[F.shiftright("_mask", i).bitwiseAND(1).cast("int").alias(c)
+                           for i, c in enumerate(cats)])
 
 
 def flags_for_all(episodes: DataFrame, flags: DataFrame, key: str, categories, keep) -> DataFrame:

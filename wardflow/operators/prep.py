@@ -30,6 +30,24 @@ def category_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
     return [r[0] for r in vals]
 
 
+def categories_of(df: DataFrame, columns, max_values: int = 1000) -> dict[str, list]:
+    """Sorted distinct non-NULL values of several categorical columns in one
+    job: (column, value) pairs are made distinct by Spark and at most
+    ``max_values`` per column (checked) reach the driver."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                for c in columns]))
+    rows = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
+            .limit(len(columns) * max_values + 1).collect())
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in rows:
+        out[r["c"]].append(r["v"])
+    for c, vals in out.items():
+        if len(vals) > max_values:
+            raise ValueError(f"{c!r} has more than {max_values} distinct values; not a one-hot candidate")
+        vals.sort()
+    return out
+
+
 def one_hot(df: DataFrame, column: str, values: list | None = None, prefix: str | None = None) -> DataFrame:
     """Replace ``column`` by one 0/1 int column per value, named
     ``<prefix>_<value>`` in sorted value order and appended at the end; a NULL

@@ -14,6 +14,7 @@ from wardflow.operators import metrics, models, prep
 from wardflow.plans import clinical as C
 from wardflow.profiles import clinical as P
 from wardflow.sources import io
+from wardflow.sources.local import local_frame
 from wardflow.sources.synthetic import tables
 from wardflow.sources.tables import Tables
 
@@ -21,16 +22,24 @@ ID = P.EPISODE
 LABEL = P.LABEL
 
 
-def imputed(t: Tables) -> DataFrame:
-    return prep.impute(C.model_data(t))
+def feature_table(t: Tables) -> DataFrame:
+    """The feature table, written once to the shared folder and read back;
+    the modelling steps all start from this copy (as from an export)."""
+    return io.store_and_reload(t.spark, {"model_data": C.model_data(t)}, "features")["model_data"]
 
 
-def training_frame(t: Tables) -> DataFrame:
+def imputed(t: Tables, features: DataFrame | None = None) -> DataFrame:
+    return prep.impute(C.model_data(t) if features is None else features)
+
+
+def training_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
     """Imputed feature table without identifiers, times and code text, with
     one-hot race and DRG type; ``hadm_id`` is kept as the row identity."""
-    df = imputed(t).drop(*[c for c in P.TRAINING_DROP if c != ID])
+    features = feature_table(t) if features is None else features
+    df = prep.impute(features).drop(*[c for c in P.TRAINING_DROP if c != ID])
+    values = prep.categories_of(df, P.CATEGORICAL)
     for c in P.CATEGORICAL:
-        df = prep.one_hot(df, c)
+        df = prep.one_hot(df, c, values[c])
     return df
 
 
@@ -38,8 +47,8 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (ID, LABEL, "split", "fold")]
 
 
-def split_frame(t: Tables) -> DataFrame:
-    return prep.balanced_split(training_frame(t), LABEL, ID)
+def split_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
+    return prep.balanced_split(training_frame(t, features), LABEL, ID)
 
 
 def stored_split(t: Tables) -> DataFrame:
@@ -93,7 +102,7 @@ def grid_search_table(t: Tables, names=("LogisticRegression",), grids=None) -> D
     for name in names:
         _, r = models.grid_search(train, feature_columns(train), LABEL, "fold", name, grids[name])
         rows.extend(r)
-    return t.spark.createDataFrame(rows, "model string, params string, mean_accuracy double")
+    return local_frame(t.spark, rows, "model string, params string, mean_accuracy double")
 
 
 def model_table(t: Tables, names=("LogisticRegression", "RandomForest", "GradientBoosting"), grids=None) -> DataFrame:
@@ -172,9 +181,10 @@ def _q(fn):
 
 
 def _one_hot(t):
-    df = C.model_data(t).select(ID, *P.CATEGORICAL)
+    df = feature_table(t).select(ID, *P.CATEGORICAL)
+    values = prep.categories_of(df, P.CATEGORICAL)
     for c in P.CATEGORICAL:
-        df = prep.one_hot(df, c)
+        df = prep.one_hot(df, c, values[c])
     return df
 
 
@@ -188,8 +198,9 @@ def _stratified_folds(t):
 
 
 def _class_balance(t):
-    s = split_frame(t)
-    parts = [prep.class_shares(C.model_data(t), LABEL, "all"),
+    features = feature_table(t)
+    s = split_frame(t, features)
+    parts = [prep.class_shares(features, LABEL, "all"),
              prep.class_shares(s.where(F.col("split") == "train"), LABEL, "train"),
              prep.class_shares(s.where(F.col("split") == "test"), LABEL, "test")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -212,7 +223,7 @@ def _fnr(t):
 
 
 def _auc(t):
-    return metrics.roc_auc(rule_score(C.model_data(t)), LABEL, "score")
+    return metrics.roc_auc(rule_score(feature_table(t)), LABEL, "score")
 
 
 def _lr(t):

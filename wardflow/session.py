@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Methods above 8000 bytes of bytecode are never JIT-compiled by the JVM;
+    # fall back to smaller, non-fused code for such stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -117,8 +117,13 @@ class ParquetTables(Tables):
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def stage_tables(tables: Tables, out_root: str, names=TABLE_NAMES) -> ParquetTables:
-    """Write every table once to ``out_root`` and return a provider over the copy."""
+def stage_tables(tables: Tables, out_root: str, names=TABLE_NAMES, partitions: int | None = None) -> ParquetTables:
+    """Write every table once to ``out_root`` (optionally spread evenly over
+    ``partitions`` files, so later scans run in parallel) and return a
+    provider over the copy."""
     for name in names:
-        tables.get(name).write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
+        df = tables.get(name)
+        if partitions:
+            df = df.repartition(partitions)
+        df.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
     return ParquetTables(tables.spark, out_root)
