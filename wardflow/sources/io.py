@@ -38,7 +38,8 @@ def model_data_schema(with_index: bool = False) -> T.StructType:
 
 def write_feature_csv(df: DataFrame, path: str) -> str:
     """CSV with a header line. NULL is written as an empty field and an empty
-    string as "" so both survive the round trip."""
+    string as "" (they differ in the file; read back, both are NULL, as with
+    the usual pandas CSV reader)."""
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
     return path
 
