@@ -91,3 +91,49 @@ def top_record(events: DataFrame, keys, payload: list[str], order_desc: list[str
     key = F.struct(*[F.col(c) for c in [*order_desc, *tie]])
     value = F.struct(*[F.col(c) for c in payload])
     return events.groupBy(*keys).agg(F.max_by(value, key).alias(name))
+
+
+def sequence_profile(events: DataFrame, keys, token, order, name: str, sep: str = " ",
+                     count_name: str | None = None, distinct_name: str | None = None,
+                     mask: str | None = None, mask_name: str | None = None,
+                     top: tuple | None = None) -> DataFrame:
+    """``sequence_by_key`` plus, from the same rows in the same two-step
+    aggregate (one scan, one shuffle of partial results):
+
+    count_name    -- COUNT(token), NULLs skipped
+    distinct_name -- COUNT(DISTINCT token), exact
+    mask_name     -- BIT_OR(mask) (NULL when no row has a mask)
+    top           -- (payload, order_desc, name): the row picked by ``top_record``
+
+    Step one works per (key, order value): the piece of the sequence, the
+    count, the set of tokens, the OR of masks and the best row with its sort
+    key. Step two merges those per key: pieces in order, counts summed, sets
+    united, masks OR-ed, and the best of the best rows. Each merge equals the
+    one-step aggregate over all rows of the key.
+    """
+    token_c, order_c = _c(token), _c(order)
+    extra = []
+    if mask is not None:
+        extra.append(F.col(mask).alias("_mask"))
+    if top is not None:
+        payload, order_desc, _ = top
+        tie = [c for c in payload if c not in order_desc]
+        extra.append(F.struct(*[F.col(c) for c in [*order_desc, *tie]]).alias("_tk"))
+        extra.append(F.struct(*[F.col(c) for c in payload]).alias("_tv"))
+    rows = events.select(*keys, order_c.alias("_o"), token_c.alias("_tok"), *extra)
+
+    step1 = [F.expr(f"listagg(_tok, '{sep}') WITHIN GROUP (ORDER BY _tok)").alias("_piece")]
+    step2 = [F.expr(f"listagg(_piece, '{sep}') WITHIN GROUP (ORDER BY _o ASC NULLS FIRST)").alias(name)]
+    if count_name:
+        step1.append(F.count("_tok").alias("_n"))
+        step2.append(F.sum("_n").cast("long").alias(count_name))
+    if distinct_name:
+        step1.append(F.collect_set("_tok").alias("_set"))
+        step2.append(F.size(F.array_distinct(F.flatten(F.collect_list("_set")))).cast("long").alias(distinct_name))
+    if mask is not None:
+        step1.append(F.bit_or("_mask").alias("_m"))
+        step2.append(F.bit_or("_m").alias(mask_name or mask))
+    if top is not None:
+        step1 += [F.max("_tk").alias("_bk"), F.max_by("_tv", "_tk").alias("_bv")]
+        step2.append(F.max_by("_bv", "_bk").alias(top[2]))
+    return rows.groupBy(*keys, "_o").agg(*step1).groupBy(*keys).agg(*step2)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.codes import rule_predicate
 from wardflow.functions.scores import score_bands, weighted_index
 from wardflow.sources.local import local_frame
 
@@ -36,15 +35,26 @@ def rule_tables(spark: SparkSession, rules) -> dict[int, DataFrame]:
     return out
 
 
-def range_mask(rules, code: Column, version: Column) -> Column:
-    """Bit mask of the range rules a code matches (a handful of comparisons)."""
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def range_mask(rules, code: str, version: str) -> Column:
+    """Bit mask of the range rules a code matches: per category one CASE over
+    the OR of its ranges (binary string order on the code prefix, no padding).
+    Built as one SQL expression, so the rule set costs one planner call."""
     cats = _categories(rules)
-    mask = F.lit(0).cast("long")
+    per_cat: dict[str, list[str]] = {}
     for r in rules:
         if not r.values:
-            b = 1 << cats.index(r.category)
-            mask = mask.bitwiseOR(F.when(rule_predicate(r, code, version), F.lit(b).cast("long")).otherwise(0))
-    return mask
+            per_cat.setdefault(r.category, []).append(
+                f"({version} = {int(r.version)} AND substring({code}, 1, {int(r.prefix_len)}) "
+                f"BETWEEN {_sql_str(r.lo)} AND {_sql_str(r.hi)})")
+    if not per_cat:
+        return F.lit(0).cast("long")
+    terms = [f"CASE WHEN {' OR '.join(conds)} THEN {1 << cats.index(c)}L ELSE 0L END"
+             for c, conds in per_cat.items()]
+    return F.expr(" | ".join(terms))
 
 
 # Above this many distinct matching codes the code map is joined by shuffle
@@ -63,7 +73,7 @@ def code_map(events: DataFrame, code: str, version: str, rules) -> DataFrame:
     spark = events.sparkSession
     codes = (events.select(F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
              .where(F.col("_c").isNotNull() & F.col("_v").isNotNull()).distinct())
-    masks = [range_mask(rules, F.col("_c"), F.col("_v"))]
+    masks = [range_mask(rules, "_c", "_v")]
     for n, table in rule_tables(spark, rules).items():
         t = table.select(F.col("version").alias(f"_tv{n}"), F.col("prefix").alias(f"_tp{n}"),
                          F.col("mask").alias(f"_m{n}"))
@@ -77,6 +87,30 @@ def code_map(events: DataFrame, code: str, version: str, rules) -> DataFrame:
     return codes.select("_v", "_c", mask.alias("_mask")).where(F.col("_mask") != 0)
 
 
+def with_code_mask(events: DataFrame, code: str, version: str, rules, how: str = "left",
+                   name: str = "_mask") -> DataFrame:
+    """``events`` plus the category bit mask of each row's code (``how="left"``:
+    NULL where the code matches nothing; ``"inner"``: such rows dropped).
+
+    The per-code map is written once to the checkpoint folder and its row
+    count checked: up to ``BROADCAST_MAX_CODES`` rows it is broadcast (each
+    event row then costs one hash probe and no shuffle), beyond that it is
+    joined by shuffle (AQE splits a skewed code's partition).
+    """
+    cmap = code_map(events, code, version, rules).checkpoint(eager=True)
+    small = cmap.count() <= BROADCAST_MAX_CODES
+    ev = events.select("*", F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
+    j = ev.join(F.broadcast(cmap) if small else cmap, ["_v", "_c"], how)
+    return j.select(*events.columns, F.col("_mask").alias(name))
+
+
+def unpack_flags(df: DataFrame, key: str, mask: str, rules) -> DataFrame:
+    """(key, mask) -> (key, one 0/1 int column per rule category)."""
+    cats = _categories(rules)
+    return df.select(key, *[F.shiftright(mask, i).bitwiseAND(1).cast("int").alias(c)
+                            for i, c in enumerate(cats)])
+
+
 def code_masks(events: DataFrame, key: str, code: str, version: str, rules) -> DataFrame:
     """(key, mask): per key, the OR of the category bits of all its codes;
     keys without any matching code get no row.
@@ -88,21 +122,15 @@ def code_masks(events: DataFrame, key: str, code: str, version: str, rules) -> D
     and BIT_OR is combined map-side, so each task sends at most one row per
     key to the final shuffle.
     """
-    cmap = code_map(events, code, version, rules).checkpoint(eager=True)
-    small = cmap.count() <= BROADCAST_MAX_CODES
-    ev = events.select(F.col(key).alias("_k"), F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
-    hits = ev.join(F.broadcast(cmap) if small else cmap, ["_v", "_c"], "inner")
-    return hits.groupBy("_k").agg(F.bit_or("_mask").alias("_mask")).withColumnRenamed("_k", key)
+    hits = with_code_mask(events.select(key, code, version), code, version, rules, how="inner")
+    return hits.groupBy(key).agg(F.bit_or("_mask").alias("_mask"))
 
 
 def code_flags(events: DataFrame, key: str, code: str, version: str, rules) -> DataFrame:
     """Per key, one 0/1 flag per rule category: 1 if any of the key's codes
     matches the category for its version. Keys without a matching code get
     no row (``flags_for_all`` fills in zeros)."""
-    cats = _categories(rules)
-    m = code_masks(events, key, code, version, rules)
-    return m.select(key, *[F.shiftright("_mask", i).bitwiseAND(1).cast("int").alias(c)
-                           for i, c in enumerate(cats)])
+    return unpack_flags(code_masks(events, key, code, version, rules), key, "_mask", rules)
 
 
 def flags_for_all(episodes: DataFrame, flags: DataFrame, key: str, categories, keep) -> DataFrame:

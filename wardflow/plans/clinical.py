@@ -157,16 +157,17 @@ def drg_sequence(t: Tables) -> DataFrame:
 
 
 DRG_PAYLOAD = ["drg_code", "drg_type", "drg_severity", "drg_mortality"]
+DRG_ORDER = ["drg_severity", "drg_mortality"]
 
 
 def drg_top(t: Tables) -> DataFrame:
     """The DRG row with the highest (severity, mortality), NULLs last."""
-    top = agg.top_record(t.drgcodes, KEYS, DRG_PAYLOAD, ["drg_severity", "drg_mortality"], "drg_info")
-    return top.select(*KEYS,
-                      F.col("drg_info.drg_code").alias("top_drg_code"),
-                      F.col("drg_info.drg_type").alias("top_drg_type"),
-                      F.col("drg_info.drg_severity").alias("top_drg_severity"),
-                      F.col("drg_info.drg_mortality").alias("top_drg_mortality"))
+    top = agg.top_record(t.drgcodes, KEYS, DRG_PAYLOAD, DRG_ORDER, "drg_info")
+    return top.select(*KEYS, *_drg_top_columns())
+
+
+def _drg_top_columns():
+    return [F.col(f"drg_info.{c}").alias(f"top_{c}") for c in DRG_PAYLOAD]
 
 
 def emar_count(t: Tables) -> DataFrame:
@@ -182,6 +183,31 @@ def lab_abnormal_count(t: Tables, drop_null_stay: bool = False) -> DataFrame:
     return agg.count_by_key(t.labevents, KEYS, "labevent_id", "num_abnormal_labevents", where=where)
 
 
+# ---------------------------------------------------------------------------
+# Fused per-source features: one scan and one aggregate per event table
+# ---------------------------------------------------------------------------
+
+def procedure_features(t: Tables) -> DataFrame:
+    """num_procedures, num_unique_procedures and proc_icd_codes."""
+    return agg.sequence_profile(t.procedures_icd, KEYS, "icd_code", "chartdate", "proc_icd_codes",
+                                count_name="num_procedures", distinct_name="num_unique_procedures")
+
+
+def diagnosis_features(t: Tables) -> DataFrame:
+    """num_unique_icd_codes, diag_icd_codes and ``_mask``, the OR of the
+    comorbidity category bits of the stay's codes."""
+    dx = codes.with_code_mask(t.diagnoses_icd, "icd_code", "icd_version", P.parse_rules())
+    return agg.sequence_profile(dx, KEYS, "icd_code", "seq_num", "diag_icd_codes",
+                                distinct_name="num_unique_icd_codes", mask="_mask")
+
+
+def drg_features(t: Tables) -> DataFrame:
+    """drg_concat and the four top-DRG columns."""
+    f = agg.sequence_profile(t.drgcodes, KEYS, _drg_pair(), _drg_pair(), "drg_concat",
+                             top=(DRG_PAYLOAD, DRG_ORDER, "drg_info"))
+    return f.select(*KEYS, "drg_concat", *_drg_top_columns())
+
+
 # ---------------------------------------------------------------------------
 # The feature table
 # ---------------------------------------------------------------------------
@@ -210,14 +236,12 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
         base = base.drop("readmission_flag").join(
             stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
 
+    dx = diagnosis_features(t)
     features = [
-        procedure_counts(t),
-        diag_distinct(t),
+        procedure_features(t),
+        dx.drop("_mask"),
         prescription_features(t),
-        proc_sequence(t),
-        diag_sequence(t),
-        drg_sequence(t),
-        drg_top(t),
+        drg_features(t),
         emar_count(t),
         lab_abnormal_count(t, drop_null_stay=True),
         prev_transfers(t),
@@ -229,19 +253,21 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
     age_table = stored.get("age")
     if age_table is None:
         age_table = age(t)
-    out = out.join(age_table.select(*KEYS, "age"), KEYS, "left")
-
+    cats = P.categories()
     if "comorbidity_index" in stored:
+        out = out.join(age_table.select(*KEYS, "age"), KEYS, "left")
         out = out.join(stored["comorbidity_index"].select(*KEYS, "charlson_comorbidity_index"), KEYS, "left")
     else:
-        rules = P.parse_rules()
-        flags = codes.code_flags(t.diagnoses_icd, P.EPISODE, "icd_code", "icd_version", rules)
-        # The index takes its age from the age table by stay id (as stored);
-        # a stay without an age row gets a NULL index.
-        ag = age_table.select(P.EPISODE, _age_score().alias("_age_score"))
-        out = out.join(flags, P.EPISODE, "left").join(ag, P.EPISODE, "left")
-        for c in P.categories():
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)))
+        # Flags are per stay id, as in the index's own definition: the stay's
+        # (few) per-key masks are OR-ed by hadm_id.
+        masks = dx.where(F.col("_mask").isNotNull()).groupBy(P.EPISODE).agg(F.bit_or("_mask").alias("_mask"))
+        flags = codes.unpack_flags(masks, P.EPISODE, "_mask", P.parse_rules())
+        # One join gives the age and the age band the index uses; a stay
+        # without an age row gets a NULL index.
+        out = out.join(age_table.select(*KEYS, "age", _age_score().alias("_age_score")), KEYS, "left")
+        out = out.join(flags, P.EPISODE, "left")
+        out = out.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cats else F.col(c)
+                           for c in out.columns])
         out = out.withColumn("charlson_comorbidity_index", _charlson("_age_score"))
 
     return out.where(F.col("deathtime").isNull()).select(*P.MODEL_DATA_COLUMNS)
