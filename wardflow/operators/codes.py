@@ -104,10 +104,11 @@ def with_code_mask(events: DataFrame, code: str, version: str, rules, how: str =
     return j.select(*events.columns, F.col("_mask").alias(name))
 
 
-def unpack_flags(df: DataFrame, key: str, mask: str, rules) -> DataFrame:
-    """(key, mask) -> (key, one 0/1 int column per rule category)."""
+def unpack_flags(df: DataFrame, key, mask: str, rules) -> DataFrame:
+    """(key..., mask) -> (key..., one 0/1 int column per rule category)."""
     cats = _categories(rules)
-    return df.select(key, *[F.shiftright(mask, i).bitwiseAND(1).cast("int").alias(c)
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.select(*keys, *[F.shiftright(mask, i).bitwiseAND(1).cast("int").alias(c)
                             for i, c in enumerate(cats)])
 
 

@@ -212,6 +212,17 @@ def drg_features(t: Tables) -> DataFrame:
 # The feature table
 # ---------------------------------------------------------------------------
 
+class _KeyedEvents:
+    """The event tables restricted to rows with a stay id. (A row with a stay
+    id but no patient id still counts for the flags, which are per stay id.)"""
+
+    def __init__(self, t: Tables):
+        self._t = t
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return getattr(self._t, name).where(F.col(P.EPISODE).isNotNull())
+
+
 def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
                days: int = 30, unit: str = "elapsed") -> DataFrame:
     """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``).
@@ -236,14 +247,17 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
         base = base.drop("readmission_flag").join(
             stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
 
-    dx = diagnosis_features(t)
+    # Event rows without a stay id join to no stay: they are dropped before
+    # aggregating, so they never form one large, useless group (T18).
+    keyed = _KeyedEvents(t)
+    dx = diagnosis_features(keyed)
     features = [
-        procedure_features(t),
+        procedure_features(keyed),
         dx.drop("_mask"),
-        prescription_features(t),
-        drg_features(t),
-        emar_count(t),
-        lab_abnormal_count(t, drop_null_stay=True),
+        prescription_features(keyed),
+        drg_features(keyed),
+        emar_count(keyed),
+        lab_abnormal_count(keyed),
         prev_transfers(t),
     ]
     out = base
@@ -259,13 +273,15 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
         out = out.join(stored["comorbidity_index"].select(*KEYS, "charlson_comorbidity_index"), KEYS, "left")
     else:
         # Flags are per stay id, as in the index's own definition: the stay's
-        # (few) per-key masks are OR-ed by hadm_id.
+        # (few) per-key masks are OR-ed by hadm_id, then given the stay keys
+        # from the admissions, so that the wide rows need no new shuffle.
         masks = dx.where(F.col("_mask").isNotNull()).groupBy(P.EPISODE).agg(F.bit_or("_mask").alias("_mask"))
-        flags = codes.unpack_flags(masks, P.EPISODE, "_mask", P.parse_rules())
+        masks = t.admissions.select(*KEYS).join(masks, P.EPISODE, "inner")
+        flags = codes.unpack_flags(masks, KEYS, "_mask", P.parse_rules())
         # One join gives the age and the age band the index uses; a stay
         # without an age row gets a NULL index.
         out = out.join(age_table.select(*KEYS, "age", _age_score().alias("_age_score")), KEYS, "left")
-        out = out.join(flags, P.EPISODE, "left")
+        out = out.join(flags, KEYS, "left")
         out = out.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cats else F.col(c)
                            for c in out.columns])
         out = out.withColumn("charlson_comorbidity_index", _charlson("_age_score"))
