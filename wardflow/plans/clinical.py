@@ -276,7 +276,10 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
         # (few) per-key masks are OR-ed by hadm_id, then given the stay keys
         # from the admissions, so that the wide rows need no new shuffle.
         masks = dx.where(F.col("_mask").isNotNull()).groupBy(P.EPISODE).agg(F.bit_or("_mask").alias("_mask"))
-        masks = t.admissions.select(*KEYS).join(masks, P.EPISODE, "inner")
+        # The final grouping makes the flags provably unique per stay key, so
+        # queries that use none of the flags drop this join branch entirely.
+        masks = (t.admissions.select(*KEYS).join(masks, P.EPISODE, "inner")
+                 .groupBy(*KEYS).agg(F.bit_or("_mask").alias("_mask")))
         flags = codes.unpack_flags(masks, KEYS, "_mask", P.parse_rules())
         # One join gives the age and the age band the index uses; a stay
         # without an age row gets a NULL index.
