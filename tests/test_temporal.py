@@ -152,3 +152,49 @@ def test_death_filter_comes_last(spark):
     assert got[1]["charlson_comorbidity_index"] == 0 and got[1]["age"] == 50
     assert md.columns == C.P.MODEL_DATA_COLUMNS
     assert {f.name: f.dataType.simpleString() for f in md.schema.fields} == C.P.MODEL_DATA_TYPES
+
+
+def test_feature_table_flags_per_stay_id_and_null_stay_events(spark):
+    """Flags follow the stay id alone (a diagnosis row without patient id still
+    counts); events without a stay id change nothing; the fused features equal
+    the standalone queries."""
+    adm = spark.createDataFrame([
+        (1, 1, T(2100, 1, 1), T(2100, 1, 2), None, "EMERGENCY ROOM", "X", 0),
+        (1, 2, T(2100, 2, 1), T(2100, 2, 3), None, "PHYSICIAN REFERRAL", "X", 0),
+    ], ADM)
+    dx = spark.createDataFrame([
+        (1, 1, 1, "I21", 10), (None, 1, 2, "B20", 10), (1, 1, 2, "4254", 9), (1, 1, 3, "7999", 9),
+        (1, None, 1, "042", 9), (1, 2, 1, None, 10),
+    ], "subject_id long, hadm_id long, seq_num int, icd_code string, icd_version int")
+    frames = {
+        "patients": spark.createDataFrame([(1, 50, 2100)], "subject_id long, anchor_age int, anchor_year int"),
+        "diagnoses_icd": dx,
+        "procedures_icd": spark.createDataFrame(
+            [(1, 1, dt.date(2100, 1, 1), "P1"), (1, 1, dt.date(2100, 1, 1), "P1"), (1, None, None, "P9")],
+            "subject_id long, hadm_id long, chartdate date, icd_code string"),
+        "prescriptions": spark.createDataFrame([], "subject_id long, hadm_id long, drug string, starttime timestamp_ntz, stoptime timestamp_ntz"),
+        "drgcodes": spark.createDataFrame(
+            [(1, 1, "HCFA", "100", 2, 3), (1, 1, "APR", "200", 2, 4), (1, None, "APR", "900", 9, 9)],
+            "subject_id long, hadm_id long, drg_type string, drg_code string, drg_severity int, drg_mortality int"),
+        "emar": spark.createDataFrame([], "subject_id long, hadm_id long, medication string, event_txt string"),
+        "labevents": spark.createDataFrame([(1, 1, None, "abnormal")], "labevent_id long, subject_id long, hadm_id long, flag string"),
+        "transfers": spark.createDataFrame([], "subject_id long, careunit string, intime timestamp_ntz"),
+        "admissions": adm,
+    }
+    t = Fixed(spark, frames)
+    got = {r["hadm_id"]: r for r in C.model_data(t).collect()}
+    s1 = got[1]
+    # age band 0 + myocardial infarct 1 + heart failure 1 + AIDS 6 (the AIDS row has no patient id)
+    assert s1["charlson_comorbidity_index"] == 8
+    assert s1["diag_icd_codes"] == "I21 4254 7999"       # the row without patient id is its own (NULL, 1) group
+    assert s1["num_unique_icd_codes"] == 3
+    assert (s1["num_procedures"], s1["num_unique_procedures"], s1["proc_icd_codes"]) == (2, 1, "P1 P1")
+    assert (s1["top_drg_code"], s1["top_drg_type"], s1["drg_concat"]) == ("200", "APR", "APR 200 HCFA 100")
+    assert s1["num_abnormal_labevents"] is None
+    s2 = got[2]
+    assert s2["diag_icd_codes"] is None and s2["num_unique_icd_codes"] == 0
+    assert s2["charlson_comorbidity_index"] == 0
+    ci = {r["hadm_id"]: r for r in C.comorbidity_index(t).collect()}
+    assert (ci[1]["myocardial_infarct"], ci[1]["aids"], ci[1]["congestive_heart_failure"]) == (1, 1, 1)
+    for h in (1, 2):
+        assert got[h]["charlson_comorbidity_index"] == ci[h]["charlson_comorbidity_index"]
