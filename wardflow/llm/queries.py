@@ -5,17 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import packing, quality, warc
+from wardflow.llm import language, packing, pii, probminhash, projections, quality, warc
 from wardflow.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    found = language.predict(docs, training=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_verdicts(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", *quality.STATS, "base_failed", "kept")
@@ -25,4 +37,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_roundtrip(read_table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_pack, op7_quality, op8_warc)}
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.embedding_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.detect(read_table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_probminhash, op2_pack, op3_language, op7_quality, op8_warc, op9_embeddings, op10_pii)}
