@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, linededup, packing, pii, probminhash, projections, quality, toolcalls, warc
+from wardflow.llm import language, linededup, packing, pieces, pii, probminhash, projections, quality, toolcalls, warc
 from wardflow.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.roundtrip(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "same")
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_removed", "text")
@@ -88,4 +93,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_probminhash, op2_pack, op3_language, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii)}
+    op1_probminhash, op2_pack, op3_language, op4_pieces, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii)}
