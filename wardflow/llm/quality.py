@@ -159,12 +159,9 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                       (~F.col("base_failed") & (F.coalesce(F.col("d"), F.lit(0.0)) <= cut)).alias("kept"))
 
 
-def kept_documents(docs: DataFrame, doc_id: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they were.
-
-    Equal rows have equal verdicts, so verdicts are joined by document id; rows
-    with a null id are judged alike.
-    """
-    verdicts = quality_verdicts(docs, doc_id, **parameters)
-    kept = verdicts.filter("kept").groupBy("doc_id").agg(F.count("*").alias("n")).select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_id"]), "left_semi")
+def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they were. Rows of one id and text stay or go together."""
+    key = F.xxhash64(F.col(text))
+    verdicts = quality_verdicts(docs.withColumn("_key", key), doc_id, text, carry=("_key",), **parameters)
+    kept = verdicts.filter("kept").select(F.col("doc_id").alias("_id"), "_key").distinct()
+    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_id"]) & (key == kept["_key"]), "left_semi")
