@@ -10,11 +10,12 @@ all weights are 1). Arrivals later than the last component's first one cannot
 matter, so a shingle's process ends there.
 
 Documents that agree in all rows of one of the bands are candidates. Of each
-bucket, every member is verified against the smallest one on whole shingle sets;
-links are joined into components. Members of a bucket that are then still in
-another component than its smallest member are verified against every member of
-other components in the bucket, so no candidate pair is left undecided, and
-members of a large group of copies aren't paired with each other.
+bucket, every member is verified on whole shingle sets against the one that
+shares most buckets with others, its star; links are joined into components.
+Members that are then in another component than a star of theirs are compared
+with everything their buckets connect them to, in blocks of a matrix product
+that return only links that join components. So no candidate pair is left
+undecided, and no group of copies is written out in pairs.
 
 With ``bands`` 28 of ``rows`` 4, a pair at similarity 0.8 is a candidate with
 probability 1 - 4e-7.
@@ -36,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.blocks import compared
 from wardflow.llm.components import connected_components
 from wardflow.llm.scratch import stored
 
@@ -194,8 +196,60 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         task, "a long, b long")
 
 
+def _indicators(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """0/1 matrices of both sides over the elements that occur more than once, some columns at a time."""
+    sides = [*left, *right]
+    sizes = [len(x) for x in sides]
+    elements, column, times = np.unique(np.concatenate(sides), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    use = times[column] > 1
+    row, column = np.repeat(np.arange(len(sides)), sizes)[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    width = 8192
+    for start in range(0, int((times > 1).sum()), width):
+        part = slice(*np.searchsorted(column, (start, start + width)))
+        matrix = np.zeros((len(sides), width), dtype=np.float32)
+        matrix[row[part], column[part] - start] = 1
+        yield matrix[:len(left)], matrix[len(left):]
+
+
+def block_links(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float,
+                unit: bool) -> Iterator[pd.DataFrame]:
+    """Links between rows of different components, at least one of them apart, without those that join what is joined."""
+    other = left if right is None else right
+    common = np.zeros((len(left), len(other)), dtype=np.float64)
+    for a, b in _indicators(list(left["h"]), [] if right is None else list(right["h"])):
+        common += a @ (a if right is None else b).T
+    sizes = left["h"].map(len).to_numpy()[:, None], other["h"].map(len).to_numpy()[None, :]
+    # With unit weights the counts decide; with others, elements in common are needed to begin with.
+    near = common / (sizes[0] + sizes[1] - common) >= threshold - 1e-9 if unit else common > 0
+    ca, cb = left["c"].to_numpy(), other["c"].to_numpy()
+    near &= (ca[:, None] != cb[None, :]) & (left["apart"].to_numpy()[:, None] | other["apart"].to_numpy()[None, :])
+    if right is None:
+        near = np.triu(near, 1)
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    links = []
+    a, b = left["node"].to_numpy(), other["node"].to_numpy()
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+        x, y = find(ca[i]), find(cb[j])
+        if x != y and (unit or probability_jaccard(left["h"].iloc[i], left["w"].iloc[i], other["h"].iloc[j],
+                                                   other["w"].iloc[j]) >= threshold - 1e-9):
+            root[x] = y
+            links.append((a[i], b[j]))
+    yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
-                    threshold: float = 0.8, bands: int = 28, rows: int = 4, weighting: str = "unit") -> DataFrame:
+                    threshold: float = 0.8, bands: int = 28, rows: int = 4, weighting: str = "unit",
+                    block: int = 512) -> DataFrame:
     """``doc_id``, ``class_id`` (the smallest id of its class) and ``kept``, one row per row of ``docs``."""
     spark = docs.sparkSession
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -205,8 +259,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
     texts = stored(alike.withColumn("node", F.xxhash64("fp")), "pmh-texts")
     member = texts.select("node", F.posexplode("keys").alias("band", "key"))
-    bucket = member.groupBy("band", "key").agg(F.min("node").alias("star"), F.count("*").alias("n")).filter("n > 1")
-    member = stored(member.join(bucket.select("band", "key", "star"), ["band", "key"]), "pmh-buckets")
+    bucket = member.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    member = stored(member.join(bucket, ["band", "key"]), "pmh-shared")
+    # The star of a bucket is its member that shares most buckets with others.
+    company = member.groupBy("node").agg(F.sum("n").alias("company"))
+    star = member.join(company, "node").groupBy("band", "key").agg(
+        F.max(F.struct("company", "node"))["node"].alias("star"))
+    member = stored(member.join(star, ["band", "key"]).select("node", "star"), "pmh-buckets")
 
     # Shingle sets of the texts that share a bucket.
     wanted = texts.select("doc_id", "fp", "node").join(member.select("node").distinct(), "node")
@@ -215,23 +274,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     chosen = rows_in.filter("text is not null").join(F.broadcast(wanted) if few else wanted, "doc_id")
     sets = stored(shingle_sets(chosen, width, weighting).dropDuplicates(["node"]), "pmh-shingles")
 
-    pairs = member.filter("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct()
+    pairs = stored(member.filter("node <> star").select(F.col("node").alias("a"), F.col("star").alias("b")).distinct(),
+                   "pmh-pairs")
     links = stored(verified(pairs, sets, threshold), "pmh-links")
     found = stored(connected_components(links, "pmh-1"), "pmh-components")
 
-    # Members that the star of their bucket doesn't reach, against the other components there.
-    placed = (member.join(found.withColumnRenamed("component", "c"), "node", "left")
-              .join(found.select(F.col("node").alias("star"), F.col("component").alias("sc")), "star", "left")
-              .withColumns({"c": F.coalesce("c", "node"), "sc": F.coalesce("sc", "star")}))
-    apart = placed.filter("c <> sc").select("band", "key", "node", "c")
-    other = placed.filter("node <> star").select("band", "key", F.col("node").alias("node2"), F.col("c").alias("c2"),
-                                                 (F.col("c") != F.col("sc")).alias("apart2"))
-    rest = apart.join(other, ["band", "key"]).filter("c <> c2 and (not apart2 or node < node2)")
-    rest = stored(rest.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(),
-                  "pmh-rest")
-    more = stored(verified(rest, sets, threshold), "pmh-more-links")
-    if not more.isEmpty():
-        found = connected_components(links.union(more), "pmh-2")
+    # Members that a star of theirs doesn't reach are apart; they are compared with all that buckets connect them to.
+    placed = (pairs.join(found.select(F.col("node").alias("a"), F.col("component").alias("c")), "a", "left")
+              .join(found.select(F.col("node").alias("b"), F.col("component").alias("sc")), "b", "left"))
+    apart = placed.filter(F.coalesce("c", "a") != F.coalesce("sc", "b")).select(F.col("a").alias("node")).distinct()
+    apart = stored(apart.withColumn("apart", F.lit(True)), "pmh-apart")
+    if not apart.isEmpty():
+        clusters = stored(connected_components(pairs, "pmh-reach").withColumnRenamed("component", "cluster"), "pmh-clusters")
+        open_ = clusters.join(apart, "node").select("cluster").distinct()
+        rows = (clusters.join(open_, "cluster").join(apart, "node", "left").join(found, "node", "left").join(sets, "node")
+                .select("cluster", "node", F.coalesce("component", "node").alias("c"),
+                        F.coalesce("apart", F.lit(False)).alias("apart"), "h", "w"))
+        unit = weighting == "unit"
+        more = compared(rows, "cluster", "node", block, "a long, b long",
+                        lambda left, right: block_links(left, right, threshold, unit))
+        found = connected_components(links.union(stored(more, "pmh-more-links")), "pmh-2")
 
     joined = texts.select("fp", "node", "doc_id").join(found, "node", "left").select(
         "fp", "doc_id", F.coalesce("component", "node").alias("component"))
