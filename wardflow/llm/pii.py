@@ -319,24 +319,29 @@ def span_digests(found: DataFrame) -> DataFrame:
                         span_text(F.col("spans")).alias("spans"))
 
 
-@F.pandas_udf("string")
-def _replaced(bodies: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for body, found in zip(bodies, spans):
-        if found is None or not len(found):
-            out.append(body)
-            continue
-        parts, at = [], 0
-        for s in found:  # overlapping spans are replaced as one, named for the first
-            if s["start"] >= at:
-                parts += [body[at:s["start"]], f"<{s['kind']}>"]
-            at = max(at, s["end"])
-        out.append("".join([*parts, body[at:]]))
-    return pd.Series(out, dtype=object)
+def replaced(text: Column, spans: Column) -> Column:
+    """The text with its spans (in order) replaced by their kinds; overlapping ones as one, named for the first."""
+
+    @F.pandas_udf("string")
+    def replace(bodies: pd.Series, found: pd.Series) -> pd.Series:
+        out = []
+        for body, own in zip(bodies, found):
+            if own is None or not len(own):
+                out.append(body)
+                continue
+            parts, at = [], 0
+            for s in own:
+                if s["start"] >= at:
+                    parts += [body[at:s["start"]], f"<{s['kind']}>"]
+                at = max(at, s["end"])
+            out.append("".join([*parts, body[at:]]))
+        return pd.Series(out, dtype=object)
+
+    return replace(text, spans)
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span found in ``text`` replaced by its kind in angle brackets; other columns as they were."""
-    rows = stored(docs.select(*docs.columns, candidate_spans(F.col(text)).alias("_spans")), "pii-texts")
-    weights = trained(rows.select(F.col("_spans").alias("spans")))
-    return rows.withColumn(text, _replaced(F.col(text), _chosen(weights, "_spans"))).drop("_spans")
+    rows = stored(docs.select(F.struct(*docs.columns).alias("row"), candidate_spans(F.col(text)).alias("spans")), "pii-texts")
+    clean = replaced(F.col("row")[text], _chosen(trained(rows)))
+    return rows.select(*[(clean if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
