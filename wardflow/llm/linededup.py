@@ -70,12 +70,15 @@ def drop_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     out = (lines.join(found, "h").filter(~first).groupBy("doc", "body")
            .agg(F.collect_set("pos").alias("_out")))
     out = out.select(F.col("doc").alias("_doc"), F.col("body").alias("_body"), "_out")
-    held = docs.join(out, (_order(F.col(doc_id).cast("long")) == F.col("_doc")) & (body == F.col("_body")), "left")
-    parts = F.split(F.col(text), "\n")
+    # The row as one column, so that no name of its columns clashes with those made here.
+    row = docs.select(F.struct(*docs.columns).alias("_row"))
+    own = F.col("_row")[text]
+    held = row.join(out, (_order(F.col("_row")[doc_id].cast("long")) == F.col("_doc"))
+                    & (F.xxhash64(own) == F.col("_body")), "left")
     # Positions kept, by hashing; the lines at them.
-    kept = held.withColumns({"_parts": F.when(F.col("_out").isNotNull(), parts),
-                             "_kept": F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_out")})
+    kept = held.select("_row", "_out", F.when(F.col("_out").isNotNull(), F.split(own, "\n")).alias("_parts"))
+    kept = kept.withColumn("_kept", F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_out"))
     clean = F.array_join(F.transform("_kept", lambda i: F.col("_parts")[i]), "\n")
-    return kept.select(*[F.when(F.col("_out").isNotNull(), clean).otherwise(F.col(text)).alias(text)
-                         if c == text else F.col(c) for c in docs.columns],
+    clean = F.when(F.col("_out").isNotNull(), clean).otherwise(own)
+    return kept.select(*[(clean if c == text else F.col("_row")[c]).alias(c) for c in docs.columns if c != "n_removed"],
                        F.coalesce(F.size("_out"), F.lit(0)).cast("long").alias("n_removed"))
