@@ -1,10 +1,9 @@
 """Column-expression helpers (all built-in Spark functions, codegen-friendly)."""
 
 from wardflow.functions.dates import calendar_days, elapsed_days, year_boundaries
-from wardflow.functions.codes import rule_predicate, category_predicates
 from wardflow.functions.scores import score_bands, weighted_index
 
 __all__ = [
     "calendar_days", "elapsed_days", "year_boundaries",
-    "rule_predicate", "category_predicates", "score_bands", "weighted_index",
+    "score_bands", "weighted_index",
 ]

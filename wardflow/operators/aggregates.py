@@ -9,7 +9,7 @@ Ordered string aggregates are built in two steps (see ``sequence_by_key``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.dates import calendar_days
@@ -32,11 +32,6 @@ def count_by_key(events: DataFrame, keys, col, name: str, where: Column | None =
     return _where(events, where).groupBy(*keys).agg(F.count(_c(col)).alias(name))
 
 
-def count_rows_by_key(events: DataFrame, keys, name: str, where: Column | None = None) -> DataFrame:
-    """COUNT(*) per key."""
-    return _where(events, where).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def distinct_by_key(events: DataFrame, keys, col, name: str, where: Column | None = None) -> DataFrame:
     """Exact COUNT(DISTINCT col) per key; NULL is not a value."""
     return _where(events, where).groupBy(*keys).agg(F.countDistinct(_c(col)).alias(name))
@@ -95,45 +90,43 @@ def top_record(events: DataFrame, keys, payload: list[str], order_desc: list[str
 
 def sequence_profile(events: DataFrame, keys, token, order, name: str, sep: str = " ",
                      count_name: str | None = None, distinct_name: str | None = None,
-                     mask: str | None = None, mask_name: str | None = None,
                      top: tuple | None = None) -> DataFrame:
-    """``sequence_by_key`` plus, from the same rows in the same two-step
-    aggregate (one scan, one shuffle of partial results):
+    """``sequence_by_key`` plus, from one reduction of the same rows:
 
     count_name    -- COUNT(token), NULLs skipped
     distinct_name -- COUNT(DISTINCT token), exact
-    mask_name     -- BIT_OR(mask) (NULL when no row has a mask)
     top           -- (payload, order_desc, name): the row picked by ``top_record``
 
-    Step one works per (key, order value): the piece of the sequence, the
-    count, the set of tokens, the OR of masks and the best row with its sort
-    key. Step two merges those per key: pieces in order, counts summed, sets
-    united, masks OR-ed, and the best of the best rows. Each merge equals the
-    one-step aggregate over all rows of the key.
+    Rows are first reduced to one per (key, token, order value) with its number
+    of occurrences (combined map-side); a window over (key, token) marks each
+    token's first one, so distinct tokens are counted by a sum and no array of a
+    key's tokens is ever built. Steps two and three join the tokens per order
+    value and then per key. Each merge equals the one-step aggregate over all
+    rows of the key.
     """
     token_c, order_c = _c(token), _c(order)
-    extra = []
-    if mask is not None:
-        extra.append(F.col(mask).alias("_mask"))
+    best = []
     if top is not None:
         payload, order_desc, _ = top
         tie = [c for c in payload if c not in order_desc]
-        extra.append(F.struct(*[F.col(c) for c in [*order_desc, *tie]]).alias("_tk"))
-        extra.append(F.struct(*[F.col(c) for c in payload]).alias("_tv"))
-    rows = events.select(*keys, order_c.alias("_o"), token_c.alias("_tok"), *extra)
-
-    step1 = [F.expr(f"listagg(_tok, '{sep}') WITHIN GROUP (ORDER BY _tok)").alias("_piece")]
+        best = [F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in [*order_desc, *tie]]))
+                .alias("_bv"), F.max(F.struct(*[F.col(c) for c in [*order_desc, *tie]])).alias("_bk")]
+    rows = events.withColumns({"_tok": token_c, "_o": order_c}).groupBy(*keys, "_tok", "_o").agg(
+        F.count(F.lit(1)).alias("_n"), *best)
+    if distinct_name:
+        first = F.row_number().over(Window.partitionBy(*keys, "_tok").orderBy("_o")) == 1
+        rows = rows.withColumn("_first", F.when(first & F.col("_tok").isNotNull(), 1).otherwise(0))
+    # An occurrence each: the token as often as it occurs, in one piece.
+    again = F.when(F.col("_tok").isNotNull(), F.array_join(F.array_repeat("_tok", F.col("_n").cast("int")), sep))
+    step1 = [F.expr(f"listagg(_again, '{sep}') WITHIN GROUP (ORDER BY _tok)").alias("_piece")]
     step2 = [F.expr(f"listagg(_piece, '{sep}') WITHIN GROUP (ORDER BY _o ASC NULLS FIRST)").alias(name)]
     if count_name:
-        step1.append(F.count("_tok").alias("_n"))
-        step2.append(F.sum("_n").cast("long").alias(count_name))
+        step1.append(F.sum(F.when(F.col("_tok").isNotNull(), F.col("_n")).otherwise(0)).alias("_m"))
+        step2.append(F.sum("_m").cast("long").alias(count_name))
     if distinct_name:
-        step1.append(F.collect_set("_tok").alias("_set"))
-        step2.append(F.size(F.array_distinct(F.flatten(F.collect_list("_set")))).cast("long").alias(distinct_name))
-    if mask is not None:
-        step1.append(F.bit_or("_mask").alias("_m"))
-        step2.append(F.bit_or("_m").alias(mask_name or mask))
+        step1.append(F.sum("_first").alias("_f"))
+        step2.append(F.sum("_f").cast("long").alias(distinct_name))
     if top is not None:
-        step1 += [F.max("_tk").alias("_bk"), F.max_by("_tv", "_tk").alias("_bv")]
-        step2.append(F.max_by("_bv", "_bk").alias(top[2]))
-    return rows.groupBy(*keys, "_o").agg(*step1).groupBy(*keys).agg(*step2)
+        step1 += [F.max_by("_bv", "_bk").alias("_cv"), F.max("_bk").alias("_ck")]
+        step2.append(F.max_by("_cv", "_ck").alias(top[2]))
+    return (rows.withColumn("_again", again).groupBy(*keys, "_o").agg(*step1).groupBy(*keys).agg(*step2))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.scores import score_bands, weighted_index
 from wardflow.sources.local import local_frame
 
 
@@ -57,51 +56,28 @@ def range_mask(rules, code: str, version: str) -> Column:
     return F.expr(" | ".join(terms))
 
 
-# Above this many distinct matching codes the code map is joined by shuffle
-# instead of being broadcast.
-BROADCAST_MAX_CODES = 1_000_000
-
-
-def code_map(events: DataFrame, code: str, version: str, rules) -> DataFrame:
-    """(version, code, mask) for the distinct codes that match any category.
+def with_code_mask(events: DataFrame, code: str, version: str, rules, how: str = "left",
+                   name: str = "_mask") -> DataFrame:
+    """``events`` plus the category bit mask of each row's code (``how="left"``:
+    NULL where the code matches nothing; ``"inner"``: such rows dropped).
 
-    The rules are evaluated once per distinct code, not once per row: value
-    sets by hash lookup in the broadcast rule tables (one probe per prefix
-    length), ranges by a few comparisons. DISTINCT is combined map-side, so
-    only each task's distinct codes are shuffled.
+    Value sets are one hash probe per prefix length into the rule tables, whose
+    size is fixed by the rule set, ranges a few comparisons: no shuffle, and
+    nothing runs before the result is asked for.
     """
-    spark = events.sparkSession
-    codes = (events.select(F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
-             .where(F.col("_c").isNotNull() & F.col("_v").isNotNull()).distinct())
+    rows = events.withColumns({"_v": F.col(version).cast("int"), "_c": F.col(code)})
     masks = [range_mask(rules, "_c", "_v")]
-    for n, table in rule_tables(spark, rules).items():
+    for n, table in rule_tables(events.sparkSession, rules).items():
         t = table.select(F.col("version").alias(f"_tv{n}"), F.col("prefix").alias(f"_tp{n}"),
                          F.col("mask").alias(f"_m{n}"))
-        codes = codes.withColumn(f"_p{n}", F.substring("_c", 1, n))
-        codes = codes.join(F.broadcast(t), (codes["_v"] == t[f"_tv{n}"]) & (codes[f"_p{n}"] == t[f"_tp{n}"]),
-                           "left")
+        rows = rows.join(F.broadcast(t), (F.col("_v") == F.col(f"_tv{n}"))
+                         & (F.substring("_c", 1, n) == F.col(f"_tp{n}")), "left")
         masks.append(F.coalesce(F.col(f"_m{n}"), F.lit(0).cast("long")))
-    mask = masks[0]
+    mask = F.coalesce(masks[0], F.lit(0).cast("long"))
     for m in masks[1:]:
         mask = mask.bitwiseOR(m)
-    return codes.select("_v", "_c", mask.alias("_mask")).where(F.col("_mask") != 0)
-
-
-def with_code_mask(events: DataFrame, code: str, version: str, rules, how: str = "left",
-                   name: str = "_mask") -> DataFrame:
-    """``events`` plus the category bit mask of each row's code (``how="left"``:
-    NULL where the code matches nothing; ``"inner"``: such rows dropped).
-
-    The per-code map is written once to the checkpoint folder and its row
-    count checked: up to ``BROADCAST_MAX_CODES`` rows it is broadcast (each
-    event row then costs one hash probe and no shuffle), beyond that it is
-    joined by shuffle (AQE splits a skewed code's partition).
-    """
-    cmap = code_map(events, code, version, rules).checkpoint(eager=True)
-    small = cmap.count() <= BROADCAST_MAX_CODES
-    ev = events.select("*", F.col(version).cast("int").alias("_v"), F.col(code).alias("_c"))
-    j = ev.join(F.broadcast(cmap) if small else cmap, ["_v", "_c"], how)
-    return j.select(*events.columns, F.col("_mask").alias(name))
+    out = rows.select(*events.columns, F.when(mask != 0, mask).alias(name))
+    return out.where(F.col(name).isNotNull()) if how == "inner" else out
 
 
 def unpack_flags(df: DataFrame, key, mask: str, rules) -> DataFrame:
@@ -116,12 +92,8 @@ def code_masks(events: DataFrame, key: str, code: str, version: str, rules) -> D
     """(key, mask): per key, the OR of the category bits of all its codes;
     keys without any matching code get no row.
 
-    The per-code map is written once to the checkpoint folder and its row
-    count checked: up to ``BROADCAST_MAX_CODES`` rows it is broadcast (each
-    event row then costs one hash probe and no shuffle), beyond that it is
-    joined by shuffle. Rows whose code matches nothing drop out at the join,
-    and BIT_OR is combined map-side, so each task sends at most one row per
-    key to the final shuffle.
+    Rows whose code matches nothing are dropped, and BIT_OR is combined
+    map-side, so each task sends at most one row per key to the shuffle.
     """
     hits = with_code_mask(events.select(key, code, version), code, version, rules, how="inner")
     return hits.groupBy(key).agg(F.bit_or("_mask").alias("_mask"))
@@ -138,11 +110,3 @@ def flags_for_all(episodes: DataFrame, flags: DataFrame, key: str, categories, k
     """Left join the flags onto every episode; episodes without codes get 0."""
     j = episodes.select(*keep).join(flags, key, "left")
     return j.select(*keep, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in categories])
-
-
-def add_score_band(df: DataFrame, value: str, cuts, name: str) -> DataFrame:
-    return df.withColumn(name, score_bands(value, cuts))
-
-
-def add_weighted_index(df: DataFrame, base: str, weights: dict, dominance, name: str) -> DataFrame:
-    return df.withColumn(name, weighted_index(base, weights, dominance))

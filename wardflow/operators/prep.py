@@ -3,6 +3,7 @@ sampling with its complement, stratified folds, frame profile, class shares."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,35 +18,34 @@ def impute(df: DataFrame, numeric_value=0, categorical_value: str = "UNKNOWN", e
     return df.na.fill(numeric_value, subset=num).na.fill(categorical_value, subset=cat)
 
 
-def category_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
-    """Sorted distinct non-NULL values of a categorical column.
-
-    Only the distinct values reach the driver, and only after checking that
-    there are at most ``max_values`` of them.
-    """
-    vals = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{column!r} has more than {max_values} distinct values; not a one-hot candidate")
-    return [r[0] for r in vals]
+def category_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-NULL values of a categorical column (see ``categories_of``)."""
+    return categories_of(df, [column])[column]
 
 
-def categories_of(df: DataFrame, columns, max_values: int = 1000) -> dict[str, list]:
+def categories_of(df: DataFrame, columns) -> dict[str, list]:
     """Sorted distinct non-NULL values of several categorical columns in one
-    job: (column, value) pairs are made distinct by Spark and at most
-    ``max_values`` per column (checked) reach the driver."""
+    job: (column, value) pairs are made distinct by Spark. The values become
+    columns of a frame, so they are few by nature; where they aren't, use
+    ``one_hot_vector``."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
                                 for c in columns]))
-    rows = (df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
-            .limit(len(columns) * max_values + 1).collect())
+    rows = df.select(pairs.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct().collect()
     out: dict[str, list] = {c: [] for c in columns}
     for r in rows:
         out[r["c"]].append(r["v"])
-    for c, vals in out.items():
-        if len(vals) > max_values:
-            raise ValueError(f"{c!r} has more than {max_values} distinct values; not a one-hot candidate")
-        vals.sort()
-    return out
+    return {c: sorted(vals) for c, vals in out.items()}
+
+
+def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """``df`` with ``column`` replaced by a sparse 0/1 vector ``output`` (default ``<column>_vec``), one slot per
+    value in sorted order; a NULL is all zeros. For any number of values: the frame stays one column wide."""
+    output = output or f"{column}_vec"
+    indexer = StringIndexer(inputCol=column, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
+    indexed = indexer.fit(df).transform(df)
+    # handleInvalid="keep" gives NULL the last index, which dropLast leaves without a slot.
+    coded = OneHotEncoder(inputCol="_index", outputCol=output, dropLast=True).fit(indexed).transform(indexed)
+    return coded.drop("_index", column)
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None, prefix: str | None = None) -> DataFrame:
@@ -65,53 +65,76 @@ def _rank_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
+def _buckets(df: DataFrame, label: str, id_col: str, seed: int, digits: int, classes) -> DataFrame:
+    """id, label, seeded hash ``_h`` and its bucket ``_b``: the narrow rows that are counted and ranked."""
+    rows = df.where(F.col(label).isin(*classes)).select(id_col, label, _rank_key(id_col, seed).alias("_h"))
+    return rows.withColumn("_b", F.substring("_h", 1, digits))
+
+
+def _offsets(rows: DataFrame, label: str, classes) -> DataFrame:
+    """Per (class, bucket): its rows ``_c``, the rows of the class before it ``_off``, and the smaller class's size ``_n``.
+    At most len(classes) * 16^digits rows, a bound set by the parameters: one small window, and safe to broadcast."""
+    counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    by_bucket = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = [F.sum(F.when(F.col(label) == k, F.col("_c")).otherwise(0)).over(Window.partitionBy()) for k in classes]
+    return counts.select(label, "_b", "_c", F.coalesce(F.sum("_c").over(by_bucket), F.lit(0)).alias("_off"),
+                         F.least(*sizes).alias("_n"))
+
+
 def class_rank(df: DataFrame, label: str, id_col: str, seed: int = 42, bucket_digits: int = 4,
                classes=(0, 1)) -> DataFrame:
-    """Add ``_rank``: the 1-based position of each row inside its class in the
-    order of md5('<seed>:<id>') (then id), i.e. a seeded shuffle, and ``_n``:
-    the size of the smaller class.
+    """(id, label, ``_rank``): the 1-based position of each row inside its class in the
+    order of md5('<seed>:<id>') (then id), i.e. a seeded shuffle.
 
     Exact and spread out: rows are cut into 16^bucket_digits hash buckets per
-    class; only the (class, bucket) counts -- at most len(classes) *
-    16^bucket_digits rows, a bound set by the parameters -- go through a
-    single small window to get each bucket's offset, which is broadcast back;
-    the rank inside a bucket is a window over that bucket only.
+    class; the buckets' offsets come from their counts, and the rank inside a
+    bucket is a window over that bucket only. Only ids, labels and hashes move.
     """
-    h = _rank_key(id_col, seed)
-    rows = df.where(F.col(label).isin(*classes)).withColumn("_h", h).withColumn(
-        "_b", F.substring("_h", 1, bucket_digits))
-    counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    by_bucket = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    sizes = [F.sum(F.when(F.col(label) == k, F.col("_c")).otherwise(0)).over(everything) for k in classes]
-    offsets = counts.select(
-        label, "_b",
-        F.coalesce(F.sum("_c").over(by_bucket), F.lit(0)).alias("_off"),
-        F.least(*sizes).alias("_n"))
+    rows = _buckets(df, label, id_col, seed, bucket_digits, classes)
     in_bucket = Window.partitionBy(label, "_b").orderBy("_h", id_col)
     ranked = rows.withColumn("_local", F.row_number().over(in_bucket))
-    # offsets has at most len(classes) * 16**bucket_digits rows: safe to broadcast.
-    out = ranked.join(F.broadcast(offsets), [label, "_b"], "inner")
-    return out.withColumn("_rank", F.col("_off") + F.col("_local")).drop("_h", "_b", "_local", "_off")
+    out = ranked.join(F.broadcast(_offsets(rows, label, classes)), [label, "_b"])
+    return out.select(id_col, label, (F.col("_off") + F.col("_local")).alias("_rank"))
 
 
 def balanced_split(df: DataFrame, label: str, id_col: str, seed: int = 42,
-                   split_col: str = "split", bucket_digits: int = 4) -> DataFrame:
-    """Mark ``split_col`` = 'train' for floor(min(n0, n1) / 2) rows of **each**
-    class (seeded shuffle order) and 'test' for all other rows of the two
+                   split_col: str = "split", bucket_digits: int = 4, classes=(0, 1)) -> DataFrame:
+    """``df`` with ``split_col`` = 'train' for floor(min(n0, n1) / 2) rows of **each**
+    class (the first in seeded shuffle order) and 'test' for all other rows of the two
     classes. This is under-sampling of both classes; the test part keeps the
-    rest of the data, so its class shares differ from the full frame."""
-    r = class_rank(df, label, id_col, seed, bucket_digits)
-    take = F.col("_rank") <= F.floor(F.col("_n") / 2)
-    return r.withColumn(split_col, F.when(take, "train").otherwise("test")).drop("_n")
+    rest of the data, so its class shares differ from the full frame.
+
+    The last training row of each class is found from the bucket counts and a
+    ranking of the one bucket that the cut falls into; every row is then
+    compared with it, so the frame itself isn't shuffled.
+    """
+    rows = _buckets(df, label, id_col, seed, bucket_digits, classes)
+    take = F.floor(F.col("_n") / 2)
+    at = _offsets(rows, label, classes).where((F.col("_off") < take) & (take <= F.col("_off") + F.col("_c")))
+    at = at.select(label, "_b", (take - F.col("_off")).alias("_last"))  # a row per class
+    in_bucket = Window.partitionBy(label, "_b").orderBy("_h", id_col)
+    cut = rows.join(F.broadcast(at), [label, "_b"]).withColumn("_local", F.row_number().over(in_bucket))
+    cut = cut.where(F.col("_local") == F.col("_last")).select(label, F.col("_h").alias("_ch"), F.col(id_col).alias("_cid"))
+    h = _rank_key(id_col, seed)
+    train = (h < F.col("_ch")) | ((h == F.col("_ch")) & (F.col(id_col) <= F.col("_cid")))
+    out = df.where(F.col(label).isin(*classes)).join(F.broadcast(cut), label, "left")
+    return out.select(*df.columns, F.when(train, "train").otherwise("test").alias(split_col))
 
 
 def stratified_folds(df: DataFrame, label: str, id_col: str, k: int = 3, seed: int = 42,
                      fold_col: str = "fold", bucket_digits: int = 4) -> DataFrame:
-    """Fold 0..k-1 by seeded shuffle order inside each class, round robin, so
+    """``df`` with fold 0..k-1 by seeded shuffle order inside each class, round robin, so
     per class the fold sizes differ by at most one."""
     r = class_rank(df, label, id_col, seed, bucket_digits)
-    return r.withColumn(fold_col, ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_n")
+    folds = r.select(id_col, ((F.col("_rank") - 1) % k).cast("int").alias(fold_col))
+    return df.join(folds, id_col).select(*df.columns, fold_col)
+
+
+def group_split(df: DataFrame, group: str, test_share: float = 0.2, seed: int = 42, split_col: str = "split") -> DataFrame:
+    """``df`` with 'train' / 'test' by a seeded hash of ``group``: all rows of a group fall on the same side, a NULL
+    group's on the training side. A projection, no shuffle."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(group).cast("string"))), 1, 8), 16, 10).cast("double")
+    return df.withColumn(split_col, F.when(draw / 2.0 ** 32 < test_share, "test").otherwise("train"))
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -78,13 +78,14 @@ def episode_scan(episodes: DataFrame, entity: str, start: str, tie: str,
         F.lead(s).over(in_day).alias("_lead"),
         *[(F.sum(c).over(upto) - F.sum(c).over(peers)).alias(f"_q{c}") for _, c in wnames])
 
-    j = inner.join(days, (inner[entity] == days["_e"]) & (inner["_day"] == days["_d"]), "left")
+    # Rows without an entity are one entity for order (as PARTITION BY does) and have no history (as = does).
+    j = inner.join(days, inner[entity].eqNullSafe(days["_e"]) & (inner["_day"] == days["_d"]), "left")
     out = [F.col(c) for c in keep]
     out.append((F.coalesce(F.col("_n_before"), F.lit(0)) + F.col("_rn")).alias("ordinal"))
     out.append(F.when(F.col("_rn") < F.col("_n_day"), F.col("_lead"))
                .otherwise(F.col("_next_first")).alias("next_start"))
     for name, c in wnames:
-        out.append(F.when(s.isNull(), F.lit(0).cast("long"))
+        out.append(F.when(s.isNull() | F.col(entity).isNull(), F.lit(0).cast("long"))
                    .otherwise(F.col(f"_p{c}") + F.col(f"_q{c}")).alias(name))
     return j.select(*out)
 
@@ -96,34 +97,42 @@ def prior_event_counts(episodes: DataFrame, events: DataFrame, entity: str, star
 
     Same result as ``episodes LEFT JOIN events ON entity = entity AND
     events.time < episodes.start`` followed by SUM(CASE ... THEN 1 ELSE 0),
-    without materialising the pairs.
+    without materialising the pairs. Events are first reduced to one row per
+    (entity, time), combined map-side; the window inside a day only sees days
+    that hold an episode. A NULL entity matches nothing: its counts are 0.
     """
     names = list(weights)
-    ev = events.where(F.col(time).isNotNull()).select(
-        F.col(entity), F.lit(None).cast(episodes.schema[tie].dataType).alias(tie),
-        F.col(time).alias("_t"), F.lit(1).alias("_kind"),
-        *[F.when(cond, 1).otherwise(0).alias(f"_w{i}") for i, cond in enumerate(weights.values())])
-    ep = episodes.select(
-        F.col(entity), F.col(tie), F.col(start).alias("_t"), F.lit(0).alias("_kind"),
-        *[F.lit(0).alias(f"_w{i}") for i in range(len(names))])
-    rows = ep.unionByName(ev).withColumn("_day", _day_of(F.col("_t")))
     wcols = [f"_w{i}" for i in range(len(names))]
-
-    days = _per_day_prefix(rows, entity, wcols)
-
-    t = F.col("_t")
-    upto = Window.partitionBy(entity, "_day").orderBy(t.asc_nulls_first()).rangeBetween(
+    ev = events.where(F.col(time).isNotNull() & F.col(entity).isNotNull()).groupBy(
+        F.col(entity).alias("_e"), F.col(time).alias("_t")).agg(
+        *[F.sum(F.when(cond, 1).otherwise(0)).alias(c) for c, cond in zip(wcols, weights.values())])
+    ev = ev.withColumn("_d", _day_of(F.col("_t")))
+    ep = episodes.select(F.col(entity).alias("_e"), F.col(tie), F.col(start).alias("_t"),
+                         _day_of(F.col(start)).alias("_d"))
+
+    # Level 2: all earlier days. The episodes' days are in, so each finds its own row.
+    days = ev.groupBy("_e", "_d").agg(*[F.sum(c).alias(c) for c in wcols]).unionByName(
+        ep.select("_e", "_d", *[F.lit(0).cast("long").alias(c) for c in wcols]).distinct())
+    days = days.groupBy("_e", "_d").agg(*[F.sum(c).alias(c) for c in wcols])
+    before = Window.partitionBy("_e").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_e", "_d", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_p{c}") for c in wcols])
+
+    # Level 1: earlier times of the same day.
+    held = ep.select("_e", "_d").distinct()
+    same = ev.join(held, ["_e", "_d"], "left_semi").select(
+        "_e", F.lit(None).cast(episodes.schema[tie].dataType).alias(tie), "_t", "_d", F.lit(0).alias("_kind"), *wcols)
+    rows = same.unionByName(ep.select("_e", tie, "_t", "_d", F.lit(1).alias("_kind"),
+                                      *[F.lit(0).cast("long").alias(c) for c in wcols]))
+    upto = Window.partitionBy("_e", "_d").orderBy(F.col("_t").asc_nulls_first()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    peers = Window.partitionBy(entity, "_day", "_t")
-    inner = rows.select(
-        entity, tie, "_t", "_day", "_kind",
-        *[(F.sum(c).over(upto) - F.sum(c).over(peers)).alias(f"_q{c}") for c in wcols]
-    ).where(F.col("_kind") == 0)
-    j = inner.join(days, (inner[entity] == days["_e"]) & (inner["_day"] == days["_d"]), "left")
-    return j.select(
-        F.col(entity), F.col(tie),
-        *[F.when(t.isNull(), F.lit(0).cast("long"))
-          .otherwise(F.col(f"_p{c}") + F.col(f"_q{c}")).alias(n) for n, c in zip(names, wcols)])
+    peers = Window.partitionBy("_e", "_d", "_t")
+    inner = rows.select("_e", tie, "_t", "_d", "_kind",
+                        *[(F.sum(c).over(upto) - F.sum(c).over(peers)).alias(f"_q{c}") for c in wcols])
+    out = inner.where(F.col("_kind") == 1).join(days, ["_e", "_d"], "left")
+    none = F.col("_t").isNull() | F.col("_e").isNull()
+    return out.select(F.col("_e").alias(entity), F.col(tie),
+                      *[F.when(none, F.lit(0).cast("long")).otherwise(F.col(f"_p{c}") + F.col(f"_q{c}")).alias(n)
+                        for n, c in zip(names, wcols)])
 
 
 def age_at_event(episodes: DataFrame, entities: DataFrame, key: str, at: str,
@@ -156,8 +165,3 @@ def returns_within(episodes: DataFrame, entity: str, start: str, end: str, tie:
     scan = episode_scan(episodes.select(*dict.fromkeys([*keep, entity, start, end, tie])), entity, start, tie)
     flag = F.when(diff(F.col("next_start"), F.col(end)) <= days, 1).otherwise(0)
     return scan.select(*keep, end, flag.alias(name))
-
-
-def readmission_flag_from_scan(scan: DataFrame, end: str, days: int = 30, unit: str = "elapsed") -> Column:
-    diff = DAY_UNITS[unit]
-    return F.when(diff(F.col("next_start"), F.col(end)) <= days, 1).otherwise(0)

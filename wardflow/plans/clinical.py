@@ -102,13 +102,6 @@ def comorbidity_index(t: Tables, age_table: DataFrame | None = None) -> DataFram
 # Per-stay event features
 # ---------------------------------------------------------------------------
 
-def procedure_counts(t: Tables) -> DataFrame:
-    """num_procedures (COUNT of codes) and num_unique_procedures, fused."""
-    return t.procedures_icd.groupBy(*KEYS).agg(
-        F.count("icd_code").alias("num_procedures"),
-        F.countDistinct("icd_code").alias("num_unique_procedures"))
-
-
 def proc_count(t: Tables) -> DataFrame:
     return agg.count_by_key(t.procedures_icd, KEYS, "icd_code", "num_procedures")
 
@@ -175,12 +168,9 @@ def emar_count(t: Tables) -> DataFrame:
                             where=F.col("event_txt") == "Administered")
 
 
-def lab_abnormal_count(t: Tables, drop_null_stay: bool = False) -> DataFrame:
-    where = F.col("flag") == "abnormal"
-    if drop_null_stay:
-        # Events without a stay form groups that join to nothing downstream.
-        where = where & F.col(P.EPISODE).isNotNull()
-    return agg.count_by_key(t.labevents, KEYS, "labevent_id", "num_abnormal_labevents", where=where)
+def lab_abnormal_count(t: Tables) -> DataFrame:
+    return agg.count_by_key(t.labevents, KEYS, "labevent_id", "num_abnormal_labevents",
+                            where=F.col("flag") == "abnormal")
 
 
 # ---------------------------------------------------------------------------
@@ -194,11 +184,9 @@ def procedure_features(t: Tables) -> DataFrame:
 
 
 def diagnosis_features(t: Tables) -> DataFrame:
-    """num_unique_icd_codes, diag_icd_codes and ``_mask``, the OR of the
-    comorbidity category bits of the stay's codes."""
-    dx = codes.with_code_mask(t.diagnoses_icd, "icd_code", "icd_version", P.parse_rules())
-    return agg.sequence_profile(dx, KEYS, "icd_code", "seq_num", "diag_icd_codes",
-                                distinct_name="num_unique_icd_codes", mask="_mask")
+    """num_unique_icd_codes and diag_icd_codes."""
+    return agg.sequence_profile(t.diagnoses_icd, KEYS, "icd_code", "seq_num", "diag_icd_codes",
+                                distinct_name="num_unique_icd_codes")
 
 
 def drg_features(t: Tables) -> DataFrame:
@@ -225,68 +213,53 @@ class _KeyedEvents:
 
 def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
                days: int = 30, unit: str = "elapsed") -> DataFrame:
-    """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``).
+    """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``); lazy.
 
     ``stored`` may hold written results of ``readmission``, ``age`` and
-    ``comorbidity_index``; otherwise they are computed here, and the return
-    label, the stay ordinal and the prior-visit counts share one scan of the
-    admissions. The death filter comes last: stays that ended in death still
-    count as the next stay, as ordinals and as history.
+    ``comorbidity_index``. Otherwise the admissions get the patient's age and
+    the comorbidity mask of the stay first, as narrow rows, and the return
+    label, the stay ordinal and the prior-visit counts come from one scan over
+    them. The death filter comes last: stays that ended in death still count as
+    the next stay, as ordinals and as history.
     """
     stored = stored or {}
     adm = t.admissions.select(*KEYS, "race", "admittime", "dischtime", "deathtime",
                               "hospital_expire_flag", "admission_location")
+    # Event rows without a stay id join to no stay: they are dropped before
+    # aggregating, so they never form one large, useless group (T18).
+    keyed = _KeyedEvents(t)
+    carried = []
+    if "comorbidity_index" not in stored:
+        rules = P.parse_rules()
+        # Per stay id, as in the index's own definition.
+        masks = codes.code_masks(keyed.diagnoses_icd, P.EPISODE, "icd_code", "icd_version", rules)
+        adm = adm.join(masks, P.EPISODE, "left")
+        # Ages per stay keys, so that a stay id two patients share finds both; one row for each stay of the scan.
+        ages = age(t).withColumn("_aged", F.lit(True))
+        carried = ["_mask"]
     scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights())
     diff = DAY_UNITS[unit]
-    base = scan.select(
-        *KEYS, "race", "admittime", "dischtime", "deathtime", "hospital_expire_flag",
+    out = scan.select(
+        *KEYS, "race", "admittime", "dischtime", "deathtime", "hospital_expire_flag", *carried,
         F.when(diff(F.col("next_start"), F.col("dischtime")) <= days, 1).otherwise(0).alias("readmission_flag"),
         F.col("ordinal").alias("num_hospital_admissions"),
         *_visit_weights())
     if "readmission" in stored:
-        base = base.drop("readmission_flag").join(
-            stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
+        out = out.drop("readmission_flag").join(stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
+    for features in (procedure_features(keyed), diagnosis_features(keyed), prescription_features(keyed),
+                     drg_features(keyed), emar_count(keyed), lab_abnormal_count(keyed), prev_transfers(t)):
+        out = out.join(features, KEYS, "left")
 
-    # Event rows without a stay id join to no stay: they are dropped before
-    # aggregating, so they never form one large, useless group (T18).
-    keyed = _KeyedEvents(t)
-    dx = diagnosis_features(keyed)
-    features = [
-        procedure_features(keyed),
-        dx.drop("_mask"),
-        prescription_features(keyed),
-        drg_features(keyed),
-        emar_count(keyed),
-        lab_abnormal_count(keyed),
-        prev_transfers(t),
-    ]
-    out = base
-    for f in features:
-        out = out.join(f, KEYS, "left")
-
-    age_table = stored.get("age")
-    if age_table is None:
-        age_table = age(t)
-    cats = P.categories()
     if "comorbidity_index" in stored:
+        age_table = stored["age"] if "age" in stored else age(t)
         out = out.join(age_table.select(*KEYS, "age"), KEYS, "left")
         out = out.join(stored["comorbidity_index"].select(*KEYS, "charlson_comorbidity_index"), KEYS, "left")
     else:
-        # Flags are per stay id, as in the index's own definition: the stay's
-        # (few) per-key masks are OR-ed by hadm_id, then given the stay keys
-        # from the admissions, so that the wide rows need no new shuffle.
-        masks = dx.where(F.col("_mask").isNotNull()).groupBy(P.EPISODE).agg(F.bit_or("_mask").alias("_mask"))
-        # The final grouping makes the flags provably unique per stay key, so
-        # queries that use none of the flags drop this join branch entirely.
-        masks = (t.admissions.select(*KEYS).join(masks, P.EPISODE, "inner")
-                 .groupBy(*KEYS).agg(F.bit_or("_mask").alias("_mask")))
-        flags = codes.unpack_flags(masks, KEYS, "_mask", P.parse_rules())
-        # One join gives the age and the age band the index uses; a stay
-        # without an age row gets a NULL index.
-        out = out.join(age_table.select(*KEYS, "age", _age_score().alias("_age_score")), KEYS, "left")
-        out = out.join(flags, KEYS, "left")
-        out = out.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in cats else F.col(c)
-                           for c in out.columns])
+        # A stay without an age row has a NULL index; a NULL age itself is in the top band.
+        out = out.join(ages, KEYS, "left")
+        flags = {c: F.coalesce(F.shiftright("_mask", i).bitwiseAND(1).cast("int"), F.lit(0))
+                 for i, c in enumerate(P.categories())}
+        out = out.withColumns({**flags, "_age_score": F.when(F.col("_aged"), _age_score())})
         out = out.withColumn("charlson_comorbidity_index", _charlson("_age_score"))
 
     return out.where(F.col("deathtime").isNull()).select(*P.MODEL_DATA_COLUMNS)

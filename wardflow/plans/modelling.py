@@ -22,21 +22,26 @@ ID = P.EPISODE
 LABEL = P.LABEL
 
 
-def feature_table(t: Tables) -> DataFrame:
-    """The feature table, written once to the shared folder and read back;
-    the modelling steps all start from this copy (as from an export)."""
-    return io.store_and_reload(t.spark, {"model_data": C.model_data(t)}, "features")["model_data"]
+def feature_table(t: Tables, columns=None) -> DataFrame:
+    """The feature table, or the ``columns`` of it that a run needs, written once to the
+    shared folder and read back: the steps of a run start from this copy (as from an export),
+    and what it doesn't hold is never computed."""
+    df = C.model_data(t)
+    return io.store_and_reload(t.spark, {"features": df.select(*columns) if columns else df}, "features")["features"]
 
 
 def imputed(t: Tables, features: DataFrame | None = None) -> DataFrame:
     return prep.impute(C.model_data(t) if features is None else features)
 
 
+TRAINING_COLUMNS = [c for c in P.MODEL_DATA_COLUMNS if c not in P.TRAINING_DROP or c == ID]
+
+
 def training_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
     """Imputed feature table without identifiers, times and code text, with
     one-hot race and DRG type; ``hadm_id`` is kept as the row identity."""
-    features = feature_table(t) if features is None else features
-    df = prep.impute(features).drop(*[c for c in P.TRAINING_DROP if c != ID])
+    features = feature_table(t, TRAINING_COLUMNS) if features is None else features
+    df = prep.impute(features).select(*TRAINING_COLUMNS)
     values = prep.categories_of(df, P.CATEGORICAL)
     for c in P.CATEGORICAL:
         df = prep.one_hot(df, c, values[c])
@@ -44,7 +49,16 @@ def training_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
 
 
 def feature_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in (ID, LABEL, "split", "fold")]
+    """The columns of ``df`` that are features by name: the numeric ones and the one-hot ones, nothing else."""
+    one_hot = tuple(f"{c}_" for c in P.CATEGORICAL)
+    return [c for c in df.columns if c in P.NUMERIC_FEATURES
+            or (c.startswith(one_hot) and c not in P.MODEL_DATA_COLUMNS)]
+
+
+def feature_matrix(t: Tables) -> DataFrame:
+    """(hadm_id, readmission_flag, features): the numbers that the models see, in the order of ``feature_columns``."""
+    df = training_frame(t)
+    return df.select(ID, LABEL, F.array(*[F.col(f"`{c}`").cast("double") for c in feature_columns(df)]).alias("features"))
 
 
 def split_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
@@ -82,72 +96,102 @@ def _train_test(t: Tables):
     return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
 
 
+MODELS = ("LogisticRegression", "RandomForest", "GradientBoosting")
+
+
 def fit_and_score(t: Tables, name: str, **params) -> DataFrame:
     train, test = _train_test(t)
-    cols = feature_columns(train)
-    if name == "LogisticRegression":
-        est = models.logistic_regression(LABEL, train.count(), **params)
-    elif name == "RandomForest":
-        est = models.random_forest(LABEL, **params)
-    else:
-        est = models.gradient_boosting(LABEL, **params)
-    return models.fit_predict(train, test, cols, LABEL, est, keep=(ID,))
+    est = models.estimator(name, LABEL, train.count(), **params)
+    return models.fit_predict(train, test, feature_columns(train), LABEL, est, keep=(ID,))
 
 
-def grid_search_table(t: Tables, names=("LogisticRegression",), grids=None) -> DataFrame:
-    grids = grids or models.SMALL_GRIDS
+def grid_search_table(t: Tables, names=MODELS, grids=models.GRIDS) -> DataFrame:
     train, _ = _train_test(t)
-    train = with_folds(train)
+    train = with_folds(train).cache()
     rows = []
     for name in names:
-        _, r = models.grid_search(train, feature_columns(train), LABEL, "fold", name, grids[name])
-        rows.extend(r)
+        rows.extend(models.grid_search(train, feature_columns(train), LABEL, "fold", name, grids[name])[1])
+    train.unpersist()
     return local_frame(t.spark, rows, "model string, params string, mean_accuracy double")
 
 
-def model_table(t: Tables, names=("LogisticRegression", "RandomForest", "GradientBoosting"), grids=None) -> DataFrame:
+def model_table(t: Tables, names=MODELS, grids=models.GRIDS) -> DataFrame:
     """Per model: best grid point by cross-validated accuracy, refit on the
     whole training part, scored on the held-out part; weighted-average
     precision / recall / F1 / support and accuracy."""
-    grids = grids or models.SMALL_GRIDS
     train, test = _train_test(t)
-    train = with_folds(train)
+    train = with_folds(train).cache()
     cols = feature_columns(train)
     frames = []
     for name in names:
-        cv_model, _ = models.grid_search(train, cols, LABEL, "fold", name, grids[name])
-        test_x = models.assembler(cols).transform(test)
-        scored = models.score(cv_model.bestModel, test_x, LABEL, keep=(ID,))
+        model, _ = models.grid_search(train, cols, LABEL, "fold", name, grids[name])
+        scored = models.score(model, models.assembler(cols).transform(test), LABEL, keep=(ID,))
         rep = metrics.classification_report(scored, LABEL, "prediction")
         weighted = F.col("class_label") == "weighted avg"
         frames.append(rep.agg(
             F.lit(name).alias("model"),
             *[F.max(F.when(weighted, F.col(c))).alias(c) for c in ("precision", "recall", "f1_score", "support")],
             F.max(F.when(F.col("class_label") == "accuracy", F.col("precision"))).alias("accuracy")))
+    train.unpersist()
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def feature_importance(t: Tables, num_trees: int = 20, max_depth: int = 5) -> DataFrame:
+def feature_importance(t: Tables, num_trees: int = 100, max_depth: int = 10) -> DataFrame:
+    """(feature, importance, coefficient): of the random forest, and of the logistic regression."""
     train, _ = _train_test(t)
     cols = feature_columns(train)
-    from pyspark.ml import Pipeline
-    model = Pipeline(stages=[models.assembler(cols), models.random_forest(LABEL, num_trees, max_depth)]).fit(
-        train.withColumn(LABEL, F.col(LABEL).cast("double")))
-    return models.importance_frame(t.spark, cols, model.stages[-1].featureImportances)
+    data = models.assembler(cols).transform(train).select("features", F.col(LABEL).cast("double").alias(LABEL)).cache()
+    forest = models.random_forest(LABEL, num_trees, max_depth).fit(data)
+    linear = models.logistic_regression(LABEL, data.count()).fit(data)
+    data.unpersist()
+    rows = zip(cols, forest.featureImportances.toArray().tolist(), linear.coefficients.toArray().tolist())
+    return local_frame(t.spark, list(rows), "feature string, importance double, coefficient double")
 
 
 def code_embeddings(t: Tables) -> DataFrame:
     return models.code_embeddings(C.diag_sequence(t), P.STAY_KEYS, "diag_icd_codes")
 
 
+def procedure_embeddings(t: Tables) -> DataFrame:
+    return models.code_embeddings(C.proc_sequence(t), P.STAY_KEYS, "proc_icd_codes")
+
+
+def embedding_vocabulary(t: Tables) -> DataFrame:
+    """(sequence, code, n): how often each code occurs in the sequences that the embeddings are trained on."""
+    parts = []
+    for name, seqs in (("diag_icd_codes", C.diag_sequence(t)), ("proc_icd_codes", C.proc_sequence(t))):
+        codes = seqs.select(F.explode(F.split(name, " ")).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(codes.select(F.lit(name).alias("sequence"), "code", "n"))
+    return parts[0].unionByName(parts[1])
+
+
 def pca_variance(t: Tables, k: int = 5) -> DataFrame:
     df = training_frame(t)
     return models.pca_variance(df, feature_columns(df), k=k)
 
 
+def feature_covariance(t: Tables) -> DataFrame:
+    """Covariances of the numeric features, which principal components start from."""
+    df = prep.impute(C.model_data(t).select(*P.NUMERIC_FEATURES))
+    return models.covariance(df, P.NUMERIC_FEATURES).withColumn("covariance", F.round("covariance", 6))
+
+
+# A logistic model written down, to check scoring by.
+RULE_COEFFICIENTS = {"num_prev_emergency": 0.8, "num_procedures": -0.25, "age": -0.01, "charlson_comorbidity_index": 0.125}
+RULE_INTERCEPT = -0.5
+
+
+def scored_rows(t: Tables) -> DataFrame:
+    """The hold-out rows scored by a fixed logistic model."""
+    features = feature_table(t, [ID, LABEL, *RULE_COEFFICIENTS])
+    test = prep.balanced_split(prep.impute(features), LABEL, ID).where(F.col("split") == "test")
+    out = models.linear_scores(test, RULE_COEFFICIENTS, RULE_INTERCEPT)
+    return out.select(ID, LABEL, "prediction", F.round("probability_1", 9).alias("probability_1"))
+
+
 # ---------------------------------------------------------------------------
 # Source / sink round trips
 # ---------------------------------------------------------------------------
@@ -181,25 +225,40 @@ def _q(fn):
 
 
 def _one_hot(t):
-    df = feature_table(t).select(ID, *P.CATEGORICAL)
+    df = feature_table(t, [ID, *P.CATEGORICAL])
     values = prep.categories_of(df, P.CATEGORICAL)
     for c in P.CATEGORICAL:
         df = prep.one_hot(df, c, values[c])
     return df
 
 
+def _labels_split(t, *more):
+    """The split of a run that needs the rows' ids and labels, and ``more`` columns, only."""
+    return prep.balanced_split(feature_table(t, [ID, LABEL, *more]), LABEL, ID)
+
+
 def _balanced_split(t):
-    return split_frame(t).select(ID, LABEL, "split")
+    return _labels_split(t)
 
 
 def _stratified_folds(t):
-    train = split_frame(t).where(F.col("split") == "train")
+    train = _labels_split(t).where(F.col("split") == "train")
     return with_folds(train).select(ID, LABEL, "fold")
 
 
+def _fold_confusion(t):
+    train = _labels_split(t, "num_prev_emergency").where(F.col("split") == "train")
+    folds = with_folds(train.withColumn("prediction", F.when(F.col("num_prev_emergency") > 0, 1).otherwise(0)))
+    return metrics.fold_confusion(folds, LABEL, "prediction", "fold")
+
+
+def _group_split(t):
+    return prep.group_split(C.model_data(t).select(P.ENTITY, ID), P.ENTITY)
+
+
 def _class_balance(t):
-    features = feature_table(t)
-    s = split_frame(t, features)
+    features = feature_table(t, [ID, LABEL])
+    s = prep.balanced_split(features, LABEL, ID)
     parts = [prep.class_shares(features, LABEL, "all"),
              prep.class_shares(s.where(F.col("split") == "train"), LABEL, "train"),
              prep.class_shares(s.where(F.col("split") == "test"), LABEL, "test")]
@@ -223,7 +282,11 @@ def _fnr(t):
 
 
 def _auc(t):
-    return metrics.roc_auc(rule_score(feature_table(t)), LABEL, "score")
+    return metrics.roc_auc(rule_score(C.model_data(t)), LABEL, "score")
+
+
+def _roc_curve(t):
+    return metrics.roc_curve(rule_score(C.model_data(t)), LABEL, "score")
 
 
 def _lr(t):
@@ -231,11 +294,11 @@ def _lr(t):
 
 
 def _rf(t):
-    return fit_and_score(t, "RandomForest", num_trees=20, max_depth=10)
+    return fit_and_score(t, "RandomForest", numTrees=100, maxDepth=20)
 
 
 def _gbt(t):
-    return fit_and_score(t, "GradientBoosting", max_iter=20, step_size=0.1)
+    return fit_and_score(t, "GradientBoosting", maxIter=100, stepSize=0.1)
 
 
 QUERIES = {
@@ -259,5 +322,13 @@ QUERIES = {
     "model_table": _q(model_table),
     "feature_importance": _q(feature_importance),
     "code_embeddings": _q(code_embeddings),
+    "procedure_embeddings": _q(procedure_embeddings),
+    "embedding_vocabulary": _q(embedding_vocabulary),
+    "feature_matrix": _q(feature_matrix),
+    "feature_covariance": _q(feature_covariance),
+    "scored_rows": _q(scored_rows),
+    "fold_confusion": _q(_fold_confusion),
+    "group_split": _q(_group_split),
+    "roc_curve": _q(_roc_curve),
     "pca_variance": _q(pca_variance),
 }

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.plans import clinical as C
+from wardflow.plans import modelling
 from wardflow.sources.synthetic import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +65,4 @@ CORE: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    out = dict(CORE)
-    try:
-        from wardflow.plans import modelling
-        out.update(modelling.QUERIES)
-    except ImportError:  # pragma: no cover - modelling is part of the package
-        pass
-    return out
+    return CORE | modelling.QUERIES

@@ -167,6 +167,8 @@ TRAINING_DROP = [
 ]
 LABEL = "readmission_flag"
 CATEGORICAL = ["race", "top_drg_type"]
+# The numeric columns that are features, by name: what a later step adds to a frame never becomes one.
+NUMERIC_FEATURES = [c for c in MODEL_DATA_COLUMNS if c not in (*TRAINING_DROP, *CATEGORICAL, LABEL)]
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,11 +42,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, also set as Spark's checkpoint folder.
 
-    Only when the cluster names none (local tests) is a fresh scratch folder
-    created and registered, so that ``DataFrame.checkpoint()`` and our written
-    intermediate tables work the same way in both places.
+    Where the session names none, a scratch folder is made if the master is
+    local (tests); on a cluster this is an error, since every executor would
+    write to a disk of its own.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -55,24 +54,25 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wardflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint root for written tables."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/wardflow/{name}-{uuid.uuid4().hex[:12]}"
+def _own_dir(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/wardflow/{spark.sparkContext.applicationId}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A new, unique folder for a written table, under the shared root and the application's id."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_parent(path: str) -> None:
-    if path.startswith("file:"):
-        path = path[5:]
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path.rstrip("/")), exist_ok=True)
+def drop_shared(spark: SparkSession) -> None:
+    """Remove all tables that this application wrote to the shared root. Results still to be read must not need them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(conf).delete(path, True)

@@ -12,6 +12,13 @@ from pyspark.sql import types as T
 from wardflow.profiles import clinical as P
 from wardflow.session import shared_dir
 
+# What stands for NULL in our files; no code or name is spelt like this.
+NULL_MARK = "\\N"
+# Text comes back as it was: quotes are doubled, blanks kept, line breaks quoted,
+# and NULL (its mark) differs from an empty string.
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+               "nullValue": NULL_MARK, "emptyValue": "", "lineSep": "\n"}
+
 
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
@@ -37,18 +44,17 @@ def model_data_schema(with_index: bool = False) -> T.StructType:
 
 
 def write_feature_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header line. NULL is written as an empty field and an empty
-    string as "" (they differ in the file; read back, both are NULL, as with
-    the usual pandas CSV reader)."""
-    df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
+    """CSV with a header line. NULL is written as ``NULL_MARK``, an empty string as an empty quoted field."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def read_feature_csv(spark: SparkSession, path: str, with_index: bool = False) -> DataFrame:
+def read_feature_csv(spark: SparkSession, path: str, with_index: bool = False, null_value: str = NULL_MARK) -> DataFrame:
     """Read an exported feature frame with the declared schema (no inference:
     codes keep their leading zeros). A leading unnamed index column, as
-    written by pandas, is read and dropped."""
+    written by pandas, is read and dropped; pandas writes NULL as an empty
+    field, so pass ``null_value=""`` for its files."""
     schema = model_data_schema(with_index)
-    df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-          .option("enforceSchema", True).csv(path))
+    df = (spark.read.schema(schema).options(**{**CSV_OPTIONS, "nullValue": null_value})
+          .option("mode", "FAILFAST").option("enforceSchema", True).option("multiLine", True).csv(path))
     return df.drop(P.CSV_INDEX_COLUMN) if with_index else df

@@ -106,9 +106,9 @@ class SyntheticTables(Tables):
             F.element_at(versions, idx.cast("int")).cast("int").alias("icd_version"))
 
     def _procedures_icd(self) -> DataFrame:
-        li = self._lines_with_subject("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+        li = self._lines_with_subject("l_orderkey", "l_partkey", "l_shipdate")
         pk = F.col("l_partkey")
-        return li.where(F.col("l_linenumber") <= 3).select(
+        return li.select(
             F.col("o_custkey").alias("subject_id"),
             F.col("l_orderkey").alias("hadm_id"),
             F.col("l_shipdate").cast("date").alias("chartdate"),
@@ -129,7 +129,7 @@ class SyntheticTables(Tables):
     def _drgcodes(self) -> DataFrame:
         li = self._lines_with_subject("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
         known = F.col("l_returnflag") != "A"
-        return li.where(F.col("l_linenumber") <= 4).select(
+        return li.select(
             F.col("o_custkey").alias("subject_id"),
             F.col("l_orderkey").alias("hadm_id"),
             F.col("l_returnflag").alias("drg_type"),
