@@ -73,7 +73,7 @@ def test_count_filters_and_null_stay(spark):
 
 
 def test_sequence_profile_equals_separate_aggregates(spark):
-    """The fused one-pass aggregate equals sequence + count + distinct + bit_or
+    """The fused one-pass aggregate equals sequence + count + distinct
     + top record computed separately (NULL tokens, NULL order values, NULL
     severities, repeated tokens)."""
     rnd = random.Random(11)
@@ -83,15 +83,15 @@ def test_sequence_profile_equals_separate_aggregates(spark):
             for _ in range(500)]
     df = spark.createDataFrame(data, "subject_id long, hadm_id long, o int, t string, m long, sev int, mort int")
     payload, order = ["t", "sev", "mort"], ["sev", "mort"]
-    fused = agg.sequence_profile(df, K, "t", "o", "s", count_name="n", distinct_name="d", mask="m",
-                                 mask_name="bits", top=(payload, order, "top"))
-    got = {(r["subject_id"], r["hadm_id"]): (r["s"], r["n"], r["d"], r["bits"], tuple(r["top"]))
+    fused = agg.sequence_profile(df, K, "t", "o", "s", count_name="n", distinct_name="d",
+                                 top=(payload, order, "top"))
+    got = {(r["subject_id"], r["hadm_id"]): (r["s"], r["n"], r["d"], tuple(r["top"]))
            for r in fused.collect()}
     sep = df.groupBy(*K).agg(
         F.expr("listagg(t, ' ') WITHIN GROUP (ORDER BY o ASC NULLS FIRST, t)").alias("s"),
-        F.count("t").alias("n"), F.countDistinct("t").alias("d"), F.bit_or("m").alias("bits"))
+        F.count("t").alias("n"), F.countDistinct("t").alias("d"))
     top = agg.top_record(df, K, payload, order, "top")
-    want = {(r["subject_id"], r["hadm_id"]): (r["s"], r["n"], r["d"], r["bits"], tuple(r["top"]))
+    want = {(r["subject_id"], r["hadm_id"]): (r["s"], r["n"], r["d"], tuple(r["top"]))
             for r in sep.join(top, K).collect()}
     assert got == want
     assert dict(fused.dtypes)["n"] == "bigint" and dict(fused.dtypes)["d"] == "bigint"

@@ -1,13 +1,37 @@
 """Models and rows-only queries: structure, not skill (the test label carries
-almost no signal)."""
+almost no signal), and what can be worked out exactly."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from wardflow.operators import models
 from wardflow.plans import modelling as M
+from wardflow.profiles import clinical as P
 from wardflow.sources.synthetic import tables
 
+TINY = {"LogisticRegression": {"C": [1]}, "RandomForest": {"numTrees": [5], "maxDepth": [3]},
+        "GradientBoosting": {"maxIter": [2], "stepSize": [0.1]}}
+
+
+def test_the_grids_are_whole():
+    assert models.GRIDS == {"LogisticRegression": {"C": [0.1, 1, 10]}, "RandomForest": {"numTrees": [50, 100], "maxDepth": [10, 20]},
+                            "GradientBoosting": {"maxIter": [50, 100], "stepSize": [0.01, 0.1]}}
+    for run in (M.grid_search_table, M.model_table):
+        assert run.__defaults__ == (("LogisticRegression", "RandomForest", "GradientBoosting"), models.GRIDS)
+    assert models.grid_points({"a": [1, 2], "b": [3, 4]}) == [{"a": 1, "b": 3}, {"a": 1, "b": 4}, {"a": 2, "b": 3}, {"a": 2, "b": 4}]
+
+
+def test_features_are_pinned(spark):
+    split = M.split_frame(tables(spark, SF_SMALL))
+    features = M.feature_columns(split)
+    assert features == [*P.NUMERIC_FEATURES, *[c for c in split.columns if c.startswith(("race_", "top_drg_type_"))]]
+    assert len(P.NUMERIC_FEATURES) == 19 and len(features) == 28
+    assert split.columns == ["hadm_id", *[c for c in split.columns if c in (*features, P.LABEL)], "split"]
+    # A column that some step adds is no feature.
+    assert M.feature_columns(split.withColumn("_rank", F.lit(1)).withColumn("fold", F.lit(0))) == features
+
 
 def test_lr_scores_the_hold_out(spark):
     t = tables(spark, SF_SMALL)
@@ -20,22 +44,45 @@ def test_lr_scores_the_hold_out(spark):
     assert bad.count() == 0
 
 
+def test_trees_score_the_hold_out(spark):
+    t = tables(spark, SF_SMALL)
+    for name, params in (("RandomForest", {"numTrees": 3, "maxDepth": 3}), ("GradientBoosting", {"maxIter": 2})):
+        pred = M.fit_and_score(t, name, **params)
+        assert pred.where("probability_1 between 0 and 1 and prediction in (0, 1)").count() == pred.count() > 0
+
+
 def test_model_table_and_grid(spark):
     t = tables(spark, SF_SMALL)
-    tab = M.model_table(t, names=("LogisticRegression", "RandomForest"),
-                        grids={"LogisticRegression": {"C": [1]}, "RandomForest": {"numTrees": [5], "maxDepth": [3]}})
-    rows = {r["model"]: r for r in tab.collect()}
-    assert set(rows) == {"LogisticRegression", "RandomForest"}
+    rows = {r["model"]: r for r in M.model_table(t, grids=TINY).collect()}
+    assert set(rows) == set(TINY)
     for r in rows.values():
         assert 0.0 <= r["accuracy"] <= 1.0 and r["support"] > 0
+    grid = M.grid_search_table(t, grids={**TINY, "LogisticRegression": {"C": [0.1, 10]}}).collect()
+    assert [(r["model"], r["params"]) for r in grid] == [
+        ("LogisticRegression", "C=0.1"), ("LogisticRegression", "C=10"), ("RandomForest", "numTrees=5, maxDepth=3"),
+        ("GradientBoosting", "maxIter=2, stepSize=0.1")]
+
+
+def test_the_winner_is_refit_with_its_own_penalty(spark):
+    rng = np.random.default_rng(1)
+    rows = [(float(x), int(x + rng.normal() > 0), i % 3) for i, x in enumerate(rng.normal(size=90))]
+    train = spark.createDataFrame(rows, "x double, y int, fold int")
+    model, _ = models.grid_search(train, ["x"], "y", "fold", "LogisticRegression", {"C": [0.01]})
+    assert abs(model.getRegParam() - 1 / (0.01 * 90)) < 1e-12
+
+
+def test_embeddings_keep_rows_without_codes(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, None), (3, "b c")], "id long, s string")
+    got = {r["id"]: r["embedding"] for r in models.code_embeddings(df, ["id"], "s", vector_size=4, partitions=1).collect()}
+    assert got[2] == [0.0] * 4 and any(got[1]) and any(got[3])
 
 
 def test_embeddings_pca_importance(spark):
     q = E.queries()
-    emb = q["code_embeddings"](spark, SF_SMALL)
-    r = emb.first()
-    assert len(r["embedding"]) == 16
+    for name in ("code_embeddings", "procedure_embeddings"):
+        assert len(q[name](spark, SF_SMALL).first()["embedding"]) == 16
     pca = [r["explained_variance"] for r in q["pca_variance"](spark, SF_SMALL).orderBy("component").collect()]
     assert len(pca) == 5 and pca == sorted(pca, reverse=True) and sum(pca) <= 1.0 + 1e-9
-    imp = q["feature_importance"](spark, SF_SMALL)
-    assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-6
+    imp = M.feature_importance(tables(spark, SF_SMALL), num_trees=5, max_depth=3).collect()
+    assert len(imp) == 28 and abs(sum(r["importance"] for r in imp) - 1.0) < 1e-6
+    assert any(r["coefficient"] for r in imp)

@@ -26,6 +26,10 @@ def test_class_rank_equals_row_number(spark):
 def test_balanced_split_properties(spark):
     df, data = _frame(spark)
     s = prep.balanced_split(df, "y", "hadm_id").cache()
+    assert s.columns == ["hadm_id", "y", "cat", "split"]  # nothing that tells the split beside it
+    ranked = {r["hadm_id"]: r["_rank"] for r in prep.class_rank(df, "y", "hadm_id").collect()}
+    half = min(sum(y for _, y, _ in data), sum(1 - y for _, y, _ in data)) // 2
+    assert {r["hadm_id"] for r in s.where("split = 'train'").collect()} == {i for i, k in ranked.items() if k <= half}
     n0 = sum(1 for _, y, _ in data if y == 0)
     n1 = len(data) - n0
     train = s.where("split = 'train'")
@@ -63,3 +67,32 @@ def test_profile_and_shares(spark):
     sh = {r["y"]: (r["n"], r["share"]) for r in
           prep.class_shares(spark.createDataFrame([(0,), (0,), (1,), (0,)], "y int"), "y").collect()}
     assert sh == {0: (3, 0.75), 1: (1, 0.25)}
+
+
+def test_split_of_tiny_classes(spark):
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "id long, y int")
+    assert {r["split"] for r in prep.balanced_split(df, "y", "id").collect()} == {"test"}
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 0), (5, None), (6, 7)], "id long, y int")
+    got = prep.balanced_split(df, "y", "id", bucket_digits=1).collect()
+    assert sorted((r["y"], r["split"]) for r in got) == [(0, "test"), (0, "train"), (1, "test"), (1, "train")]
+
+
+def test_one_hot_vector_equals_the_wide_form(spark):
+    rows = [(i, None if i % 7 == 0 else f"v{i % 1500:04d}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, c string")
+    values = sorted({v for _, v in rows if v})
+    assert len(values) > 1000
+    got = {r["id"]: r["c_vec"] for r in prep.one_hot_vector(df, "c").collect()}
+    for i, v in rows:
+        assert got[i].size == len(values)
+        assert got[i].indices.tolist() == ([values.index(v)] if v else [])
+
+
+def test_groups_stay_together(spark):
+    df = spark.createDataFrame([(i, i % 50 if i % 3 else None) for i in range(600)], "id long, g long")
+    rows = prep.group_split(df, "g").collect()
+    sides = {}
+    for r in rows:
+        sides.setdefault(r["g"], set()).add(r["split"])
+    assert all(len(s) == 1 for s in sides.values()) and sides[None] == {"train"}
+    assert 3 <= sum(s == {"test"} for s in sides.values()) <= 20

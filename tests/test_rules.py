@@ -77,3 +77,46 @@ def test_flags_per_stay_any_match_and_zero_fill(spark):
     # an ICD-10 code under version 9 matches nothing; NULL code and no codes give zeros
     for k in (2, 3, 4):
         assert all(res[k][c] == 0 for c in P.categories())
+
+
+# Written down by hand from the published category definitions, not from the rule text.
+EXPECTED = {
+    (9, "4109"): {"myocardial_infarct"}, (9, "412"): {"myocardial_infarct"}, (10, "I219"): {"myocardial_infarct"},
+    (10, "I252"): {"myocardial_infarct"}, (10, "I251"): set(), (9, "42821"): {"congestive_heart_failure"},
+    (9, "4255"): {"congestive_heart_failure"}, (9, "4253"): set(), (9, "425"): set(), (10, "I50"): {"congestive_heart_failure"},
+    (9, "4404"): {"peripheral_vascular_disease"}, (9, "4430"): set(), (9, "4435"): {"peripheral_vascular_disease"},
+    (10, "Z959"): {"peripheral_vascular_disease"}, (9, "438"): {"cerebrovascular_disease"}, (9, "439"): set(),
+    (10, "G459"): {"cerebrovascular_disease"}, (10, "I69"): {"cerebrovascular_disease"}, (10, "I59"): set(),
+    (9, "2900"): {"dementia"}, (10, "G301"): {"dementia"}, (9, "496"): {"chronic_pulmonary_disease"}, (9, "506"): set(),
+    (10, "J47"): {"chronic_pulmonary_disease"}, (10, "J48"): set(), (10, "J67"): {"chronic_pulmonary_disease"},
+    (9, "7140"): {"rheumatic_disease"}, (10, "M329"): {"rheumatic_disease"}, (9, "5339"): {"peptic_ulcer_disease"},
+    (10, "K289"): {"peptic_ulcer_disease"}, (9, "5712"): {"mild_liver_disease"}, (9, "5722"): {"severe_liver_disease"},
+    (9, "5729"): set(), (10, "K704"): {"severe_liver_disease"}, (10, "K703"): {"mild_liver_disease"},
+    (9, "25000"): {"diabetes_without_cc"}, (9, "25040"): {"diabetes_with_cc"}, (10, "E119"): {"diabetes_without_cc"},
+    (10, "E112"): {"diabetes_with_cc"}, (9, "3429"): {"paraplegia"}, (10, "G82"): {"paraplegia"}, (9, "585"): {"renal_disease"},
+    (9, "5834"): {"renal_disease"}, (9, "5838"): set(), (10, "N189"): {"renal_disease"}, (9, "1729"): {"malignant_cancer"},
+    (9, "173"): set(), (9, "1741"): {"malignant_cancer"}, (9, "1959"): set(), (10, "C26"): {"malignant_cancer"}, (10, "C27"): set(),
+    (10, "C77"): {"metastatic_solid_tumor"}, (9, "1979"): {"metastatic_solid_tumor"}, (9, "042"): {"aids"}, (9, "045"): set(),
+    (10, "B20"): {"aids"}, (10, "B23"): set(), (10, "410"): set(), (9, "I21"): set(),
+}
+
+
+def test_known_codes(spark):
+    rows = [(i, code, version) for i, (version, code) in enumerate(EXPECTED)]
+    df = spark.createDataFrame(rows, "hadm_id long, icd_code string, icd_version int")
+    got = {r["hadm_id"]: {c for c in P.categories() if r[c] == 1} for r in
+           codes.code_flags(df, "hadm_id", "icd_code", "icd_version", P.parse_rules()).collect()}
+    for i, want in enumerate(EXPECTED.values()):
+        assert got.get(i, set()) == want, rows[i]
+
+
+def test_masks_join_without_broadcast_too(spark):
+    df = spark.createDataFrame([(i, c, v) for i, (v, c) in enumerate(EXPECTED)], "hadm_id long, icd_code string, icd_version int")
+    masks = lambda: sorted((r["hadm_id"], r["_mask"]) for r in
+                           codes.code_masks(df, "hadm_id", "icd_code", "icd_version", P.parse_rules()).collect())
+    spread = masks()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert masks() == spread
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

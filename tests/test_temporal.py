@@ -198,3 +198,35 @@ def test_feature_table_flags_per_stay_id_and_null_stay_events(spark):
     assert (ci[1]["myocardial_infarct"], ci[1]["aids"], ci[1]["congestive_heart_failure"]) == (1, 1, 1)
     for h in (1, 2):
         assert got[h]["charlson_comorbidity_index"] == ci[h]["charlson_comorbidity_index"]
+
+
+def test_rows_without_an_entity(spark):
+    """Ordinals and next starts treat them as one entity (PARTITION BY), histories as none (=)."""
+    rows = [(None, 1, T(2100, 1, 1), "EMERGENCY ROOM"), (None, 2, T(2100, 1, 1, 5), "EMERGENCY ROOM"), (None, 3, T(2100, 2, 1), None),
+            (7, 4, T(2100, 1, 1), "EMERGENCY ROOM"), (7, 5, T(2100, 1, 2), None)]
+    adm = spark.createDataFrame(rows, "subject_id long, hadm_id long, admittime timestamp_ntz, admission_location string")
+    got = {r["hadm_id"]: r for r in temporal.episode_scan(adm, "subject_id", "admittime", "hadm_id", {
+        "w": F.col("admission_location") == "EMERGENCY ROOM"}).collect()}
+    assert {k: r["ordinal"] for k, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 1, 5: 2}
+    assert got[1]["next_start"] == T(2100, 1, 1, 5) and got[2]["next_start"] == T(2100, 2, 1) and got[3]["next_start"] is None
+    assert {k: r["w"] for k, r in got.items()} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+    moves = spark.createDataFrame([(None, T(2099, 1, 1), "u"), (7, T(2099, 1, 1), "u"), (7, None, "u")],
+                                  "subject_id long, intime timestamp_ntz, careunit string")
+    counts = temporal.prior_event_counts(adm, moves, "subject_id", "admittime", "hadm_id", "intime", {"n": F.col("careunit") == "u"})
+    assert {r["hadm_id"]: r["n"] for r in counts.collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 1}
+
+
+def test_a_day_of_many_events_equals_the_join(spark):
+    rnd = random.Random(9)
+    day = T(2100, 5, 5)
+    adm = spark.createDataFrame([(s, 10 * s + k, day + dt.timedelta(hours=rnd.randint(0, 30))) for s in (1, 2) for k in range(6)],
+                                "subject_id long, hadm_id long, admittime timestamp_ntz")
+    moves = spark.createDataFrame(
+        [(rnd.choice([1, 1, 1, 2, 3]), day + dt.timedelta(hours=rnd.randint(-30, 40)), rnd.choice("uvw")) for _ in range(2000)],
+        "subject_id long, intime timestamp_ntz, careunit string")
+    weights = {"u": F.col("careunit") == "u", "vw": F.col("careunit").isin("v", "w")}
+    got = temporal.prior_event_counts(adm, moves, "subject_id", "admittime", "hadm_id", "intime", weights)
+    joined = adm.join(moves, (adm["subject_id"] == moves["subject_id"]) & (F.col("intime") < F.col("admittime")), "left").groupBy(
+        adm["subject_id"], "hadm_id").agg(*[F.sum(F.when(c, 1).otherwise(0)).alias(n) for n, c in weights.items()])
+    key = lambda r: (r["subject_id"], r["hadm_id"], r["u"], r["vw"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, joined.collect()))

@@ -17,7 +17,7 @@ NULL_MARK = "\\N"
 # Text comes back as it was: quotes are doubled, blanks kept, line breaks quoted,
 # and NULL (its mark) differs from an empty string.
 CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-               "nullValue": NULL_MARK, "emptyValue": "", "lineSep": "\n"}
+               "nullValue": NULL_MARK, "lineSep": "\n"}
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -45,7 +45,7 @@ def model_data_schema(with_index: bool = False) -> T.StructType:
 
 def write_feature_csv(df: DataFrame, path: str) -> str:
     """CSV with a header line. NULL is written as ``NULL_MARK``, an empty string as an empty quoted field."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS, emptyValue='""').csv(path)
     return path
 
 
@@ -55,6 +55,6 @@ def read_feature_csv(spark: SparkSession, path: str, with_index: bool = False, n
     written by pandas, is read and dropped; pandas writes NULL as an empty
     field, so pass ``null_value=""`` for its files."""
     schema = model_data_schema(with_index)
-    df = (spark.read.schema(schema).options(**{**CSV_OPTIONS, "nullValue": null_value})
+    df = (spark.read.schema(schema).options(**{**CSV_OPTIONS, "nullValue": null_value, "emptyValue": ""})
           .option("mode", "FAILFAST").option("enforceSchema", True).option("multiLine", True).csv(path))
     return df.drop(P.CSV_INDEX_COLUMN) if with_index else df

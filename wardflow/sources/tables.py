@@ -1,9 +1,10 @@
 """Clinical table schemas and readers.
 
-A ``Tables`` object hands out the hospital tables as lazy DataFrames. Two
+A ``Tables`` object hands out the hospital tables as lazy DataFrames. Three
 providers exist: stored tables (Parquet folders, one per table, e.g. an export
-of the hospital database) and the derived test views built from the TPC-H-like
-test data (``wardflow.sources.synthetic``). Operators never care which one.
+of the hospital database), tables of the catalog, and the derived test views
+built from the TPC-H-like test data (``wardflow.sources.synthetic``). Operators
+never care which one.
 """
 
 from __future__ import annotations
@@ -117,6 +118,18 @@ class ParquetTables(Tables):
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+class CatalogTables(Tables):
+    """Clinical tables of the session's catalog: ``<prefix><table>``, or the name given for a table in ``names``."""
+
+    def __init__(self, spark: SparkSession, prefix: str = "", names: dict[str, str] | None = None):
+        super().__init__(spark)
+        self.prefix, self.names = prefix, names or {}
+
+    def _load(self, name: str) -> DataFrame:
+        df = self.spark.table(self.names.get(name, self.prefix + name))
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+
+
 def stage_tables(tables: Tables, out_root: str, names=TABLE_NAMES, partitions: int | None = None) -> ParquetTables:
     """Write every table once to ``out_root`` (optionally spread evenly over
     ``partitions`` files, so later scans run in parallel) and return a
