@@ -30,10 +30,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.scratch import stored
+from wardflow.llm.scratch import small_batches, stored
 
 PAD = 10  # before its first byte, a text is taken to have line ends
 UNKNOWN = "und"
+MOST_LANGUAGES = 500
 CHUNK = 1 << 20
 
 
@@ -154,12 +155,15 @@ def learn(docs: DataFrame, order: int, rows_per_language: int, max_contexts: int
           seed: int) -> ContextTrees | None:
     """Trees from a sample of ``docs`` (``doc_id, text, lang``); None if nothing is labelled."""
     rows = docs.filter("lang is not null and text is not null and text != ''")
-    known = rows.groupBy("lang").agg(F.count("*").alias("rows"))
-    share = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.join(known, "lang").filter(share < F.lit(rows_per_language) / F.col("rows")).select("lang", "text")
-    languages = sorted(r["lang"] for r in known.select("lang").collect())
+    known = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(known)
     if not languages:
         return None
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"{len(languages)} languages; at most {MOST_LANGUAGES} can be told apart")
+    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, rows_per_language / known[lang]))])
+    hashed = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
+    sample = rows.filter(hashed < share[F.col("lang")]).select("lang", "text")
     counts = stored(context_counts(sample, order), "ppm-counts")
     most = max(1, min(max_contexts, max_cells // (256 * len(languages))))
     # A context occurs at most as often as its shorter ones, which come first in this order.
@@ -173,6 +177,7 @@ def predict(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str
             seed: int = 3) -> DataFrame:
     """``doc_id, lang_pred, score`` of every text; learns from the rows that ``training`` holds for."""
     spark = docs.sparkSession
+    small_batches(spark)
     trees = learn(docs.filter(training).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                                                F.col(lang).alias("lang")),
                   order, rows_per_language, max_contexts, max_cells, seed)
