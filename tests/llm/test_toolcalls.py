@@ -1,6 +1,5 @@
 import json
-
-from pyspark.sql import functions as F
+import random
 
 from wardflow.llm import queries, toolcalls
 
@@ -63,9 +62,32 @@ def test_linking_order_and_validation(spark):
 
 
 def test_long_chain(spark):
-    rows = [row(1, k, "assistant", call((f"c{k}", "search", {"q": {"$result": f"c{k + 1}"} if k < 12 else "end"})))
-            for k in range(13)]
-    assert {r["call_id"]: r["step"] for r in run(spark, rows)} == {f"c{k}": 12 - k for k in range(13)}
+    rows = [row(1, k, "assistant", call((f"c{k}", "search", {"q": {"$result": f"c{k + 1}"} if k < 39 else "end"})))
+            for k in range(40)]
+    assert {r["call_id"]: r["step"] for r in run(spark, rows)} == {f"c{k}": 39 - k for k in range(40)}
+
+
+def test_steps_equal_the_longest_paths(spark):
+    """Random references, cycles and unknown ids among them, against rounds in Python."""
+    rnd = random.Random(1)
+    rows, uses = [], {}
+    for conv in range(12):
+        n = rnd.randint(1, 25)
+        for k in range(n):
+            own = rnd.sample(range(n + (rnd.random() < .1)), min(n, rnd.choice([0, 1, 1, 1, 2, 3])))
+            if rnd.random() < .9:
+                own = sorted({*[u for u in own if u < k], *([k - 1] if k and rnd.random() < .5 else [])})
+            uses[conv, f"c{k}"] = {f"c{u}" for u in own}
+            arguments = {"q": "x", **{f"p{u}": {"$result": f"c{u}"} for u in own}}
+            rows.append(row(conv, rnd.randint(0, 9), "assistant", call((f"c{k}", "search", arguments))))
+    steps = {}
+    for _ in range(40):
+        for (conv, own), needed in uses.items():
+            if all((conv, u) in steps for u in needed):
+                steps[conv, own] = max((steps[conv, u] + 1 for u in needed), default=0)
+    got = {(r["conv_id"], r["call_id"]): r["step"] for r in run(spark, rows)}
+    assert got == {k: steps.get(k, toolcalls.BLOCKED) for k in uses}
+    assert len(steps) < len(uses) and max(steps.values()) > 4
 
 
 def test_empty_table(spark):
@@ -105,4 +127,3 @@ def test_query_against_brute_force(spark):
         if tool == "lookup" and "after" in arguments:
             wrong.append("unknown after")
         assert own["errors"] == wrong
-    assert F is not None

@@ -10,9 +10,9 @@ against the tools' schemas, and written as canonical JSON: keys in order, no
 blanks. DataFrame functions only.
 
 The result is one row per message or call, with the columns that order them
-(``step, turn, part``), so no conversation is gathered in one place. Rounds are
-joins over the calls that still wait; only whether any moved reaches the driver,
-and there are as many as the longest chain of calls.
+(``step, turn, part``), so no conversation is gathered in one place. Chains of
+calls that use one result are shortened by pointer doubling, the rest goes in
+rounds of joins; only whether any call moved reaches the driver.
 
 Defined results: messages that aren't calls or results (broken JSON included)
 are plain text; a call without result is ``unanswered``, one whose results are
@@ -34,36 +34,42 @@ from wardflow.llm.scratch import stored
 CALLS = "struct<tool_calls:array<struct<id:string,name:string,arguments:variant>>>"
 RESULT = "struct<tool_call_id:string,content:variant>"
 #: Steps of blocked calls.
-BLOCKED = 1_000_000_000
+BLOCKED = 1 << 60
 
 #: Kinds of schema_of_variant for each schema type.
 KINDS = {"string": r"^STRING$", "integer": r"^BIGINT$", "number": r"^(BIGINT|DOUBLE|DECIMAL.*)$",
          "boolean": r"^BOOLEAN$", "object": r"^OBJECT", "array": r"^ARRAY"}
 
 
-def argument_errors(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
-    """What is wrong with a call's arguments: an array of short texts, empty if valid.
+def with_argument_errors(calls: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
+    """``calls`` (``name, arguments``) with ``errors``: short texts on what is wrong with the arguments, none if valid.
 
     ``schemas``: tool -> parameter -> (type, required). A ``$result`` reference
     stands for a value of any type.
     """
-    kind = F.schema_of_variant(arguments)
-    keys = F.map_keys(F.from_json(F.to_json(arguments), "map<string,string>"))
+    kept, arguments = calls.columns, F.col("arguments")
+    parameters = sorted({p for tool in schemas.values() for p in tool})
+    # What each parameter holds, found once for all tools.
+    calls = calls.withColumns({"_is": F.schema_of_variant(arguments),
+                               "_keys": F.map_keys(F.from_json(F.to_json(arguments), "map<string,string>")),
+                               **{f"_v{i}": F.try_variant_get(arguments, f"$.{p}", "variant") for i, p in enumerate(parameters)}})
+    calls = calls.select(*kept, "_is", "_keys", *[F.schema_of_variant(f"_v{i}").alias(f"_t{i}") for i in range(len(parameters))],
+                         *[F.try_variant_get(F.col(f"_v{i}"), "$['$result']", "string").isNotNull().alias(f"_r{i}")
+                           for i in range(len(parameters))])
+    name = F.col("name")
     out = F.when(name.isNull() | ~name.isin(*schemas), F.array(F.lit("unknown tool")))
-    out = out.when(arguments.isNull() | ~kind.startswith("OBJECT"), F.array(F.lit("arguments are no object")))
-    for tool, parameters in schemas.items():
+    out = out.when(arguments.isNull() | ~F.col("_is").startswith("OBJECT"), F.array(F.lit("arguments are no object")))
+    for tool, own in schemas.items():
         found = []
-        for parameter, (type_, required) in parameters.items():
-            value = F.try_variant_get(arguments, f"$.{parameter}", "variant")
-            of = F.schema_of_variant(value)
-            reference = F.try_variant_get(arguments, f"$.{parameter}['$result']", "string").isNotNull()
-            missing = value.isNull() | (of == "VOID")
-            error = F.when(missing, F.lit(f"missing {parameter}") if required else F.lit(None).cast("string"))
-            found.append(error.when(~reference & ~of.rlike(KINDS[type_]), F.lit(f"{parameter} is no {type_}")))
-        extra = F.transform(F.array_sort(F.array_except(keys, F.array(*map(F.lit, parameters)))),
+        for parameter, (type_, required) in own.items():
+            i = parameters.index(parameter)
+            of = F.col(f"_t{i}")
+            error = F.when(of.isNull() | (of == "VOID"), F.lit(f"missing {parameter}") if required else F.lit(None).cast("string"))
+            found.append(error.when(~F.col(f"_r{i}") & ~of.rlike(KINDS[type_]), F.lit(f"{parameter} is no {type_}")))
+        extra = F.transform(F.array_sort(F.array_except("_keys", F.array(*map(F.lit, own)))),
                             lambda key: F.concat(F.lit("unknown "), key))
         out = out.when(name == tool, F.concat(F.array_compact(F.array(*found)), extra))
-    return out
+    return calls.select(*kept, out.alias("errors"))
 
 
 def references(arguments: Column) -> Column:
@@ -73,25 +79,60 @@ def references(arguments: Column) -> Column:
     return F.coalesce(F.array_distinct(F.array_compact(ids)), F.array().cast("array<string>"))
 
 
+def _chains(single: DataFrame, targets: DataFrame) -> DataFrame:
+    """``no, anchor, dist`` of the calls that use one result: the first call up their chain that uses none or several,
+    and how far off it is. By pointer doubling, so in as many rounds as the logarithm of the longest chain; a round in
+    which no pointer arrives has only cycles left."""
+    to = targets.select("conv_id", F.col("call_id").alias("used"), F.col("no").alias("to"), (F.col("n_uses") != 1).alias("ends"))
+    pointers = stored(single.join(to, ["conv_id", "used"]).select("no", "to", F.lit(1).cast("long").alias("dist"), "ends"),
+                      "calls-pointers")
+    waiting = pointers.filter("not ends").count()
+    while waiting:
+        onward = pointers.select(F.col("no").alias("to"), F.col("to").alias("to2"), F.col("dist").alias("dist2"),
+                                 F.col("ends").alias("ends2"))
+        moved = pointers.filter("not ends").join(onward, "to").select(
+            "no", F.col("to2").alias("to"), (F.col("dist") + F.col("dist2")).alias("dist"), F.col("ends2").alias("ends"))
+        pointers = stored(pointers.filter("ends").union(moved), "calls-pointers")
+        before, waiting = waiting, pointers.filter("not ends").count()
+        if waiting == before:
+            break
+    return pointers.filter("ends").select("no", F.col("to").alias("anchor"), "dist")
+
+
 def _steps(calls: DataFrame) -> DataFrame:
-    """``no, step`` of the calls (``no, conv_id, call_id, uses``); those that can't be ordered are left out."""
-    waits = stored(calls.select("no", "conv_id", F.explode("uses").alias("call_id")), "calls-waits")
-    done = calls.filter(F.size("uses") == 0).select("no", "conv_id", "call_id", F.lit(0).alias("step"))
-    done = stored(done, "calls-done")
-    latest = done
-    asks = calls.select("no", F.size("uses").alias("asked"), F.col("call_id").alias("own"))
+    """``no, step`` of the calls (``no, conv_id, call_id, uses``); those that can't be ordered are left out.
+
+    Chains of calls that use one result are shortened first. Then calls that use
+    several go on in rounds, each in the round in which it has seen all it asked
+    for (``met``: how many it has seen, and the latest step), so rounds are as
+    many as such calls build on one another.
+    """
+    calls = stored(calls.select("no", "conv_id", "call_id", "uses", F.size("uses").alias("n_uses")), "calls-all")
+    targets = calls.select("no", "conv_id", "call_id", "n_uses")
+    chains = stored(_chains(calls.filter("n_uses = 1").select("no", "conv_id", F.col("uses")[0].alias("used")), targets),
+                    "calls-chains")
+    latest = calls.filter("n_uses = 0").select("no", F.lit(0).cast("long").alias("step"))
+    ordered = [latest]
+    asks = calls.filter("n_uses > 1").select(F.col("no").alias("by"), "conv_id", F.col("n_uses").alias("asked"),
+                                             F.explode("uses").alias("call_id")).join(targets, ["conv_id", "call_id"])
+    asks = asks.join(chains, "no", "left").filter("n_uses <> 1 or anchor is not null")
+    waits = stored(asks.select("by", "asked", F.coalesce("anchor", "no").alias("no"), F.coalesce("dist", F.lit(0)).alias("dist")),
+                   "calls-waits")
     met = None
-    while not latest.isEmpty():
-        now = waits.join(latest.select("conv_id", "call_id", "step"), ["conv_id", "call_id"])
-        now = now.groupBy("no", "conv_id").agg(F.count("*").alias("n"), F.max("step").alias("last"))
-        met = now if met is None else met.union(now)
-        total = met.groupBy("no", "conv_id").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-        met = stored(total, "calls-met")
-        ready = met.join(asks, "no").filter("n = asked")
-        latest = stored(ready.select("no", "conv_id", F.col("own").alias("call_id"), (F.col("last") + 1).alias("step"))
-                        .join(done.select("no"), "no", "left_anti"), "calls-latest")
-        done = done.union(latest)
-    return done.select("no", "step")
+    while not waits.isEmpty() and not latest.isEmpty():
+        seen = waits.join(latest, "no").select("by", "asked", F.lit(1).alias("n"), F.lit(1).alias("new"),
+                                               (F.col("step") + F.col("dist")).alias("step"))
+        if met is not None:
+            seen = seen.unionByName(met.withColumn("new", F.lit(0)))
+        met = stored(seen.groupBy("by", "asked").agg(F.sum("n").cast("int").alias("n"), F.sum("new").cast("int").alias("new"),
+                                                     F.max("step").alias("step")), "calls-met")
+        latest = met.filter("n = asked and new > 0").select(F.col("by").alias("no"), (F.col("step") + 1).alias("step"))
+    if met is not None:
+        ordered.append(met.filter("n = asked").select(F.col("by").alias("no"), (F.col("step") + 1).alias("step")))
+    known = ordered[0] if len(ordered) == 1 else ordered[0].union(ordered[1])
+    along = chains.join(known.select(F.col("no").alias("anchor"), "step"), "anchor").select(
+        "no", (F.col("step") + F.col("dist")).alias("step"))
+    return known.union(along)
 
 
 def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]], conv_id: str = "conv_id",
@@ -110,14 +151,14 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, tuple[str,
 
     calls = parsed.filter("kind = 'call'").select("row", "conv_id", "turn", F.posexplode("c").alias("part", "c"))
     calls = calls.select("row", "conv_id", "turn", "part", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"),
-                         F.to_json("c.arguments").alias("arguments"),
-                         argument_errors(F.col("c.name"), F.col("c.arguments"), schemas).alias("errors"),
-                         references(F.col("c.arguments")).alias("uses"))
-    calls = stored(calls.withColumn("no", F.xxhash64("row", "part")), "chat-calls")
-    place = F.struct("turn", "row", "part")
-    first = calls.groupBy("conv_id", "call_id").agg(F.min(place).alias("first"))
-    calls = calls.join(first, ["conv_id", "call_id"], "left").withColumn(
-        "counts", F.coalesce((F.col("first.row") == F.col("row")) & (F.col("first.part") == F.col("part")), F.lit(False)))
+                         F.col("c.arguments").alias("arguments"), references(F.col("c.arguments")).alias("uses"))
+    calls = with_argument_errors(calls, schemas).withColumns({"arguments": F.to_json("arguments"),
+                                                              "no": F.xxhash64("row", "part")})
+    calls = stored(calls, "chat-calls")
+    first = calls.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "row", "part")).alias("first"))
+    own = (F.col("first.row") == F.col("row")) & (F.col("first.part") == F.col("part"))
+    calls = calls.join(first, ["conv_id", "call_id"], "left").withColumn("counts", F.coalesce(own, F.lit(False)))
+    calls = stored(calls.drop("first"), "chat-marked")
 
     results = parsed.filter("kind = 'result'").select(
         "row", "conv_id", "turn", F.col("r.tool_call_id").alias("call_id"), F.to_json("r.content").alias("content"))
@@ -145,7 +186,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, tuple[str,
         F.array().cast("array<string>").alias("errors"),
         _message(role=F.lit("tool"), call_id=F.col("call_id"), name=F.col("name"), raw=("content", F.col("content"))))
     plain = parsed.filter("kind = 'text'").select(
-        "conv_id", F.lit(0).alias("step"), "turn", F.lit(0).cast("long").alias("part"), "kind",
+        "conv_id", F.lit(0).cast("long").alias("step"), "turn", F.lit(0).cast("long").alias("part"), "kind",
         F.lit(None).cast("string").alias("call_id"), F.lit("text").alias("status"),
         F.array().cast("array<string>").alias("errors"),
         F.concat(F.lit('{"content":'), _quoted(F.col("text")), F.lit(',"role":'), _quoted(F.col("role")), F.lit("}")).alias("json"))
