@@ -3,8 +3,6 @@
 import hashlib
 import random
 
-from pyspark.sql import functions as F
-
 from wardflow.operators import prep
 
 

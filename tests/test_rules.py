@@ -1,9 +1,5 @@
 """Comorbidity rule table: parsing, every listed value, range ends and neighbours."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from wardflow.operators import codes
 from wardflow.profiles import clinical as P
 

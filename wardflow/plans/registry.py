@@ -30,8 +30,6 @@ def _scan_admissions(t):
 
 
 def _age_score(t):
-    from pyspark.sql import functions as F
-
     from wardflow.functions.scores import score_bands
     from wardflow.profiles import clinical as P
     a = C.age(t)
