@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.scratch import small_batches
+
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Sequences are numbered from the task's number times this.
 SEQUENCES_PER_TASK = 1 << 40
@@ -186,6 +188,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
         if pieces:
             yield pd.DataFrame(pieces, columns=columns)
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInPandas(task, PIECES)
 

@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.scratch import small_batches
+
 MARK = "▁"
 #: Stands before the first piece of a unit.
 START = 0
@@ -326,6 +328,7 @@ def decoder(merges: Merges):
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = "piece_bpe_32k.model",
            rows_at_once: int = 4000) -> DataFrame:
     """``doc_id, ids``: the ids as little-endian unsigned 32-bit integers."""
+    small_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Merges.parts(model))
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -342,6 +345,7 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
 
 def decode(encoded: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
     """``doc_id, text`` of encoded rows (``doc_id, ids``)."""
+    small_batches(encoded.sparkSession)
     vocabulary = encoded.sparkSession.sparkContext.broadcast(Merges.parts(model))
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,6 +360,7 @@ def decode(encoded: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
 def roundtrip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = "piece_bpe_32k.model",
               rows_at_once: int = 4000) -> DataFrame:
     """``doc_id, ids, same``: encoded rows, and whether decoding gives the text back (marks in it read as blanks)."""
+    small_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Merges.parts(model))
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.scratch import stored
+from wardflow.llm.scratch import small_batches, stored
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "name", "secret", "ssn")
@@ -299,6 +299,7 @@ def _chosen(weights: np.ndarray, spans: str = "spans") -> Column:
 
 def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` with ``spans``: structs of start, rank of the kind, end, kind and base, in order."""
+    small_batches(docs.sparkSession)
     rows = stored(docs.select(F.col(doc_id).alias("doc_id"), candidate_spans(F.col(text)).alias("spans")), "pii-spans")
     return rows.withColumn("spans", _chosen(trained(rows)))
 
@@ -342,6 +343,7 @@ def replaced(text: Column, spans: Column) -> Column:
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span found in ``text`` replaced by its kind in angle brackets; other columns as they were."""
+    small_batches(docs.sparkSession)
     rows = stored(docs.select(F.struct(*docs.columns).alias("row"), candidate_spans(F.col(text)).alias("spans")), "pii-texts")
     clean = replaced(F.col("row")[text], _chosen(trained(rows)))
     return rows.select(*[(clean if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
