@@ -32,6 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates. Of rows that repeat an id and text, one; null ids stay."""
+    docs = docs.select(*COLUMNS)
     kept = probminhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").withColumn("_key", F.xxhash64("text"))
     named = named.dropDuplicates(["doc_id", "_key"])
