@@ -14,18 +14,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def compared(members: DataFrame, group: str, row: str, block: int, schema: str,
+def compared(members: DataFrame, payload: DataFrame, group: str, row: str, block: int, schema: str,
              compare: Callable[[pd.DataFrame, pd.DataFrame | None], Iterator[pd.DataFrame]]) -> DataFrame:
-    """Run ``compare(left, right)`` on every pair of slots of every group (``right`` None: a slot with itself)."""
-    sizes = members.groupBy(group).agg(F.count("*").alias("_size"))
-    slots = F.ceil(F.col("_size") / block)
+    """Run ``compare(left, right)`` on every pair of slots of every group (``right`` None: a slot with itself).
+
+    ``members`` has a narrow row per member, ``payload`` (by ``row``) what the comparison reads; the members are
+    dealt out first. Only groups of more than one slot need a look-up of their size: at most one for each ``block`` rows.
+    """
+    sizes = members.groupBy(group).agg(F.count("*").alias("_size")).filter(F.col("_size") > block)
+    slots = F.coalesce(F.ceil(F.col("_size") / block), F.lit(1))
     shares = max(1, -(-members.count() // block))
-    dealt = members.join(sizes, group).withColumns({"_slots": slots, "_slot": F.pmod(F.xxhash64(row), slots)})
+    dealt = members.join(sizes, group, "left").withColumns({"_slots": slots, "_slot": F.pmod(F.xxhash64(row), slots)})
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1)))
     dealt = dealt.withColumns({
         "_lo": F.least("_slot", "_other"), "_hi": F.greatest("_slot", "_other"),
         "_whole": F.when(F.col("_slots") > 1, F.col(group)),
-        "_share": F.when(F.col("_slots") == 1, F.pmod(F.xxhash64(group), F.lit(shares)))})
+        "_share": F.when(F.col("_slots") == 1, F.pmod(F.xxhash64(group), F.lit(shares)))}).join(payload, row)
 
     def task(rows: pd.DataFrame) -> pd.DataFrame:
         out = []

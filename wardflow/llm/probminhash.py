@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.blocks import compared
 from wardflow.llm.components import connected_components
-from wardflow.llm.scratch import stored
+from wardflow.llm.scratch import small_batches, stored
 
 _ODD = tuple((0x9E3779B97F4A7C15 * (2 * k + 1) | 1) % (1 << 64) for k in range(64))
-#: Ids up to this many (at 8 bytes) are sent to all executors; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Ids up to this many (at some 50 bytes, with the fingerprint) are sent to all executors; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     threshold: float = 0.8, bands: int = 28, rows: int = 4, weighting: str = "unit",
                     block: int = 512) -> DataFrame:
     """``doc_id``, ``class_id`` (the smallest id of its class) and ``kept``, one row per row of ``docs``."""
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     rows_in = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sk = stored(sketches(rows_in, width, bands, rows, weighting), "pmh-sketches")
     # A node is a text: its words' fingerprint, as a number.
@@ -287,11 +287,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not apart.isEmpty():
         clusters = stored(connected_components(pairs, "pmh-reach").withColumnRenamed("component", "cluster"), "pmh-clusters")
         open_ = clusters.join(apart, "node").select("cluster").distinct()
-        rows = (clusters.join(open_, "cluster").join(apart, "node", "left").join(found, "node", "left").join(sets, "node")
-                .select("cluster", "node", F.coalesce("component", "node").alias("c"),
-                        F.coalesce("apart", F.lit(False)).alias("apart"), "h", "w"))
+        rows = clusters.join(open_, "cluster", "left_semi").join(apart, "node", "left").join(found, "node", "left").select(
+            "cluster", "node", F.coalesce("component", "node").alias("c"), F.coalesce("apart", F.lit(False)).alias("apart"))
         unit = weighting == "unit"
-        more = compared(rows, "cluster", "node", block, "a long, b long",
+        more = compared(stored(rows, "pmh-open"), sets, "cluster", "node", block, "a long, b long",
                         lambda left, right: block_links(left, right, threshold, unit))
         found = connected_components(links.union(stored(more, "pmh-more-links")), "pmh-2")
 
