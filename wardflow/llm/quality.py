@@ -26,6 +26,8 @@ SPACE, NOT_SPACE = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
 NOT_SYMBOL = r"[^#*$%&|<>]+"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("x0", "x1", "x2", "x3", "x4")
+#: Rows of a group are spread over so many tasks when joined.
+SALTS = 64
 #: Least standard deviation of each transformed statistic: what is nearly constant in a group doesn't reject.
 FLOORS = (0.5, 0.5, 0.05, 0.2, 0.2)
 
@@ -96,10 +98,15 @@ def _cholesky(groups: DataFrame) -> DataFrame:
     return groups.select("g", *[f"m{i}" for i in range(n)], *[f"l{i}{j}" for i, j in _pairs()])
 
 
+def _spread(groups: DataFrame) -> DataFrame:
+    """A row per group and salt: rows of a large group meet their estimate in many tasks."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _distances(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` with ``d``, the squared Mahalanobis distance to the estimate of their group (null without one)."""
     kept = rows.columns
-    out = rows.join(_cholesky(groups), "g", "left")
+    out = rows.join(_spread(_cholesky(groups)), ["g", "salt"], "left")
     for i in range(len(FEATURES)):
         inner = sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", (F.col(FEATURES[i]) - F.col(f"m{i}") - inner) / F.col(f"l{i}{i}"))
@@ -109,7 +116,7 @@ def _distances(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def _first_estimate(rows: DataFrame) -> DataFrame:
     """Medians, and squared median deviations as a diagonal covariance."""
     median = rows.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"m{i}") for i, x in enumerate(FEATURES)])
-    spread = rows.join(median, "g").groupBy("g").agg(
+    spread = rows.join(_spread(median), ["g", "salt"]).groupBy("g").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(len(FEATURES))],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i, x in enumerate(FEATURES)])
     return spread.select("g", *[f"m{i}" for i in range(len(FEATURES))], *[
@@ -123,7 +130,7 @@ def estimates(rows: DataFrame, keep_share: float, steps: int) -> DataFrame:
     for k in range(steps):
         near = _distances(rows, now)
         cut = near.groupBy("g").agg(F.percentile_approx("d", keep_share, 1000).alias("cut"))
-        now = stored(_moments(near.join(cut, "g").filter("d <= cut")), f"mcd-{k}")
+        now = stored(_moments(near.join(_spread(cut), ["g", "salt"]).filter("d <= cut")), f"mcd-{k}")
     return now
 
 
@@ -144,12 +151,12 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                         _group(F.col(language), F.col(source)).alias("g_own"),
                         _group(F.col(language), F.lit("*")).alias("g_pool"))
     stats = text_statistics(named, carry=(*carry, "g_own", "g_pool"))
-    stats = stored(stats.withColumn("base_failed", base_failed())
+    stats = stored(stats.withColumns({"base_failed": base_failed(), "salt": F.pmod(F.hash("doc_id", "n_words"), F.lit(SALTS))})
                    .withColumns(dict(zip(FEATURES, _features()))), "quality-statistics")
     good = stats.filter("not base_failed")
     large = good.groupBy("g_own").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select(
         F.col("g_own"), F.lit(True).alias("large"))
-    rows = stats.join(large, "g_own", "left").withColumn(
+    rows = stats.join(_spread(large), ["g_own", "salt"], "left").withColumn(
         "g", F.when(F.col("large"), F.col("g_own")).otherwise(F.concat(F.lit("pool"), "g_pool"))).drop("large")
     good = rows.filter("not base_failed")
     enough = good.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select("g")
@@ -159,9 +166,12 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                       (~F.col("base_failed") & (F.coalesce(F.col("d"), F.lit(0.0)) <= cut)).alias("kept"))
 
 
-def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",
+                   source: str = "source", **parameters) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they were. Rows of one id and text stay or go together."""
     key = F.xxhash64(F.col(text))
-    verdicts = quality_verdicts(docs.withColumn("_key", key), doc_id, text, carry=("_key",), **parameters)
-    kept = verdicts.filter("kept").select(F.col("doc_id").alias("_id"), "_key").distinct()
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_id"]) & (key == kept["_key"]), "left_semi")
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(language).alias("lang"),
+                        F.col(source).alias("source"), key.alias("body"))
+    kept = quality_verdicts(named, carry=("body",), **parameters).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("body").alias("kept_body")).distinct()
+    return docs.join(kept, docs[doc_id].eqNullSafe(kept["kept_id"]) & (key == kept["kept_body"]), "left_semi")
