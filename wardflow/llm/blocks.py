@@ -13,15 +13,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.scratch import stored
+
+BROADCAST_GROUPS = 200_000
+
 
 def compared(members: DataFrame, payload: DataFrame, group: str, row: str, block: int, schema: str,
              compare: Callable[[pd.DataFrame, pd.DataFrame | None], Iterator[pd.DataFrame]]) -> DataFrame:
     """Run ``compare(left, right)`` on every pair of slots of every group (``right`` None: a slot with itself).
 
     ``members`` has a narrow row per member, ``payload`` (by ``row``) what the comparison reads; the members are
-    dealt out first. Only groups of more than one slot need a look-up of their size: at most one for each ``block`` rows.
+    dealt out first. Only groups of more than one slot need a look-up of their size, at most one for each ``block`` rows;
+    up to ``BROADCAST_GROUPS`` of them are sent to all executors, so that a large group's members stay where they are.
     """
     sizes = members.groupBy(group).agg(F.count("*").alias("_size")).filter(F.col("_size") > block)
+    sizes = stored(sizes, "block-sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_GROUPS else sizes
     slots = F.coalesce(F.ceil(F.col("_size") / block), F.lit(1))
     shares = max(1, -(-members.count() // block))
     dealt = members.join(sizes, group, "left").withColumns({"_slots": slots, "_slot": F.pmod(F.xxhash64(row), slots)})
