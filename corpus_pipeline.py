@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cross-site boilerplate lines go; so do documents that held nothing else."""
-    out = linededup.drop_boilerplate(docs)
+    """Cross-site boilerplate lines go, short ones if on twice as many sites; so do documents that held nothing else."""
+    out = linededup.drop_boilerplate(docs, short_sites=6)
     return _documents(out.filter((F.col("n_removed") == 0) | F.col("text").rlike(quality.NOT_SPACE)))
 
 

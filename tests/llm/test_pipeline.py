@@ -51,6 +51,13 @@ def test_lines_drop_documents_of_boilerplate_only(spark):
     assert {r["doc_id"]: r["n_chars"] for r in out.collect()}[1] == len("\n".join([prose(11, 60)]))
 
 
+def test_short_lines_and_lines_without_blanks_go(spark):
+    cjk, short, chance = "请阅读我们的隐私政策和使用条款", "Read more", "Yes."
+    rows = [(i, "\n".join([prose(10 + i, 60), *[cjk] * (i < 3), *[chance] * (i < 5), short]), f"s{i}") for i in range(6)]
+    got = {r["doc_id"]: r["text"].split("\n")[1:] for r in C.line_dedup(spark, table(spark, rows), SF).collect()}
+    assert got == {0: [cjk, chance, short], 1: [chance], 2: [chance], 3: [chance], 4: [chance], 5: []}
+
+
 def test_personal_data_goes(spark):
     out = C.personal_data(spark, table(spark, [(1, "write to a@b.com now", "x"), (2, "nothing", "x")]), SF)
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "write to <email> now", 2: "nothing"}

@@ -7,6 +7,10 @@ the threshold get an exact distinct count. Boilerplate lines go from every
 document but the first that has them (smallest id, then position). DataFrame
 functions only.
 
+Lines of fewer words stay, as in the SQL of ``op5_lines``, unless ``short_sites``
+is given: then every non-blank line is sketched, and short ones are boilerplate
+at that many sites. There, letters of scripts without blanks count as words.
+
 Sketches are combined map-side, so a line on a third of all rows is one sketch
 per task; the rows that hold boilerplate are found by a join that splits such
 lines. Documents are shuffled once, to meet the positions to leave out.
@@ -32,40 +36,53 @@ def enough_words(least: int) -> str:
     return r"[^ \t]+[ \t]+" * (least - 1) + r"[^ \t]"
 
 
+def enough_letters(least: int) -> str:
+    """A line of at least ``least`` letters of scripts that put no blanks between words."""
+    scripts = "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+    return rf"([{scripts}][^{scripts}]*){{{least}}}"
+
+
 def _order(doc_id: Column) -> Column:
     return F.coalesce(doc_id, F.lit(LAST_ID))
 
 
-def boilerplate(lines: DataFrame, min_sites: int, sketch_bits: int, margin: float) -> DataFrame:
-    """``h, first_doc, first_pos`` of the lines (``h, site, doc, pos``) on at least ``min_sites`` sites."""
+def boilerplate(lines: DataFrame, sketch_bits: int, margin: float) -> DataFrame:
+    """``h, first_doc, first_pos`` of the lines (``h, asked, site, doc, pos``) on at least ``asked`` sites."""
     spread = lines.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(sketch_bits)).alias("sketch"),
-                                    F.min(F.struct("doc", "pos")).alias("first"))
-    spread = spread.select("h", F.hll_sketch_estimate("sketch").alias("sites"), F.col("first.doc").alias("first_doc"),
+                                    F.min(F.struct("doc", "pos")).alias("first"), F.max("asked").alias("asked"))
+    spread = spread.select("h", "asked", F.hll_sketch_estimate("sketch").alias("sites"), F.col("first.doc").alias("first_doc"),
                            F.col("first.pos").alias("first_pos"))
-    slack = max(1.0, margin * min_sites)
-    spread = stored(spread.filter(F.col("sites") >= min_sites - slack), "line-spread")
-    near = spread.filter(F.col("sites") <= min_sites + slack)
-    exact = (lines.join(near.select("h"), "h", "left_semi").select("h", "site").distinct()
-             .groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites).select("h"))
-    sure = spread.filter(F.col("sites") > min_sites + slack).select("h")
+    slack = F.greatest(F.lit(1.0), margin * F.col("asked"))
+    spread = stored(spread.filter(F.col("sites") >= F.col("asked") - slack), "line-spread")
+    near = spread.filter(F.col("sites") <= F.col("asked") + slack)
+    exact = (lines.join(near.select("h"), "h", "left_semi").select("h", "asked", "site").distinct()
+             .groupBy("h", "asked").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("asked")).select("h"))
+    sure = spread.filter(F.col("sites") > F.col("asked") + slack).select("h")
     return spread.join(sure.union(exact), "h", "left_semi").select("h", "first_doc", "first_pos")
 
 
 def drop_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
-                     min_sites: int = 3, min_words: int = 3, sketch_bits: int = 10, margin: float = 0.2) -> DataFrame:
+                     min_sites: int = 3, min_words: int = 3, sketch_bits: int = 10, margin: float = 0.2,
+                     short_sites: int | None = None) -> DataFrame:
     """``docs`` with boilerplate lines left out of ``text`` and ``n_removed``, how many those were.
 
-    ``margin`` is the part of ``min_sites`` on either side within which lines
+    A line of fewer than ``min_words`` words is boilerplate on ``short_sites`` sites, by default never.
+    ``margin`` is the part of the sites asked on either side within which lines
     are counted exactly: several standard errors of a sketch of 2^``sketch_bits``.
     """
     body = F.xxhash64(F.col(text))
     rows = docs.select(_order(F.col(doc_id).cast("long")).alias("doc"), body.alias("body"),
                        F.xxhash64(F.col(site).isNull(), F.col(site)).alias("site"),
                        F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
-    lines = rows.filter(F.col("line").rlike(enough_words(min_words))).select(
-        "doc", "body", "site", "pos", F.xxhash64(F.trim("line")).alias("h"))
+    key, asked = F.trim("line"), F.lit(min_sites)
+    searched = enough_words(min_words)
+    if short_sites is not None:
+        long = key.rlike(enough_words(min_words)) | key.rlike(enough_letters(2 * min_words))
+        asked, searched = F.when(long, min_sites).otherwise(short_sites), r"[^\x20\x09-\x0D]"
+    lines = rows.filter(F.col("line").rlike(searched)).select(
+        "doc", "body", "site", "pos", asked.alias("asked"), F.xxhash64(key).alias("h"))
     lines = stored(lines, "lines")
-    found = stored(boilerplate(lines, min_sites, sketch_bits, margin), "line-boilerplate")
+    found = stored(boilerplate(lines, sketch_bits, margin), "line-boilerplate")
     first = (F.col("doc") == F.col("first_doc")) & (F.col("pos") == F.col("first_pos"))
     out = (lines.join(found, "h").filter(~first).groupBy("doc", "body")
            .agg(F.collect_set("pos").alias("_out")))
