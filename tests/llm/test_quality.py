@@ -78,3 +78,38 @@ def test_estimate_equals_concentration_steps_in_numpy(spark):
         m, c = near.mean(axis=0), np.cov(near.T, bias=True) + floors
     assert np.allclose(got, far(), rtol=1e-6)
     assert (far()[:40] > 25).all()
+
+
+def verdicts(spark, texts):
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string")
+    return {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
+
+
+def lines_of(seed, n, words=8):
+    return [prose(seed * 1000 + k, words) for k in range(n)]
+
+
+def test_repeated_lines_and_repeated_words_reject_each_alone(spark):
+    """In a group without repeats; two words in a line are no window that comes twice."""
+    clean = ["\n".join(lines_of(i, 10 + i % 40)) for i in range(200)]
+    same = "\n".join("ab cd" if k % 2 else f"a{k} {prose(5000 + k, 8)} z{k}" for k in range(40))  # half of the lines, no window twice
+    odd = prose(1, 60)
+    words = "\n".join(lines_of(301, 30) + [odd + " x " + prose(2, 55) + " " + odd])  # no line twice
+    both = lines_of(302, 12)
+    got = verdicts(spark, clean + [same, words, "\n".join(both + both[:5])])
+    assert all(got[i]["kept"] for i in range(200))
+    a, b = got[200], got[201]
+    assert not a["base_failed"] and a["n_dup_lines"] > 10 and a["n_repeat_words"] == 0 and not a["kept"]
+    assert not b["base_failed"] and b["n_dup_lines"] == 0 and b["n_repeat_words"] == 120 and not b["kept"]
+
+
+def test_one_repeated_line_stays_at_any_length(spark):
+    clean = ["\n".join(lines_of(i, int(10 * 40 ** (i / 199)))) for i in range(200)]
+    once = []
+    for k, n in enumerate((10, 20, 50, 400)):
+        own = lines_of(400 + k, n)
+        once.append("\n".join([*own, own[n // 2]]))
+    got = verdicts(spark, clean + once)
+    for r in (got[200 + k] for k in range(4)):
+        assert r["n_dup_lines"] == 1 and not r["base_failed"] and r["kept"], r

@@ -8,7 +8,8 @@ The estimate starts from medians and median deviations (deterministic), then
 takes concentration steps: distances, the share ``keep_share`` of a group's rows
 with the smallest ones, and mean and covariance of those. A group of fewer than
 ``min_rows`` rows is pooled with the other small groups of its language; if the
-pool is small too, its rows get no verdict and stay.
+pool is small too, its rows get no verdict and stay. Each document's distance
+has floors from its own length under the spread of repeated lines and words.
 
 Defined results: a null or empty text has no words and fails the base rules;
 null languages and sources are groups of their own; repeated rows are judged
@@ -28,8 +29,10 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("x0", "x1", "x2", "x3", "x4")
 #: Rows of a group are spread over so many tasks when joined.
 SALTS = 64
-#: Least standard deviation of each transformed statistic: what is nearly constant in a group doesn't reject.
-FLOORS = (0.5, 0.5, 0.05, 0.2, 0.2)
+#: Least standard deviation of each transformed statistic in a group: what is nearly constant there doesn't reject.
+FLOORS = (0.5, 0.5, 0.05, 0.02, 0.02)
+#: Each document's own floors for x3 and x4, see ``_own_floors``.
+OWN = {3: "f3", 4: "f4"}
 
 
 def text_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple = ()) -> DataFrame:
@@ -72,6 +75,15 @@ def _features() -> list[Column]:
             F.sqrt(F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))), F.sqrt(F.col("n_repeat_words") / words)]
 
 
+def _own_floors() -> list[Column]:
+    """A third of what one repeated line changes in x3 and x4 of a document of this length: one line of a group without
+    any adds 9 to the squared distance by its share of the lines and 9 by that of the words (both its copies), and
+    three reject. A window is six words. In x4 at most what lets 40 % repeated words reject alone."""
+    words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
+    line = F.when(F.col("n_lines") > 1, 2 * words / lines).otherwise(F.lit(0.0))
+    return [F.sqrt(1 / lines) / 3, F.sqrt(F.least(F.greatest(line, F.lit(6.0)) / words / 9, F.lit(0.4 / 25)))]
+
+
 def _pairs() -> list[tuple[int, int]]:
     return [(i, j) for i in range(len(FEATURES)) for j in range(i + 1)]
 
@@ -87,7 +99,8 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 
 def _cholesky(groups: DataFrame) -> DataFrame:
-    """The lower-triangular factor of each group's covariance, column after column."""
+    """The lower-triangular factor of each group's covariance, column after column; the last two of the covariance
+    itself are kept, for documents with floors of their own."""
     n = len(FEATURES)
     for j in range(n):
         inner = sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
@@ -95,7 +108,20 @@ def _cholesky(groups: DataFrame) -> DataFrame:
         groups = groups.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - sum(
             (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}")
             for i in range(j + 1, n)})
-    return groups.select("g", *[f"m{i}" for i in range(n)], *[f"l{i}{j}" for i, j in _pairs()])
+    return groups.select("g", *[f"m{i}" for i in range(n)], *[f"l{i}{j}" for i, j in _pairs()],
+                         *[f"c{i}{j}" for i in OWN for j in OWN if j <= i])
+
+
+def _with_own_floors(rows: DataFrame) -> DataFrame:
+    """The last factors of each row's covariance, with the row's own floors added to it."""
+    for j, floor in OWN.items():
+        inner = sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
+        spread = F.greatest(F.col(f"c{j}{j}") - inner, F.lit(FLOORS[j] ** 2 / 4))
+        rows = rows.withColumn(f"l{j}{j}", F.sqrt(spread + F.col(floor) ** 2))
+        rows = rows.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - sum(
+            (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}")
+            for i in OWN if i > j})
+    return rows
 
 
 def _spread(groups: DataFrame) -> DataFrame:
@@ -103,10 +129,11 @@ def _spread(groups: DataFrame) -> DataFrame:
     return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def _distances(rows: DataFrame, groups: DataFrame) -> DataFrame:
+def _distances(rows: DataFrame, groups: DataFrame, own_floors: bool = False) -> DataFrame:
     """``rows`` with ``d``, the squared Mahalanobis distance to the estimate of their group (null without one)."""
     kept = rows.columns
     out = rows.join(_spread(_cholesky(groups)), ["g", "salt"], "left")
+    out = _with_own_floors(out) if own_floors else out
     for i in range(len(FEATURES)):
         inner = sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", (F.col(FEATURES[i]) - F.col(f"m{i}") - inner) / F.col(f"l{i}{i}"))
@@ -152,7 +179,7 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                         _group(F.col(language), F.lit("*")).alias("g_pool"))
     stats = text_statistics(named, carry=(*carry, "g_own", "g_pool"))
     stats = stored(stats.withColumns({"base_failed": base_failed(), "salt": F.pmod(F.hash("doc_id", "n_words"), F.lit(SALTS))})
-                   .withColumns(dict(zip(FEATURES, _features()))), "quality-statistics")
+                   .withColumns(dict(zip([*FEATURES, *OWN.values()], [*_features(), *_own_floors()]))), "quality-statistics")
     good = stats.filter("not base_failed")
     large = good.groupBy("g_own").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select(
         F.col("g_own"), F.lit(True).alias("large"))
@@ -161,7 +188,7 @@ def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     good = rows.filter("not base_failed")
     enough = good.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select("g")
     found = estimates(good, keep_share, steps).join(enough, "g", "left_semi")
-    out = _distances(rows, found)
+    out = _distances(rows, found, own_floors=True)
     return out.select("doc_id", *carry, *STATS, "base_failed", F.col("d").alias("distance"),
                       (~F.col("base_failed") & (F.coalesce(F.col("d"), F.lit(0.0)) <= cut)).alias("kept"))
 
