@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, linededup, packing, pieces, pii, probminhash, projections, quality, toolcalls, warc
+from wardflow.llm import language, linededup, mixing, packing, phrases, pieces, pii, probminhash, projections, quality, toolcalls, warc
 from wardflow.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,5 +92,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.detect(read_table(spark, sf_dir, "documents")))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_probminhash, op2_pack, op3_language, op4_pieces, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii)}
+    op1_probminhash, op2_pack, op3_language, op4_pieces, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii, op12_phrases, op13_mix)}

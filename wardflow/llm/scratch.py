@@ -20,6 +20,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, most: int = 100_000) -> DataFrame:
+    """Write ``df`` under the shared folder in buckets of ``key`` (two for each of its partitions) and read it back: what
+    is grouped or joined by ``key`` with it comes to its buckets, and it stays where it is. For tables of few, large rows."""
+    spark: SparkSession = df.sparkSession
+    path = shared_dir(spark, f"llm-{name}")
+    table = "wardflow_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+    buckets = min(most, max(1, 2 * df.rdd.getNumPartitions()))
+    df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
+    return spark.table(table)
+
+
 def small_batches(spark: SparkSession, size: str = "8m") -> None:
     """Bound the Arrow batches that tasks exchange with Python by bytes: rows of text are of any length."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
