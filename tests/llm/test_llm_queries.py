@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLES) <= set(QUERIES)
 
 
@@ -22,4 +22,5 @@ def test_query_matches_oracle(spark, name):
 def test_query_runs_over_its_whole_table(spark, name):
     table = {"op6": "conversations", "op8": "pages", "op9": "embeddings"}.get(name.split("_")[0], "documents")
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
-    assert QUERIES[name](spark, SF).count() >= n
+    if name != "op12_phrases":  # its rows are phrases, not documents
+        assert QUERIES[name](spark, SF).count() >= n

@@ -1,0 +1,133 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_rows import edge_docs, no_docs
+
+from wardflow.llm import phrases
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def counted(rows):
+    """Counts of all phrases of 1 to 4 words per language."""
+    found = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    found[lang or "und"][tuple(words[i:i + k])] += 1
+    return found
+
+
+def expected(rows, least=30, top=2000, cover=80):
+    out = []
+    for lang, f in counted(rows).items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        kept = []
+        for p, a in candidates.items():
+            longer = [b for q, b in candidates.items() if len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))]
+            if any(100 * b >= cover * a for b in longer):
+                continue
+            score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def made_rows(seed, n=400):
+    rnd = random.Random(seed)
+    vocab = ["New", "York", "a", "the", "of", "ÄB", "日本", "it's", "x-y", "in"]
+    fixed = ["New York in the", "a of the", "ÄB 日本 x-y", "it's a it's a"]
+    rows = []
+    for _ in range(n):
+        parts = [rnd.choice(fixed) if rnd.random() < 0.3 else rnd.choice(vocab) for _ in range(rnd.randint(0, 30))]
+        text = "".join(p + rnd.choice([" ", "  ", "\t", " ", ". ", "\n", "!"]) for p in parts)
+        rows.append((rnd.choice(["en", "de", None]), text))
+    return rows
+
+
+@pytest.mark.parametrize("shard_words", [50, 1 << 22])
+def test_equals_brute_force(spark, shard_words):
+    rows = made_rows(shard_words) + [("en", None), ("und", "New York in the end"), ("en", "")]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    got = phrases.collocations(docs, shard_words=shard_words)
+    assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == expected(rows)
+    few = phrases.collocations(docs, shard_words=shard_words, top=7, salts=3)
+    assert sorted(tuple(r) for r in few.collect()) == expected(rows, top=7)
+
+
+def test_counts_of_all_ngrams(spark):
+    rows = made_rows(9, 60)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    sizes, found = phrases.ngrams(docs, min_count=1, shard_words=100)
+    want = counted(rows)
+    got = {(r["lang"], tuple(r["words"])): r["total"] for level in found for r in level.collect()}
+    assert got == {(lang, p): n for lang, f in want.items() for p, n in f.items()}
+    assert {r["lang"]: r["n"] for r in sizes.collect()} == {
+        lang: sum(n for p, n in f.items() if len(p) == 1) for lang, f in want.items()}
+    for r in found[3].collect():
+        own = want[r["lang"]]
+        words = tuple(r["words"])
+        assert r["heads"] == [own[words[:k]] for k in range(1, 5)]
+        assert r["tails"] == [own[words[-k:]] for k in range(1, 5)]
+
+
+def test_edge_rows(spark):
+    docs = edge_docs(spark)
+    got = phrases.collocations(docs, min_count=2)
+    rows = [(r["lang"], r["text"]) for r in docs.select("lang", "text").collect()]
+    assert sorted(tuple(r) for r in got.collect()) == expected(rows, least=2)
+    assert phrases.collocations(no_docs(spark)).count() == 0
+
+
+def test_large_numbers_are_exact(spark):
+    """Scores of counts beyond what doubles and 64-bit products hold."""
+    a, left, right = 4_611_686_018_427_387_905, 4_611_686_018_427_387_905, 4_611_686_018_427_387_907
+    row = spark.createDataFrame([(a, [left], [right])], "total long, heads array<long>, tails array<long>")
+    score = row.selectExpr("cast((2000000 * cast(total as decimal(20,0))) div (cast(heads[0] as decimal(20,0)) + tails[0]) as bigint)")
+    assert score.first()[0] == 2_000_000 * a // (left + right)
+
+
+def test_extension_in_both_directions():
+    rnd = np.random.default_rng(3)
+    ids = np.concatenate([[0], rnd.integers(0, 6, 500), [0]]).astype(np.int32)
+    prev, after = phrases.index_of(ids, 5, 3)
+    text = ids.tolist()
+    starts = phrases.starts_of(prev, 5)
+    assert (starts == phrases.starts_of(after, 5)).all()
+    forward = sorted(range(len(text)), key=lambda i: ((text + [0] * 3)[i:i + 3]))
+    lo, size = starts[1:6], starts[2:7] - starts[1:6]
+    which, word, count, new, twin = phrases.extend(prev, lo, size, lo, 5)
+    pairs = Counter(zip(text, text[1:]))
+    for q, c, n, at, other in zip(which + 1, word, count, new, twin):
+        assert pairs[c, q] == n
+        assert {tuple((text + [0])[i:i + 2]) for i in forward[at:at + n]} == {(c, q)}
+        # The twin interval holds the pair's ends: its next words are those after the pair.
+        ends = Counter((text + [0])[i + 2] for i in range(len(text) - 1) if (text[i], text[i + 1]) == (c, q))
+        assert Counter(after[other:other + n].tolist()) == ends
+
+
+def test_many_word_types_are_sorted_without_packing():
+    ids = np.array([0, 3, 5, 3, 5, 0], np.int32)
+    packed, plain = phrases.index_of(ids, 5, 3), phrases.index_of(ids, 3_000_000, 3)
+    assert all((a == b).all() for a, b in zip(packed, plain))
+
+
+def test_index_is_not_shuffled(spark):
+    docs = spark.createDataFrame(made_rows(2, 50), "lang string, text string")
+    rows = docs.selectExpr("coalesce(lang, 'und') as lang", "text")
+    from wardflow.llm.scratch import bucketed
+    index = bucketed(rows.mapInArrow(phrases._shards(100, 3), phrases.SHARD).withColumn("top", phrases.F.size("word")), "t", "shard")
+    other = spark.createDataFrame([(0, 1, 1, 1)], "shard long, at long, n long, id long")
+    plan = (index.select("shard", "next", "top").groupBy("shard").cogroup(other.groupBy("shard"))
+            .applyInArrow(phrases._right(), phrases.FOUND))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(shard") == 1, plan

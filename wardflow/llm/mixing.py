@@ -108,12 +108,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"))
     rows = stored(rows.withColumn("key", _draw(F.lit(seed), F.col("doc_id"), F.col("size"))), "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    aims = stored(targets(sources, weights, most_passes), "mix-targets")
+    aims = stored(targets(sources, weights, most_passes).withColumn("grp", F.lit(0)), "mix-targets")
 
     # Blocks of the sources, and from them whole passes and the blocks of one more.
     total = aims.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("size")).first()["size"]
     total = (2 * total + block_words) // (2 * block_words)
-    seats = apportion(aims.select(F.lit(0).alias("grp"), "party", F.col("target").alias("weight"), F.lit(total).cast("long").alias("total")),
+    seats = apportion(aims.select("grp", "party", F.col("target").alias("weight"), F.lit(total).cast("long").alias("total")),
                       "mix-blocks")
     words = F.least(F.coalesce("seats", F.lit(0)) * block, most_passes * F.col("source_size"))
     aims = aims.join(seats.select("party", "seats"), "party", "left").withColumn("words", words)

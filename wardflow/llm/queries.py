@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, linededup, mixing, packing, phrases, pieces, pii, probminhash, projections, quality, toolcalls, warc
+from wardflow.llm import alignment, language, linededup, mixing, packing, phrases, pieces, pii, probminhash, projections, quality, toolcalls, warc
 from wardflow.llm.scratch import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,5 +100,10 @@ def op13_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).drop("source")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.aligned(read_table(spark, sf_dir, "documents"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_probminhash, op2_pack, op3_language, op4_pieces, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii, op12_phrases, op13_mix)}
+    op1_probminhash, op2_pack, op3_language, op4_pieces, op5_lines, op6_tool_calls, op7_quality, op8_warc, op9_embeddings, op10_pii, op11_alignment, op12_phrases, op13_mix)}
