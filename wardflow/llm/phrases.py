@@ -203,7 +203,7 @@ def _frequent(rows: DataFrame, key: list[str], min_count: int) -> DataFrame:
 
 
 def ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, max_words: int = 4,
-           shard_words: int = 1 << 22) -> tuple[DataFrame, list[DataFrame]]:
+           shard_words: int = 1 << 21) -> tuple[DataFrame, list[DataFrame]]:
     """Words per language (``lang, n``), and for 1 to ``max_words`` words the phrases found ``min_count`` times or more:
     ``id, lang, words, total``, counts ``heads`` / ``tails`` of their first / last 1, 2, ... words, and from two words on
     the ids ``p`` and ``s`` of what is left without the last / first word."""
@@ -247,7 +247,7 @@ def _uncovered(phrases: DataFrame, longer: DataFrame, percent: int) -> DataFrame
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, max_words: int = 4,
                  top: int = 2000, cover_percent: int = 80, scale: int = 2_000_000, salts: int = 64,
-                 shard_words: int = 1 << 22) -> DataFrame:
+                 shard_words: int = 1 << 21) -> DataFrame:
     """The ``top`` phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
     sizes, found = ngrams(docs, text, lang, min_count, max_words, shard_words)
     parts = [_uncovered(p, found[k + 2], cover_percent) if k + 2 < len(found) else p for k, p in enumerate(found[1:])]
