@@ -2,6 +2,8 @@
 almost no signal), and what can be worked out exactly."""
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -33,6 +35,19 @@ def test_features_are_pinned(spark):
     assert M.feature_columns(split.withColumn("_rank", F.lit(1)).withColumn("fold", F.lit(0))) == features
 
 
+def test_vectors_hold_the_features_of_the_wide_frame(spark):
+    t = tables(spark, SF_SMALL)
+    v = M.Vectors(t)
+    wide = M.split_frame(t)
+    names = M.feature_columns(wide)
+    slots = {r["slot"]: r["feature"] for r in v.slots().collect()}
+    assert [slots[i] for i in range(len(slots))] == names
+    want = {r["hadm_id"]: (r["split"], [float(r[c]) for c in names]) for r in wide.collect()}
+    rows = v.table.withColumn("x", vector_to_array("features")).collect()
+    assert {r["hadm_id"]: (r["split"], r["x"]) for r in rows} == want
+    assert all((r["fold"] is None) == (r["split"] == "test") for r in rows)
+
+
 def test_lr_scores_the_hold_out(spark):
     t = tables(spark, SF_SMALL)
     split = M.split_frame(t)
@@ -63,14 +78,53 @@ def test_model_table_and_grid(spark):
         ("GradientBoosting", "maxIter=2, stepSize=0.1")]
 
 
+def _made(spark, n=240, seed=1):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3))
+    y = (x[:, 0] - x[:, 1] + rng.normal(size=n) > 0).astype(float)
+    rows = [(i, Vectors.dense(*map(float, x[i])), float(y[i]), i % 3) for i in range(n)]
+    return models.sized(spark.createDataFrame(rows, ["id", "features", "y", "fold"]), "id").cache()
+
+
 def test_the_winner_is_refit_with_its_own_penalty(spark):
-    rng = np.random.default_rng(1)
-    rows = [(float(x), int(x + rng.normal() > 0), i % 3) for i, x in enumerate(rng.normal(size=90))]
-    train = spark.createDataFrame(rows, "x double, y int, fold int")
-    model, _ = models.grid_search(train, ["x"], "y", "fold", "LogisticRegression", {"C": [0.01]})
+    data = _made(spark, 90)
+    model, _ = models.grid_search(data, "y", "fold", "LogisticRegression", {"C": [0.01]})
     assert abs(model.getRegParam() - 1 / (0.01 * 90)) < 1e-12
 
 
+def test_stages_of_one_fit_are_the_shorter_fits(spark):
+    data = _made(spark)
+    grid = {"maxIter": [3, 6], "stepSize": [0.1, 0.5]}
+    _, staged = models.grid_search(data, "y", "fold", "GradientBoosting", grid, refit=False)
+    assert models.fits_of("GradientBoosting", models.grid_points(grid)) == [[0, 2], [1, 3]]
+    for point, (_, _, accuracy) in zip(models.grid_points(grid), staged):
+        alone = []
+        for k in range(3):
+            model = models.estimator("GradientBoosting", "y", 160, **point).fit(data.where(f"fold <> {k}"))
+            scored = model.transform(data.where(f"fold = {k}"))
+            alone.append(scored.where("prediction = y").count() / scored.count())
+            margins = models.staged_margins(model, data.where(f"fold = {k}"), [point["maxIter"]])
+            raw = model.transform(margins).select(f"margin_{point['maxIter']}", vector_to_array("rawPrediction")[1]).collect()
+            assert all(abs(a - b) < 1e-12 for a, b in raw)
+        assert abs(accuracy - sum(alone) / 3) < 1e-12, point
+
+
+def test_fits_are_repeatable(spark):
+    data = _made(spark)
+    shuffled = models.sized(data.repartition(7), "id")
+    a, b = (models.random_forest("y", 5, 4).fit(d).toDebugString.split("\n", 1)[1] for d in (data, shuffled))
+    assert a == b
+
+
+def test_scores_are_decided_exactly(spark):
+    """3, 9, 65 and 8 give a score of exactly 0, which doubles put above it."""
+    df = spark.createDataFrame([(3, 9, 65, 8), (3, 9, 64, 8), (3, 9, 66, 8)], "a int, b int, c int, d long")
+    out = models.linear_scores(df, {"a": 0.8, "b": -0.25, "c": -0.01, "d": 0.125}, -0.5).collect()
+    assert [r["prediction"] for r in out] == [0, 1, 0] and out[0]["probability_1"] == 0.5
+    half = models.linear_scores(df.selectExpr("a / 2 as a"), {"a": 1.0}, -1.0, threshold=0.6).first()
+    assert half["prediction"] == 1 and abs(half["probability_1"] - 1 / (1 + np.exp(-0.5))) < 1e-12
+
+
 def test_embeddings_keep_rows_without_codes(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, None), (3, "b c")], "id long, s string")
     got = {r["id"]: r["embedding"] for r in models.code_embeddings(df, ["id"], "s", vector_size=4, partitions=1).collect()}

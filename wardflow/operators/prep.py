@@ -3,11 +3,14 @@ sampling with its complement, stratified folds, frame profile, class shares."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardflow.operators.ordering import numbered
+
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -37,15 +40,29 @@ def categories_of(df: DataFrame, columns) -> dict[str, list]:
     return {c: sorted(vals) for c, vals in out.items()}
 
 
-def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
-    """``df`` with ``column`` replaced by a sparse 0/1 vector ``output`` (default ``<column>_vec``), one slot per
-    value in sorted order; a NULL is all zeros. For any number of values: the frame stays one column wide."""
+def category_codes(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): the distinct non-NULL values of a categorical column, numbered from 0 in sorted order. Distributed:
+    for any number of values."""
+    values = df.select(F.col(column).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+    return numbered(values, [F.col("value")], "code", "categories").select("value", (F.col("code") - 1).alias("code"))
+
+
+def one_hot_vector(df: DataFrame, column: str, output: str | None = None, codes: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``column`` replaced by a sparse 0/1 vector ``output`` (default ``<column>_vec``), one slot per value in
+    sorted order (or as in ``codes``, say of the training data); a NULL and a value without a code are all zeros. For any
+    number of values: the frame stays one column wide, and only their number reaches the driver."""
     output = output or f"{column}_vec"
-    indexer = StringIndexer(inputCol=column, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
-    indexed = indexer.fit(df).transform(df)
-    # handleInvalid="keep" gives NULL the last index, which dropLast leaves without a slot.
-    coded = OneHotEncoder(inputCol="_index", outputCol=output, dropLast=True).fit(indexed).transform(indexed)
-    return coded.drop("_index", column)
+    codes = category_codes(df, column) if codes is None else codes
+    n = codes.count()
+    coded = df.join(codes.select(F.col("value").alias("_value"), F.col("code").alias("_code")),
+                    F.col(column).cast("string") == F.col("_value"), "left")
+    # The last of n + 1 declared values, which dropLast leaves without a slot, stands for no value.
+    slot = F.coalesce(F.col("_code"), F.lit(n)).cast("double")
+    coded = coded.withColumn("_slot", slot.alias("_slot", metadata={"ml_attr": {"type": "nominal", "num_vals": n + 1}}))
+    if not n:
+        return coded.withColumn(output, array_to_vector(F.array().cast("array<double>"))).drop("_slot", "_value", "_code", column)
+    out = OneHotEncoder(inputCol="_slot", outputCol=output, dropLast=True).fit(coded).transform(coded)
+    return out.drop("_slot", "_value", "_code", column)
 
 
 def one_hot(df: DataFrame, column: str, values: list | None = None, prefix: str | None = None) -> DataFrame:

@@ -65,12 +65,6 @@ def split_frame(t: Tables, features: DataFrame | None = None) -> DataFrame:
     return prep.balanced_split(training_frame(t, features), LABEL, ID)
 
 
-def stored_split(t: Tables) -> DataFrame:
-    """The split frame written once to the shared folder: every model reads
-    the same rows and lineage stops there."""
-    return io.store_and_reload(t.spark, {"split": split_frame(t)}, "split")["split"]
-
-
 def with_folds(train: DataFrame, k: int = 3) -> DataFrame:
     return prep.stratified_folds(train, LABEL, ID, k=k)
 
@@ -91,26 +85,58 @@ def rule_score(df: DataFrame) -> DataFrame:
 # Model runs
 # ---------------------------------------------------------------------------
 
-def _train_test(t: Tables):
-    s = stored_split(t)
-    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+class Vectors:
+    """The table that models are fit on, written once: ``hadm_id``, label, ``split``, ``fold`` (training rows) and one
+    ``features`` vector, the numbers first and then a slot per value of each categorical column. However many values
+    there are, no table gets wider and none reaches the driver."""
+
+    def __init__(self, t: Tables, folds: int = 3):
+        spark = t.spark
+        rows = prep.impute(feature_table(t, TRAINING_COLUMNS)).select(*TRAINING_COLUMNS)
+        self.codes = io.store_and_reload(spark, {c: prep.category_codes(rows, c) for c in P.CATEGORICAL}, "categories")
+        split = prep.balanced_split(rows, LABEL, ID)
+        in_folds = with_folds(split.where(F.col("split") == "train").select(ID, LABEL), folds).select(ID, "fold")
+        for c, codes in self.codes.items():
+            split = prep.one_hot_vector(split, c, f"{c}_vec", codes)
+        whole = models.assembler([*P.NUMERIC_FEATURES, *[f"{c}_vec" for c in P.CATEGORICAL]]).transform(split.join(in_folds, ID, "left"))
+        whole = whole.select(ID, F.col(LABEL).cast("double").alias(LABEL), "split", "fold", "features")
+        self.table = io.store_and_reload(spark, {"vectors": whole}, "vectors")["vectors"]
+
+    @property
+    def train(self) -> DataFrame:
+        return models.sized(self.table.where(F.col("split") == "train").select(ID, LABEL, "fold", "features"), ID)
+
+    @property
+    def test(self) -> DataFrame:
+        return self.table.where(F.col("split") == "test").select(ID, LABEL, "features")
+
+    def slots(self) -> DataFrame:
+        """(slot, feature): the name of each slot of the vectors."""
+        spark = self.table.sparkSession
+        out = local_frame(spark, [(i, c) for i, c in enumerate(P.NUMERIC_FEATURES)], "slot long, feature string")
+        first = len(P.NUMERIC_FEATURES)
+        for c, codes in self.codes.items():
+            out = out.unionByName(codes.select((F.col("code") + first).alias("slot"), F.concat(F.lit(f"{c}_"), "value").alias("feature")))
+            first += codes.count()
+        return out
 
 
 MODELS = ("LogisticRegression", "RandomForest", "GradientBoosting")
 
 
 def fit_and_score(t: Tables, name: str, **params) -> DataFrame:
-    train, test = _train_test(t)
-    est = models.estimator(name, LABEL, train.count(), **params)
-    return models.fit_predict(train, test, feature_columns(train), LABEL, est, keep=(ID,))
+    v = Vectors(t)
+    train = v.train.cache()
+    model = models.estimator(name, LABEL, train.count(), **params).fit(train)
+    train.unpersist()
+    return models.score(model, v.test, LABEL, keep=(ID,))
 
 
 def grid_search_table(t: Tables, names=MODELS, grids=models.GRIDS) -> DataFrame:
-    train, _ = _train_test(t)
-    train = with_folds(train).cache()
+    train = Vectors(t).train.cache()
     rows = []
     for name in names:
-        rows.extend(models.grid_search(train, feature_columns(train), LABEL, "fold", name, grids[name])[1])
+        rows.extend(models.grid_search(train, LABEL, "fold", name, grids[name], refit=False)[1])
     train.unpersist()
     return local_frame(t.spark, rows, "model string, params string, mean_accuracy double")
 
@@ -119,36 +145,50 @@ def model_table(t: Tables, names=MODELS, grids=models.GRIDS) -> DataFrame:
     """Per model: best grid point by cross-validated accuracy, refit on the
     whole training part, scored on the held-out part; weighted-average
     precision / recall / F1 / support and accuracy."""
-    train, test = _train_test(t)
-    train = with_folds(train).cache()
-    cols = feature_columns(train)
-    frames = []
+    v = Vectors(t)
+    train = v.train.cache()
+    counts = {}
     for name in names:
-        model, _ = models.grid_search(train, cols, LABEL, "fold", name, grids[name])
-        scored = models.score(model, models.assembler(cols).transform(test), LABEL, keep=(ID,))
-        rep = metrics.classification_report(scored, LABEL, "prediction")
+        model, _ = models.grid_search(train, LABEL, "fold", name, grids[name])
+        scored = models.score(model, v.test, LABEL, keep=(ID,))
+        counts[name] = metrics.confusion(scored, LABEL, "prediction").withColumn("model", F.lit(name))
+    train.unpersist()
+    # The confusion counts of all models, a few rows each, written; then a report for each of them.
+    stored = io.store_and_reload(t.spark, counts, "confusion")
+    out = None
+    for name in names:
+        rep = metrics.report_of(stored[name])
         weighted = F.col("class_label") == "weighted avg"
-        frames.append(rep.agg(
+        row = rep.agg(
             F.lit(name).alias("model"),
             *[F.max(F.when(weighted, F.col(c))).alias(c) for c in ("precision", "recall", "f1_score", "support")],
-            F.max(F.when(F.col("class_label") == "accuracy", F.col("precision"))).alias("accuracy")))
-    train.unpersist()
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+            F.max(F.when(F.col("class_label") == "accuracy", F.col("precision"))).alias("accuracy"))
+        out = row if out is None else out.unionByName(row)
     return out
 
 
 def feature_importance(t: Tables, num_trees: int = 100, max_depth: int = 10) -> DataFrame:
     """(feature, importance, coefficient): of the random forest, and of the logistic regression."""
-    train, _ = _train_test(t)
-    cols = feature_columns(train)
-    data = models.assembler(cols).transform(train).select("features", F.col(LABEL).cast("double").alias(LABEL)).cache()
-    forest = models.random_forest(LABEL, num_trees, max_depth).fit(data)
-    linear = models.logistic_regression(LABEL, data.count()).fit(data)
-    data.unpersist()
-    rows = zip(cols, forest.featureImportances.toArray().tolist(), linear.coefficients.toArray().tolist())
-    return local_frame(t.spark, list(rows), "feature string, importance double, coefficient double")
+    v = Vectors(t)
+    train = v.train.cache()
+    forest = models.random_forest(LABEL, num_trees, max_depth).fit(train)
+    linear = models.logistic_regression(LABEL, train.count()).fit(train)
+    train.unpersist()
+    rows = zip(forest.featureImportances.toArray().tolist(), linear.coefficients.toArray().tolist())
+    found = local_frame(t.spark, [(i, *r) for i, r in enumerate(rows)], "slot long, importance double, coefficient double")
+    return v.slots().join(found, "slot").select("feature", "importance", "coefficient")
+
+
+def one_hot_vectors(t: Tables) -> DataFrame:
+    """Per stay and categorical column the size of the 0/1 vector and its slot that is 1 (NULL: none)."""
+    df = feature_table(t, [ID, *P.CATEGORICAL])
+    out = None
+    for c in P.CATEGORICAL:
+        vector = F.unwrap_udt(F.col("vector"))
+        rows = prep.one_hot_vector(df.select(ID, c), c, "vector").select(
+            ID, F.lit(c).alias("column_name"), vector["size"].cast("long").alias("size"), F.get(vector["indices"], 0).cast("long").alias("slot"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def code_embeddings(t: Tables) -> DataFrame:
@@ -325,6 +365,7 @@ QUERIES = {
     "procedure_embeddings": _q(procedure_embeddings),
     "embedding_vocabulary": _q(embedding_vocabulary),
     "feature_matrix": _q(feature_matrix),
+    "one_hot_vectors": _q(one_hot_vectors),
     "feature_covariance": _q(feature_covariance),
     "scored_rows": _q(scored_rows),
     "fold_confusion": _q(_fold_confusion),
