@@ -54,7 +54,7 @@ def made_rows(seed, n=400):
     return rows
 
 
-@pytest.mark.parametrize("shard_words", [50, 1 << 21])
+@pytest.mark.parametrize("shard_words", [50, 1 << 22])
 def test_equals_brute_force(spark, shard_words):
     rows = made_rows(shard_words) + [("en", None), ("und", "New York in the end"), ("en", "")]
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
@@ -126,8 +126,17 @@ def test_index_is_not_shuffled(spark):
     docs = spark.createDataFrame(made_rows(2, 50), "lang string, text string")
     rows = docs.selectExpr("coalesce(lang, 'und') as lang", "text")
     from wardflow.llm.scratch import bucketed
-    index = bucketed(rows.mapInArrow(phrases._shards(100, 3), phrases.SHARD).withColumn("top", phrases.F.size("word")), "t", "shard")
-    other = spark.createDataFrame([(0, 1, 1, 1)], "shard long, at long, n long, id long")
-    plan = (index.select("shard", "next", "top").groupBy("shard").cogroup(other.groupBy("shard"))
-            .applyInArrow(phrases._right(), phrases.FOUND))._jdf.queryExecution().executedPlan().toString()
+    index = bucketed(rows.mapInArrow(phrases._shards(100, 3), phrases.SHARD), "t", "shard")
+    other = spark.createDataFrame([(0, b"")], "shard long, packed binary")
+    plan = (index.select("shard", "rows", "top", "next").groupBy("shard").cogroup(other.groupBy("shard"))
+            .applyInArrow(phrases._right(1), phrases.PACKED))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(shard") == 1, plan
+
+
+def test_packed_columns_come_back():
+    rnd = np.random.default_rng(1)
+    rows = [np.sort(rnd.integers(0, 1 << 60, 500)), rnd.integers(-5, 1 << 62, 500), np.ones(500, np.int64)]
+    assert (phrases.unpack(phrases.pack(rows)) == np.array(rows)).all()
+    parts = phrases.packed_parts(rows[0] % 7, rows)
+    assert sorted(parts["part"].to_pylist()) == sorted(set((rows[0] % 7).tolist()))
+    assert sorted(map(tuple, phrases.unpacked(parts["packed"]).T.tolist())) == sorted(map(tuple, np.array(rows).T.tolist()))

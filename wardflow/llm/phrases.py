@@ -11,10 +11,11 @@ Phrases grow word by word: pairs by extending the intervals of single words to
 the left, longer ones to the right. A round extends, in every shard, the
 intervals whose phrase is frequent over all shards and whose extension starts
 and ends with frequent phrases; a shuffle by (prefix, suffix) sums the shards'
-counts, one row per phrase and shard. So rare phrases end early, frequent words
-are one row per shard however often they occur, and no phrase is a string
+counts, one entry per phrase and shard. So rare phrases end early, frequent words
+are one entry per shard however often they occur, and no phrase is a string
 before the last step. Indexes are written once, bucketed by shard, and meet the
-phrases of a round without being shuffled.
+phrases of a round without being shuffled. Entries travel as compressed columns
+(``pack``): a shard's for one part of the phrases, or a part's for one shard.
 
 Counts are exact: a shard holds whole documents, and every count of a frequent
 phrase reaches the sum. Scores and comparisons use decimals.
@@ -44,23 +45,87 @@ SHARDS_PER_TASK = 1 << 12
 BREAK = b"\xff"  # occurs in no UTF-8 text
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-SHARD = "shard long, prev binary, next binary, lang array<string>, word array<string>, n array<bigint>"
-FOUND = "p long, s long, at long, n long"
+SHARD = "shard long, rows long, top long, prev binary, next binary, lang array<string>, word array<string>, n array<bigint>"
+#: Packed columns for a part of the phrases, or for a shard.
+PACKED = "part long, packed binary"
+COUNTED = "p long, s long, at long, n long, total long, id long"
 
 
 class Words(dict):
-    """Ids of the words of one language; a new word takes the next id of ``names``."""
+    """Ids of the words of one language; a new word takes the next id of ``names`` (and its language, by number, of
+    ``langs``)."""
 
-    def __init__(self, lang: str, names: list):
+    def __init__(self, lang: int, langs: list[int], names: list[bytes]):
         super().__init__({BREAK: 0})
-        self.lang, self.names = lang, names
+        self.lang, self.langs, self.names = lang, langs, names
 
     def __missing__(self, word: bytes) -> int:
-        self.names.append((self.lang, word))
+        self.langs.append(self.lang)
+        self.names.append(word)
         self[word] = len(self.names)
         return len(self.names)
 
 
+def pack(columns: list[np.ndarray]) -> bytes:
+    """Columns of 64-bit numbers, the first ascending, as bytes: differences of the first, bytes of a kind together, zstd."""
+    rows = np.array(columns, dtype="<i8")
+    rows[0, 1:] -= rows[0, :-1].copy()
+    raw = np.ascontiguousarray(rows.view(np.uint8).reshape(*rows.shape, 8).transpose(0, 2, 1)).tobytes()
+    return np.array(rows.shape, "<i8").tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    c, n = np.frombuffer(packed[:16], "<i8").tolist()
+    raw = np.frombuffer(pa.decompress(packed[16:], c * n * 8, codec="zstd", asbytes=True), np.uint8)
+    rows = raw.reshape(c, 8, n).transpose(0, 2, 1).copy(order="C").view("<i8").reshape(c, n)
+    rows[0] = np.cumsum(rows[0])
+    return rows
+
+
+def packed_parts(part: np.ndarray, columns: list[np.ndarray]) -> pa.Table:
+    """A row per value of ``part`` with its rows of ``columns``, in the order of these."""
+    order = np.lexsort((*columns[::-1], part))
+    part = part[order]
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    columns = [c[order] for c in columns]
+    blobs = [pack([c[i:j] for c in columns]) for i, j in zip(first, [*first[1:], len(part)])]
+    return pa.table([pa.array(part[first], pa.int64()), pa.array(blobs, pa.binary())], names=["part", "packed"])
+
+
+def packed_by(key: str, names: list[str], rows_held: int = 1_000_000):
+    """A task that packs its rows by ``key``, some ``rows_held`` at a time."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= rows_held:
+                yield from done(held)
+                held, n = [], 0
+        if held:
+            yield from done(held)
+
+    def done(held):
+        table = pa.Table.from_batches(held)
+        return packed_parts(*(lambda c: (c[0], c[1:]))([table[c].to_numpy() for c in [key, *names]])).to_batches()
+
+    return task
+
+
+def unpacked(packed) -> np.ndarray:
+    """The columns of all rows of a packed column, one part after the other."""
+    return np.concatenate([unpack(b.as_py()) for b in packed], axis=1)
+
+
+def column_bytes(column: np.ndarray) -> bytes:
+    return pa.compress(column.tobytes(), codec="zstd", asbytes=True)
+
+
+def column_of(index: pa.Table, name: str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(index[name][0].as_buffer(), index["rows"][0].as_py() * 4, codec="zstd"), np.int32)
+
+
 def sorted_rows(columns: list[np.ndarray], top: int) -> np.ndarray:
     """Row numbers in the order of ``columns`` (values up to ``top``), packed into one key where they fit."""
     bits = int(top).bit_length()
@@ -116,116 +181,134 @@ def inside(at: np.ndarray, lo: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _shards(shard_words: int, depth: int):
     """A task: its documents' words as indexed shards."""
 
-    def emit(shard, parts, names):
+    def emit(shard, parts, langs, names, labels):
         ids = np.concatenate(parts)
-        prev, after = index_of(ids, len(names), depth)
         counts = np.bincount(ids, minlength=len(names) + 1)[1:]
-        lists = [[x for x, _ in names], pa.array([w for _, w in names], pa.binary()).cast(pa.string()), counts]
-        row = [pa.array([shard], pa.int64()), pa.array([prev.tobytes()], pa.binary()), pa.array([after.tobytes()], pa.binary())]
-        for values, kind in zip(lists, (pa.string(), pa.string(), pa.int64())):
-            row.append(pa.array([values], pa.list_(kind)) if not isinstance(values, pa.Array) else
-                       pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
+        prev, after = map(column_bytes, index_of(ids, len(names), depth))
+        words = pa.array(names, pa.binary()).cast(pa.string())
+        tags = pa.DictionaryArray.from_arrays(pa.array(langs, pa.int32()), pa.array(labels, pa.string())).cast(pa.string())
+        one = pa.array([0, len(names)], pa.int32())
+        row = [pa.array([shard], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([len(names)], pa.int64()),
+               pa.array([prev], pa.binary()), pa.array([after], pa.binary()),
+               *[pa.ListArray.from_arrays(one, v) for v in (tags, words, pa.array(counts, pa.int64()))]]
         return pa.RecordBatch.from_arrays(row, [c.split()[0] for c in SHARD.split(", ")])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() * SHARDS_PER_TASK
         table = bytes.maketrans(UPPER + BREAKS, LOWER + BREAK * len(BREAKS))
         gap = np.zeros(1, np.int32)
-        parts, held, names, words = [gap], 0, [], {}
+        parts, held, langs, names, words = [gap], 0, [], [], {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 if not text:
                     continue
                 if lang not in words:
-                    words[lang] = Words(lang, names)
+                    words[lang] = Words(len(words), langs, names)
                 cut = text.translate(table).replace(BREAK, b" " + BREAK + b" ").split()
                 parts += [np.fromiter(map(words[lang].__getitem__, cut), np.int32, len(cut)), gap]
                 held += len(cut) + 1
                 if held >= shard_words:
-                    yield emit(shard, parts, names)
+                    yield emit(shard, parts, langs, names, list(words))
                     shard += 1
-                    parts, held, names, words = [gap], 0, [], {}
+                    parts, held, langs, names, words = [gap], 0, [], [], {}
         if held:
-            yield emit(shard, parts, names)
+            yield emit(shard, parts, langs, names, list(words))
 
     return task
 
 
-def _left(depth: int):
+def _found(p, s, shard: int, at, n, parts: int) -> pa.Table:
+    place = (shard << ROW_BITS) + np.asarray(at, np.int64)
+    mixed = (p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (s.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    part = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)) % np.uint64(parts)
+    return packed_parts(part.astype(np.int64), [p, s, place, n])
+
+
+EMPTY = pa.table([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["part", "packed"])
+
+
+def _left(parts: int):
     """Pairs: the intervals of a shard's frequent words, extended to the left."""
 
     def pairs(key, index: pa.Table, words: pa.Table) -> pa.Table:
-        if not len(index):
-            return _found([], [], 0, [], [])
-        column = np.frombuffer(index["prev"][0].as_buffer(), np.int32)
-        top = int(index["top"][0].as_py())
+        if not len(index) or not len(words):
+            return EMPTY
+        column, top = column_of(index, "prev"), index["top"][0].as_py()
         starts = starts_of(column, top)
+        place, word_ids = unpacked(words["packed"])
+        local = place & ((1 << ROW_BITS) - 1)
         ids = np.full(top + 1, -1, np.int64)
-        local = words["local"].to_numpy()
-        ids[local] = words["id"].to_numpy()
+        ids[local] = word_ids
         local = np.sort(local)
         which, word, count, _, after = extend(column, starts[local], starts[local + 1] - starts[local], starts[local], top)
         keep = ids[word] >= 0
-        return _found(ids[word[keep]], ids[local[which[keep]]], key[0].as_py(), after[keep], count[keep])
+        return _found(ids[word[keep]], ids[local[which[keep]]], key[0].as_py(), after[keep], count[keep], parts)
 
     return pairs
 
 
-def _right():
+def _right(parts: int):
     """Longer phrases: the intervals of a shard's frequent phrases, extended to the right."""
 
     def longer(key, index: pa.Table, phrases: pa.Table) -> pa.Table:
         if not len(index) or not len(phrases):
-            return _found([], [], 0, [], [])
-        column = np.frombuffer(index["next"][0].as_buffer(), np.int32)
-        at = phrases["at"].to_numpy() & ((1 << ROW_BITS) - 1)
-        order = np.argsort(at)
-        lo, size, ids = at[order], phrases["n"].to_numpy()[order], phrases["id"].to_numpy()[order]
-        which, _, count, new, _ = extend(column, lo, size, lo, int(index["top"][0].as_py()))
+            return EMPTY
+        column = column_of(index, "next")
+        place, size, ids = unpacked(phrases["packed"])
+        order = np.argsort(place)
+        lo, size, ids = (place & ((1 << ROW_BITS) - 1))[order], size[order], ids[order]
+        which, _, count, new, _ = extend(column, lo, size, lo, index["top"][0].as_py())
         suffix = inside(new, lo, size)
         keep = suffix >= 0
-        return _found(ids[which[keep]], ids[suffix[keep]], key[0].as_py(), new[keep], count[keep])
+        return _found(ids[which[keep]], ids[suffix[keep]], key[0].as_py(), new[keep], count[keep], parts)
 
     return longer
 
 
-def _found(p, s, shard: int, at, n) -> pa.Table:
-    place = (shard << ROW_BITS) + np.asarray(at, np.int64)
-    return pa.table([pa.array(np.asarray(c, np.int64)) for c in (p, s, place, n)], names=["p", "s", "at", "n"])
+def _sums(min_count: int):
+    """The entries of one part of the phrases: of those found ``min_count`` times in all, with the sum and an id, the
+    phrase's first place."""
 
+    def sums(rows: pa.Table) -> pa.Table:
+        p, s, at, n = unpacked(rows["packed"])
+        order = np.lexsort((at, s, p))
+        p, s, at, n = p[order], s[order], at[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])]))
+        size = np.diff(np.append(first, len(p)))
+        total = np.repeat(np.add.reduceat(n, first), size)
+        keep = total >= min_count
+        columns = [p, s, at, n, total, np.repeat(at[first], size)]
+        return pa.table([pa.array(c[keep]) for c in columns], names=[c.split()[0] for c in COUNTED.split(", ")])
 
-def _frequent(rows: DataFrame, key: list[str], min_count: int) -> DataFrame:
-    """The rows (one per phrase and shard) of phrases found ``min_count`` times in all, with the sum and an id: the
-    phrase's first place."""
-    same = Window.partitionBy(*key)
-    rows = rows.withColumns({"total": F.sum("n").over(same), "id": F.min("at").over(same)})
-    return rows.filter(F.col("total") >= min_count)
+    return sums
 
 
 def ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, max_words: int = 4,
-           shard_words: int = 1 << 21) -> tuple[DataFrame, list[DataFrame]]:
+           shard_words: int = 1 << 22, part_words: int = 1 << 20) -> tuple[DataFrame, list[DataFrame]]:
     """Words per language (``lang, n``), and for 1 to ``max_words`` words the phrases found ``min_count`` times or more:
     ``id, lang, words, total``, counts ``heads`` / ``tails`` of their first / last 1, 2, ... words, and from two words on
-    the ids ``p`` and ``s`` of what is left without the last / first word."""
+    the ids ``p`` and ``s`` of what is left without the last / first word. ``part_words`` bounds what one task sums: a part
+    of the phrases has at most an entry for each of so many words, on average."""
     small_batches(docs.sparkSession)
     depth = max(max_words - 1, 1)
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    index = bucketed(rows.mapInArrow(_shards(shard_words, depth), SHARD).withColumn("top", F.size("word")), "phrase-index", "shard")
+    index = bucketed(rows.mapInArrow(_shards(shard_words, depth), SHARD), "phrase-index", "shard")
     words = index.select("shard", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("local", "w"))
-    words = words.select("shard", (F.col("local") + 1).alias("local"), "w.*")
+    words = words.select("w.lang", "w.word", "w.n", (F.shiftleft("shard", ROW_BITS) + F.col("local") + 1).alias("at"))
     sizes = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-words")
-    placed = words.withColumn("at", F.shiftleft("shard", ROW_BITS) + F.col("local"))
-    level = stored(_frequent(placed, ["lang", "word"], min_count), "phrase-1")
+    same = Window.partitionBy("lang", "word")
+    level = words.withColumns({"total": F.sum("n").over(same), "id": F.min("at").over(same)})
+    level = stored(level.filter(F.col("total") >= min_count), "phrase-1")
     own = F.col("id") == F.col("at")
     total = F.array("total")
     found = [level.filter(own).select("id", "lang", F.array("word").alias("words"), "total", total.alias("heads"), total.alias("tails"))]
+    parts = 1 + (index.agg(F.sum("rows")).first()[0] or 0) // part_words
     for size in range(2, max_words + 1):
-        step, column, held = (_left(depth), "prev", ["local", "id"]) if size == 2 else (_right(), "next", ["at", "n", "id"])
-        grown = (index.select("shard", column, "top").groupBy("shard")
-                 .cogroup(level.select(*({"shard": F.col("shard")} | {c: F.col(c).cast("long") for c in held}).values()).groupBy("shard"))
-                 .applyInArrow(step, FOUND))
-        level = stored(_frequent(grown, ["p", "s"], min_count), f"phrase-{size}")
-        level = level.withColumn("shard", F.shiftright("at", ROW_BITS))
+        step, column, held = (_left(parts), "prev", ["at", "id"]) if size == 2 else (_right(parts), "next", ["at", "n", "id"])
+        known = level.select(F.shiftright("at", ROW_BITS).alias("shard"), *held).mapInArrow(packed_by("shard", held), PACKED)
+        grown = (index.select("shard", "rows", "top", column).groupBy("shard")
+                 .cogroup(known.withColumnRenamed("part", "shard").groupBy("shard")).applyInArrow(step, PACKED))
+        level = stored(grown.groupBy("part").applyInArrow(_sums(min_count), COUNTED), f"phrase-{size}")
         head = found[-1].select(F.col("id").alias("p"), "lang", "words", "heads")
         tail = found[-1].select(F.col("id").alias("s"), F.element_at("words", -1).alias("last"), "tails")
         both = level.filter(own).select("id", "p", "s", "total").join(head, "p").join(tail, "s")
@@ -247,9 +330,9 @@ def _uncovered(phrases: DataFrame, longer: DataFrame, percent: int) -> DataFrame
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, max_words: int = 4,
                  top: int = 2000, cover_percent: int = 80, scale: int = 2_000_000, salts: int = 64,
-                 shard_words: int = 1 << 21) -> DataFrame:
+                 shard_words: int = 1 << 22, part_words: int = 1 << 20) -> DataFrame:
     """The ``top`` phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
-    sizes, found = ngrams(docs, text, lang, min_count, max_words, shard_words)
+    sizes, found = ngrams(docs, text, lang, min_count, max_words, shard_words, part_words)
     parts = [_uncovered(p, found[k + 2], cover_percent) if k + 2 < len(found) else p for k, p in enumerate(found[1:])]
     rows = reduce(DataFrame.unionByName, parts)
     # Cut after k words: the first k words are among the heads, the rest among the tails.
