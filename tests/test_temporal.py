@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wardflow.operators import temporal
+from wardflow.operators.ordering import in_ranges, numbered
 from wardflow.plans import clinical as C
 from wardflow.sources.tables import Tables
 
@@ -77,7 +79,8 @@ def brute_scan(rows, weights):
     return out
 
 
-def test_episode_scan_brute_force_with_hot_entity(spark):
+@pytest.mark.parametrize("ranges", [False, True])
+def test_episode_scan_brute_force_with_hot_entity(spark, ranges):
     rnd = random.Random(7)
     rows, h = [], 0
     for e in range(1, 6):
@@ -91,7 +94,7 @@ def test_episode_scan_brute_force_with_hot_entity(spark):
     loc = F.col("loc")
     scan = temporal.episode_scan(df, "subject_id", "admittime", "hadm_id",
                                  {"er": loc == "EMERGENCY ROOM",
-                                  "non_er": ~loc.isin("EMERGENCY ROOM", "INTERNAL TRANSFER TO OR FROM PSYCH")})
+                                  "non_er": ~loc.isin("EMERGENCY ROOM", "INTERNAL TRANSFER TO OR FROM PSYCH")}, ranges)
     got = {r["hadm_id"]: (r["ordinal"], r["next_start"], {"er": r["er"], "non_er": r["non_er"]})
            for r in scan.collect()}
     exp = brute_scan(rows, {"er": lambda v: v == "EMERGENCY ROOM",
@@ -100,7 +103,8 @@ def test_episode_scan_brute_force_with_hot_entity(spark):
     assert got == exp
 
 
-def test_prior_event_counts_brute_force(spark):
+@pytest.mark.parametrize("ranges", [False, True])
+def test_prior_event_counts_brute_force(spark, ranges):
     rnd = random.Random(11)
     eps, evs, h = [], [], 0
     for e in range(1, 5):
@@ -116,13 +120,70 @@ def test_prior_event_counts_brute_force(spark):
     ev = spark.createDataFrame(evs, "subject_id long, unit string, intime timestamp_ntz")
     got = {r["hadm_id"]: (r["a"], r["b"]) for r in temporal.prior_event_counts(
         ep, ev, "subject_id", "admittime", "hadm_id", "intime",
-        {"a": F.col("unit") == "A", "b": F.col("unit").isin("B")}).collect()}
+        {"a": F.col("unit") == "A", "b": F.col("unit").isin("B")}, ranges).collect()}
     for e, h, s in eps:
         exp = tuple(sum(1 for x in evs if x[0] == e and x[2] is not None and x[2] < s and x[1] == u)
                     for u in ("A", "B"))
         assert got[h] == exp, h
 
 
+def _hot_rows(n=3000):
+    """A third of all rows on one day of one entity, most of them at one moment of it; NULL entities and times."""
+    rnd = random.Random(3)
+    rows = []
+    for h in range(n):
+        kind = h % 6
+        if kind < 2:
+            e, s = 1, T(2100, 1, 5, 12 if rnd.random() < 0.7 else rnd.randint(0, 23))
+        elif kind == 2:
+            e, s = 1, T(2100, 1, 1) + dt.timedelta(hours=rnd.randint(0, 240))
+        else:
+            e = rnd.choice([None, None, 0, *range(2, 40)])
+            s = None if rnd.random() < 0.05 else T(2100, 1, 1) + dt.timedelta(hours=rnd.randint(0, 48))
+        rows.append((e, h, s, rnd.choice(["a", "b", None])))
+    return rows
+
+
+def test_a_hot_day_is_spread_over_ranges(spark):
+    rows = _hot_rows()
+    df = spark.createDataFrame(rows, "e long, h long, s timestamp_ntz, w string").repartition(5)
+    weights = {"a": F.col("w") == "a", "b": F.col("w") == "b"}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["h"]: r for r in temporal.episode_scan(df, "e", "s", "h", weights, ranges=True).collect()}
+        places = in_ranges(df, [F.col(c).asc_nulls_first() for c in ("e", "s", "h")]).groupBy("_range").agg(
+            F.count("*").alias("n"), F.sum(F.expr("if(e = 1 and s = timestamp_ntz'2100-01-05 12:00:00', 1, 0)")).alias("hot")).collect()
+        events = temporal.prior_event_counts(df.where("h % 3 = 0"), df.selectExpr("e", "s as t", "w"), "e", "s", "h", "t", weights, ranges=True)
+        counts = {r["h"]: (r["a"], r["b"]) for r in events.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(places) > 8 and max(r["n"] for r in places) < len(rows) / 4
+    assert sum(r["hot"] > 0 for r in places) >= 3  # one moment of one entity, in several ranges
+    by_entity = {}
+    for r in rows:
+        by_entity.setdefault(r[0], []).append(r)
+    assert len(got) == len(rows)
+    for e, own in by_entity.items():
+        own = sorted(own, key=lambda r: ((r[2] is not None, r[2]), r[1]))
+        for i, (_, h, s, _) in enumerate(own):
+            r = got[h]
+            assert (r["ordinal"], r["next_start"]) == (i + 1, own[i + 1][2] if i + 1 < len(own) else None), (e, i)
+            earlier = [x for x in own if e is not None and s is not None and x[2] is not None and x[2] < s]
+            exp = tuple(sum(x[3] == w for x in earlier) for w in "ab")
+            assert (r["a"], r["b"]) == exp, (e, i)
+            if h % 3 == 0:
+                assert counts[h] == exp, (e, i)
+
+
+def test_numbers_over_ranges(spark):
+    df = spark.range(0, 5000).selectExpr("(id * 7919) % 5000 as v", "id").repartition(6)
+    rows = numbered(df, [F.col("v").desc()]).collect()
+    assert all(r["number"] == 5000 - r["v"] for r in rows) and len(rows) == 5000
+
+
 def test_death_filter_comes_last(spark):
     adm = spark.createDataFrame([
         (1, 1, T(2100, 1, 1), T(2100, 1, 2), None, "EMERGENCY ROOM", "X", 0),

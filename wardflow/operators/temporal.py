@@ -1,8 +1,12 @@
 """Per-entity ordered operators: age at event, episode ordinal, next start,
 return-within-N-days, and strictly-earlier history counts.
 
-All ordered work is partitioned by (entity, day) instead of by entity alone, so
-that one entity holding a large share of all rows is spread over many tasks:
+Ordered work is done in one of two ways, with equal results. With ``ranges`` rows
+are sorted into written ranges of (entity, time, tie) and scanned by
+``segments.segment_scan``: no group is too large, and a run that stores its result
+anyway should take it. Without, a plan stays lazy, and work is partitioned by
+(entity, day) instead of by entity alone, so that one entity holding a large
+share of all rows is spread over as many tasks as it has days:
 
 * level 1 (per day): a window over the rows of one (entity, day) group gives
   the row number, the next start inside the day and the weights seen strictly
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions.dates import DAY_UNITS, year_boundaries
+from wardflow.operators.segments import segment_scan
 
 _FIRST_DAY = "0001-01-01"
 
@@ -47,7 +52,7 @@ def _per_day_prefix(rows: DataFrame, entity: str, sums: list[str], first_of: Col
 
 
 def episode_scan(episodes: DataFrame, entity: str, start: str, tie: str,
-                 weights: dict[str, Column] | None = None) -> DataFrame:
+                 weights: dict[str, Column] | None = None, ranges: bool = False) -> DataFrame:
     """Add ``ordinal``, ``next_start`` and one strictly-earlier count per weight.
 
     ordinal     -- ROW_NUMBER over the entity ordered by (start, tie), first = 1
@@ -59,6 +64,11 @@ def episode_scan(episodes: DataFrame, entity: str, start: str, tie: str,
     weights = weights or {}
     s = F.col(start)
     keep = episodes.columns
+    if ranges:
+        named = {f"_w{i}": F.when(c, 1).otherwise(0) for i, c in enumerate(weights.values())}
+        out = segment_scan(episodes.withColumns(named), entity, start, [tie], list(named), next_time="next_start")
+        return out.select(*keep, "ordinal", "next_start", *[
+            F.when(F.col(entity).isNull(), F.lit(0).cast("long")).otherwise(F.col(c)).alias(n) for n, c in zip(weights, named)])
     base = episodes.withColumn("_day", _day_of(s))
     wnames = []
     for i, (name, cond) in enumerate(weights.items()):
@@ -91,7 +101,7 @@ def episode_scan(episodes: DataFrame, entity: str, start: str, tie: str,
 
 
 def prior_event_counts(episodes: DataFrame, events: DataFrame, entity: str, start: str, tie: str,
-                       time: str, weights: dict[str, Column]) -> DataFrame:
+                       time: str, weights: dict[str, Column], ranges: bool = False) -> DataFrame:
     """Per episode, the number of the entity's events strictly before its start,
     one count per weight condition. Returns (entity, tie, <weights>...).
 
@@ -103,6 +113,17 @@ def prior_event_counts(episodes: DataFrame, events: DataFrame, entity: str, star
     """
     names = list(weights)
     wcols = [f"_w{i}" for i in range(len(names))]
+    if ranges:
+        # Events that count for something, and the episodes, in one scan.
+        ev = events.select(F.col(entity).alias("_e"), F.lit(None).cast(episodes.schema[tie].dataType).alias(tie), F.col(time).alias("_t"),
+                           F.lit(0).alias("_kind"), *[F.when(c, 1).otherwise(0).cast("long").alias(w) for w, c in zip(wcols, weights.values())])
+        ev = ev.where(F.col("_t").isNotNull() & F.col("_e").isNotNull() & (sum(F.col(w) for w in wcols) > 0))
+        ep = episodes.select(F.col(entity).alias("_e"), F.col(tie), F.col(start).alias("_t"), F.lit(1).alias("_kind"),
+                             *[F.lit(0).cast("long").alias(w) for w in wcols])
+        # Equal rows are apart by a number without meaning, so that a moment of an entity can be cut anywhere.
+        both = ev.unionByName(ep).withColumn("_u", F.monotonically_increasing_id())
+        out = segment_scan(both, "_e", "_t", ["_kind", tie, "_u"], wcols).where(F.col("_kind") == 1)
+        return out.select(F.col("_e").alias(entity), F.col(tie), *[F.col(c).alias(n) for n, c in zip(names, wcols)])
     ev = events.where(F.col(time).isNotNull() & F.col(entity).isNotNull()).groupBy(
         F.col(entity).alias("_e"), F.col(time).alias("_t")).agg(
         *[F.sum(F.when(cond, 1).otherwise(0)).alias(c) for c, cond in zip(wcols, weights.values())])
@@ -147,14 +168,14 @@ def age_at_event(episodes: DataFrame, entities: DataFrame, key: str, at: str,
 
 
 def episode_ordinal(episodes: DataFrame, entity: str, start: str, tie: str,
-                    keep=("subject_id", "hadm_id"), name: str = "num_hospital_admissions") -> DataFrame:
-    scan = episode_scan(episodes.select(*dict.fromkeys([*keep, entity, start, tie])), entity, start, tie)
+                    keep=("subject_id", "hadm_id"), name: str = "num_hospital_admissions", ranges: bool = False) -> DataFrame:
+    scan = episode_scan(episodes.select(*dict.fromkeys([*keep, entity, start, tie])), entity, start, tie, ranges=ranges)
     return scan.select(*keep, F.col("ordinal").alias(name))
 
 
 def returns_within(episodes: DataFrame, entity: str, start: str, end: str, tie: str,
                    days: int = 30, unit: str = "elapsed", keep=("subject_id", "hadm_id"),
-                   name: str = "readmission_flag") -> DataFrame:
+                   name: str = "readmission_flag", ranges: bool = False) -> DataFrame:
     """1 if the entity's next episode (by start, then tie) starts at most ``days``
     days after this one ends, else 0 (also for the last episode).
 
@@ -162,6 +183,6 @@ def returns_within(episodes: DataFrame, entity: str, start: str, end: str, tie:
     Overlapping episodes give a negative gap and count as a return.
     """
     diff = DAY_UNITS[unit]
-    scan = episode_scan(episodes.select(*dict.fromkeys([*keep, entity, start, end, tie])), entity, start, tie)
+    scan = episode_scan(episodes.select(*dict.fromkeys([*keep, entity, start, end, tie])), entity, start, tie, ranges=ranges)
     flag = F.when(diff(F.col("next_start"), F.col(end)) <= days, 1).otherwise(0)
     return scan.select(*keep, end, flag.alias(name))

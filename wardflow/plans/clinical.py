@@ -30,14 +30,14 @@ def age(t: Tables) -> DataFrame:
                                  "anchor_age", "anchor_year", keep=KEYS, name="age")
 
 
-def readmission(t: Tables, days: int = 30, unit: str = "elapsed") -> DataFrame:
+def readmission(t: Tables, days: int = 30, unit: str = "elapsed", ranges: bool = False) -> DataFrame:
     """(subject_id, hadm_id, dischtime, readmission_flag)."""
     return temporal.returns_within(t.admissions, P.ENTITY, "admittime", "dischtime", P.EPISODE,
-                                   days=days, unit=unit, keep=KEYS)
+                                   days=days, unit=unit, keep=KEYS, ranges=ranges)
 
 
-def admission_ordinal(t: Tables) -> DataFrame:
-    return temporal.episode_ordinal(t.admissions, P.ENTITY, "admittime", P.EPISODE, keep=KEYS)
+def admission_ordinal(t: Tables, ranges: bool = False) -> DataFrame:
+    return temporal.episode_ordinal(t.admissions, P.ENTITY, "admittime", P.EPISODE, keep=KEYS, ranges=ranges)
 
 
 def _visit_weights():
@@ -48,9 +48,9 @@ def _visit_weights():
     }
 
 
-def prev_visits(t: Tables) -> DataFrame:
+def prev_visits(t: Tables, ranges: bool = False) -> DataFrame:
     adm = t.admissions.select(*KEYS, "admittime", "admission_location")
-    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights())
+    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights(), ranges)
     return scan.select(*KEYS, *_visit_weights())
 
 
@@ -59,10 +59,10 @@ def _transfer_weights():
     return {name: unit.isin(*units) for name, units in P.CAREUNIT_GROUPS.items()}
 
 
-def prev_transfers(t: Tables) -> DataFrame:
+def prev_transfers(t: Tables, ranges: bool = False) -> DataFrame:
     adm = t.admissions.select(*KEYS, "admittime")
     return temporal.prior_event_counts(adm, t.transfers, P.ENTITY, "admittime", P.EPISODE,
-                                       "intime", _transfer_weights())
+                                       "intime", _transfer_weights(), ranges)
 
 
 def comorbidity_flags(t: Tables) -> DataFrame:
@@ -212,8 +212,9 @@ class _KeyedEvents:
 
 
 def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
-               days: int = 30, unit: str = "elapsed") -> DataFrame:
-    """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``); lazy.
+               days: int = 30, unit: str = "elapsed", ranges: bool = False, columns=None) -> DataFrame:
+    """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``) or those of them in ``columns``; lazy, unless
+    histories are scanned by written ``ranges`` (see ``operators.temporal``): what ``columns`` leaves out isn't scanned then.
 
     ``stored`` may hold written results of ``readmission``, ``age`` and
     ``comorbidity_index``. Otherwise the admissions get the patient's age and
@@ -223,21 +224,21 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
     the next stay, as ordinals and as history.
     """
     stored = stored or {}
+    columns = list(columns or P.MODEL_DATA_COLUMNS)
+    indexed = "charlson_comorbidity_index" in columns
     adm = t.admissions.select(*KEYS, "race", "admittime", "dischtime", "deathtime",
                               "hospital_expire_flag", "admission_location")
     # Event rows without a stay id join to no stay: they are dropped before
     # aggregating, so they never form one large, useless group (T18).
     keyed = _KeyedEvents(t)
     carried = []
-    if "comorbidity_index" not in stored:
+    if "comorbidity_index" not in stored and indexed:
         rules = P.parse_rules()
         # Per stay id, as in the index's own definition.
         masks = codes.code_masks(keyed.diagnoses_icd, P.EPISODE, "icd_code", "icd_version", rules)
         adm = adm.join(masks, P.EPISODE, "left")
-        # Ages per stay keys, so that a stay id two patients share finds both; one row for each stay of the scan.
-        ages = age(t).withColumn("_aged", F.lit(True))
         carried = ["_mask"]
-    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights())
+    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights(), ranges)
     diff = DAY_UNITS[unit]
     out = scan.select(
         *KEYS, "race", "admittime", "dischtime", "deathtime", "hospital_expire_flag", *carried,
@@ -247,19 +248,23 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
     if "readmission" in stored:
         out = out.drop("readmission_flag").join(stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
     for features in (procedure_features(keyed), diagnosis_features(keyed), prescription_features(keyed),
-                     drg_features(keyed), emar_count(keyed), lab_abnormal_count(keyed), prev_transfers(t)):
+                     drg_features(keyed), emar_count(keyed), lab_abnormal_count(keyed)):
         out = out.join(features, KEYS, "left")
+    if set(P.CAREUNIT_GROUPS) & set(columns):
+        out = out.join(prev_transfers(t, ranges), KEYS, "left")
 
     if "comorbidity_index" in stored:
         age_table = stored["age"] if "age" in stored else age(t)
         out = out.join(age_table.select(*KEYS, "age"), KEYS, "left")
         out = out.join(stored["comorbidity_index"].select(*KEYS, "charlson_comorbidity_index"), KEYS, "left")
-    else:
+    elif indexed or "age" in columns:
+        # Ages per stay keys, so that a stay id two patients share finds both; one row for each stay of the scan.
+        out = out.join(age(t).withColumn("_aged", F.lit(True)), KEYS, "left")
+    if indexed and "comorbidity_index" not in stored:
         # A stay without an age row has a NULL index; a NULL age itself is in the top band.
-        out = out.join(ages, KEYS, "left")
         flags = {c: F.coalesce(F.shiftright("_mask", i).bitwiseAND(1).cast("int"), F.lit(0))
                  for i, c in enumerate(P.categories())}
         out = out.withColumns({**flags, "_age_score": F.when(F.col("_aged"), _age_score())})
         out = out.withColumn("charlson_comorbidity_index", _charlson("_age_score"))
 
-    return out.where(F.col("deathtime").isNull()).select(*P.MODEL_DATA_COLUMNS)
+    return out.where(F.col("deathtime").isNull()).select(*columns)

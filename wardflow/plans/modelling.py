@@ -26,8 +26,8 @@ def feature_table(t: Tables, columns=None) -> DataFrame:
     """The feature table, or the ``columns`` of it that a run needs, written once to the
     shared folder and read back: the steps of a run start from this copy (as from an export),
     and what it doesn't hold is never computed."""
-    df = C.model_data(t)
-    return io.store_and_reload(t.spark, {"features": df.select(*columns) if columns else df}, "features")["features"]
+    df = C.model_data(t, ranges=True, columns=columns)
+    return io.store_and_reload(t.spark, {"features": df}, "features")["features"]
 
 
 def imputed(t: Tables, features: DataFrame | None = None) -> DataFrame:

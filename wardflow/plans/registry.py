@@ -39,9 +39,9 @@ def _age_score(t):
 CORE: dict[str, Query] = {
     "scan_admissions": _q(_scan_admissions),
     "age_at_admission": _q(C.age),
-    "readmission": _q(C.readmission),
-    "readmission_calendar": _q(C.readmission, unit="calendar"),
-    "admission_ordinal": _q(C.admission_ordinal),
+    "readmission": _q(C.readmission, ranges=True),
+    "readmission_calendar": _q(C.readmission, unit="calendar", ranges=True),
+    "admission_ordinal": _q(C.admission_ordinal, ranges=True),
     "proc_count": _q(C.proc_count),
     "proc_distinct": _q(C.proc_distinct),
     "diag_distinct": _q(C.diag_distinct),
@@ -53,12 +53,12 @@ CORE: dict[str, Query] = {
     "drg_top": _q(C.drg_top),
     "emar_count": _q(C.emar_count),
     "lab_abnormal_count": _q(C.lab_abnormal_count),
-    "prev_visits": _q(C.prev_visits),
-    "prev_transfers": _q(C.prev_transfers),
+    "prev_visits": _q(C.prev_visits, ranges=True),
+    "prev_transfers": _q(C.prev_transfers, ranges=True),
     "comorbidity_flags": _q(C.comorbidity_flags),
     "age_score": _q(_age_score),
     "charlson_index": _q(C.comorbidity_index),
-    "model_data": _q(C.model_data),
+    "model_data": _q(C.model_data, ranges=True),
 }
 
 
