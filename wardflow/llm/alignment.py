@@ -2,10 +2,10 @@
 
 A text is encoded by a byte-level vocabulary (A) and a piece vocabulary (B); byte
 offsets where tokens of both end cut it into groups, and the tokens that end
-there are linked. The words of a text (cut between a character that isn't white
-space and a blank) are encoded one by one: neither vocabulary has tokens across
-such a place, so ends and groups of a word don't depend on its neighbours, and a
-task encodes a word once.
+there are linked. Neither vocabulary has tokens across a place between a character
+that isn't white space and a blank, so the words cut there have ends and groups
+that don't depend on their neighbours: a task encodes a word once, new words
+one after the other as one text.
 
 Counts of pairs: the first pass aligns the documents and writes each task's pairs
 with their counts. The distinct pairs get a minimal perfect hash (levels of bits:
@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,8 @@ from wardflow.llm.scratch import small_batches, stored
 
 B_BITS = 32
 MARK = "▁"
+#: White space to some library, not to ``str.isspace``.
+UNSURE = "\u180e\u200b\ufeff"
 #: White space before a blank, in any library's sense; elsewhere a blank starts a word.
 ODD = re.compile(r"[\s\x1c-\x1f\x85\u180e\u200b\ufeff] ")
 WORD = re.compile(r"(?<![\s\x1c-\x1f\x85\u180e\u200b\ufeff])(?= )")
@@ -73,8 +76,11 @@ class Vocabularies:
             vocab = json.load(f)["model"]["vocab"]
         self.a_bytes = {i: bytes(letters[c] for c in t) for t, i in vocab.items() if all(c in letters for c in t)}
         p = self._pieces
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(vocab.values()) + 1)], np.int64)
         self.b_bytes = {i: bytes([int(p.id_to_piece(i)[3:5], 16)]) if p.is_byte(i) else
                         p.id_to_piece(i).replace(MARK, " ").encode() for i in range(p.get_piece_size())}
+        self.b_sizes = np.array([len(self.b_bytes[i]) for i in range(p.get_piece_size())], np.int64)
+        self.names = [str(i) for i in range(max(len(self.a_sizes), len(self.b_sizes)))]
 
     def align(self, rest: str, groups: bool):
         """A word without the blank that it starts with: numbers of tokens, linked pairs, groups. None if B's bytes aren't
@@ -82,21 +88,52 @@ class Vocabularies:
         word = " " + rest
         a = self.encode_a(word)
         b = self._pieces.encode(rest, num_threads=1) if rest else [self._mark]
-        body, a_bytes, b_bytes = word.encode(), self.a_bytes, self.b_bytes
-        if b"".join([b_bytes[i] for i in b]) != body or b"".join([a_bytes[i] for i in a]) != body:
+        if b"".join([self.b_bytes[i] for i in b]) != word.encode():
             return None
-        keys, parts, end_a, end_b, j, first_a, first_b = [], [], 0, 0, 0, 0, 0
-        for i, token in enumerate(a):
-            end_a += len(a_bytes[token])
-            while end_b < end_a:
-                end_b += len(b_bytes[b[j]])
-                j += 1
-            if end_b == end_a:
-                keys.append(token << B_BITS | b[j - 1])
-                if groups:
-                    parts.append(",".join(map(str, a[first_a:i + 1])) + "|" + ",".join(map(str, b[first_b:j])))
-                    first_a, first_b = i + 1, j
-        return len(a), len(b), keys, ";".join(parts)
+        return next(self._linked([len(word.encode())], a, b, groups))
+
+    def align_all(self, words: list[str], groups: bool, most: int = 100_000) -> Iterator[tuple]:
+        """``align`` for many words that end in a character that isn't white space: as one text, ``most`` characters at a time."""
+        part, held = [], 0
+        for word in words:
+            part.append(word)
+            held += len(word) + 1
+            if held >= most:
+                yield from self._align_part(part, groups)
+                part, held = [], 0
+        if part:
+            yield from self._align_part(part, groups)
+
+    def _align_part(self, words: list[str], groups: bool) -> Iterator[tuple]:
+        text = " " + " ".join(words)
+        a, b = self.encode_a.fast(text), self._pieces.encode(text[1:], num_threads=1)
+        if b"".join([self.b_bytes[i] for i in b]) == text.encode():
+            yield from self._linked([len(w.encode()) + 1 for w in words], a, b, groups)
+        else:
+            yield from (self.align(w, groups) for w in words)
+
+    def _linked(self, sizes: list[int], a: list[int], b: list[int], groups: bool) -> Iterator[tuple]:
+        """For words of so many bytes, encoded one after the other: numbers of tokens, linked pairs, groups."""
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b, ends = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b]), np.cumsum(sizes)
+        common, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        keys = (ids_a[at_a] << B_BITS | ids_b[at_b]).tolist()
+        upto = [np.searchsorted(x, ends, side="right") for x in (ends_a, ends_b, common)]
+        n_a, n_b, n_keys = (np.diff(x, prepend=0).tolist() for x in upto)
+        first, i, j, names = 0, 0, 0, self.names
+        at_a, at_b = (at_a + 1).tolist(), (at_b + 1).tolist()
+        for x, y, n in zip(n_a, n_b, n_keys):
+            parts = []
+            if groups:
+                for k in range(first, first + n):
+                    p, q = at_a[k], at_b[k]
+                    if p - i == 1 and q - j == 1:
+                        parts.append(names[a[i]] + "|" + names[b[j]])
+                    else:
+                        parts.append(",".join([names[t] for t in a[i:p]]) + "|" + ",".join([names[t] for t in b[j:q]]))
+                    i, j = p, q
+            yield x, y, keys[first:first + n], ";".join(parts)
+            first += n
 
 
 def most_pairs(a_json: str = "byte_bpe_50k.json", a_ranks: str = "byte_bpe_50k.tiktoken", b_model: str = "piece_bpe_32k.model") -> int:
@@ -129,8 +166,12 @@ class WordTable:
         known = self._numbers
         new = [w for w in dict.fromkeys(w for words in cut if words for w in words) if w not in known]
         rows, keys = [], []
+        plain, others = [], []
         for word in new:
-            found = self._vocabularies.align(word, self._with_groups)
+            (plain if 0 < len(word) < 500 and not word[-1].isspace() and word[-1] not in UNSURE else others).append(word)
+        found_all = chain(self._vocabularies.align_all(plain, self._with_groups),
+                          (self._vocabularies.align(w, self._with_groups) for w in others))
+        for word, found in zip(chain(plain, others), found_all):
             self.held += len(word) + 8
             if found is None:
                 known[word] = -1

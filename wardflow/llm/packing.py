@@ -59,6 +59,10 @@ class Encoder:
                 return self.careful(text)
         return self._fast.encode_ordinary(text)
 
+    def fast(self, text: str) -> list[int]:
+        """For text without long words and long white space."""
+        return self._fast.encode_ordinary(text)
+
     def careful(self, text: str) -> list[int]:
         if self._careful is None:
             from tokenizers import Tokenizer
