@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from wardflow import session
 from wardflow.plans import clinical as C
+from wardflow.sources import io
 from wardflow.plans import modelling as M
 from wardflow.sources.synthetic import tables
 from wardflow.sources.tables import SCHEMAS, ParquetTables, stage_tables
@@ -99,3 +101,21 @@ def stored_root(spark):
 def test_parquet_tables_prune(spark, stored):
     assert isinstance(stored, ParquetTables)
     assert "ReadSchema: struct<subject_id:bigint>" in plan(stored.admissions.select("subject_id"))
+
+
+def test_stored_features_are_joined_without_a_shuffle(spark, stored):
+    df = C.model_data_bucketed(stored, buckets=3)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 9, plan
+    want = C.model_data(stored)
+    assert df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+
+
+def test_stored_tables_leave_the_catalog(spark):
+    a, b = (io.store_bucketed(spark, {"x": spark.range(50).withColumn("v", F.col("id") * 2)}, ["id"], "t", 2)["x"] for _ in "ab")
+    assert a.join(b.hint("merge"), "id").count() == 50
+    files = a.inputFiles()
+    assert len(files) == 2
+    names = io.drop_bucketed(spark)
+    assert len(names) >= 2 and not io.drop_bucketed(spark)
+    assert spark.read.parquet(*files).count() == 50

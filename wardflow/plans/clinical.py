@@ -14,6 +14,7 @@ from wardflow.functions.scores import score_bands, weighted_index
 from wardflow.operators import aggregates as agg
 from wardflow.operators import codes, temporal
 from wardflow.profiles import clinical as P
+from wardflow.sources import io
 from wardflow.sources.tables import Tables
 
 KEYS = P.STAY_KEYS
@@ -211,13 +212,44 @@ class _KeyedEvents:
         return getattr(self._t, name).where(F.col(P.EPISODE).isNotNull())
 
 
+def _stays(t: Tables, days: int, unit: str, ranges: bool, masks: DataFrame | None = None) -> DataFrame:
+    """The admissions with return label, ordinal and prior visits, and the comorbidity mask where ``masks`` are given."""
+    adm = t.admissions.select(*KEYS, "race", "admittime", "dischtime", "deathtime",
+                              "hospital_expire_flag", "admission_location")
+    carried = []
+    if masks is not None:
+        adm = adm.join(masks, P.EPISODE, "left")
+        carried = ["_mask"]
+    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights(), ranges)
+    diff = DAY_UNITS[unit]
+    return scan.select(
+        *KEYS, "race", "admittime", "dischtime", "deathtime", "hospital_expire_flag", *carried,
+        F.when(diff(F.col("next_start"), F.col("dischtime")) <= days, 1).otherwise(0).alias("readmission_flag"),
+        F.col("ordinal").alias("num_hospital_admissions"),
+        *_visit_weights())
+
+
+#: The per-stay features that come from one event table each.
+EVENT_FEATURES = {"procedures": procedure_features, "diagnoses": diagnosis_features, "prescriptions": prescription_features,
+                  "drgs": drg_features, "emar": emar_count, "labs": lab_abnormal_count}
+
+
+def feature_groups(t: Tables, days: int = 30, unit: str = "elapsed", ranges: bool = True) -> dict[str, DataFrame]:
+    """All that the feature table is joined from, a frame per source with a row per stay, to be stored: ``model_data`` takes
+    the stored copies."""
+    keyed = _KeyedEvents(t)
+    return {"stays": _stays(t, days, unit, ranges), **{name: make(keyed) for name, make in EVENT_FEATURES.items()},
+            "transfers": prev_transfers(t, ranges), "age": age(t),
+            "comorbidity_index": comorbidity_index(t).select(*KEYS, "charlson_comorbidity_index")}
+
+
 def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
                days: int = 30, unit: str = "elapsed", ranges: bool = False, columns=None) -> DataFrame:
     """One row per living stay, 30 columns (``P.MODEL_DATA_COLUMNS``) or those of them in ``columns``; lazy, unless
     histories are scanned by written ``ranges`` (see ``operators.temporal``): what ``columns`` leaves out isn't scanned then.
 
     ``stored`` may hold written results of ``readmission``, ``age`` and
-    ``comorbidity_index``. Otherwise the admissions get the patient's age and
+    ``comorbidity_index``, or of any of ``feature_groups``. Otherwise the admissions get the patient's age and
     the comorbidity mask of the stay first, as narrow rows, and the return
     label, the stay ordinal and the prior-visit counts come from one scan over
     them. The death filter comes last: stays that ended in death still count as
@@ -226,32 +258,20 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
     stored = stored or {}
     columns = list(columns or P.MODEL_DATA_COLUMNS)
     indexed = "charlson_comorbidity_index" in columns
-    adm = t.admissions.select(*KEYS, "race", "admittime", "dischtime", "deathtime",
-                              "hospital_expire_flag", "admission_location")
     # Event rows without a stay id join to no stay: they are dropped before
     # aggregating, so they never form one large, useless group (T18).
     keyed = _KeyedEvents(t)
-    carried = []
+    masks = None
     if "comorbidity_index" not in stored and indexed:
-        rules = P.parse_rules()
         # Per stay id, as in the index's own definition.
-        masks = codes.code_masks(keyed.diagnoses_icd, P.EPISODE, "icd_code", "icd_version", rules)
-        adm = adm.join(masks, P.EPISODE, "left")
-        carried = ["_mask"]
-    scan = temporal.episode_scan(adm, P.ENTITY, "admittime", P.EPISODE, _visit_weights(), ranges)
-    diff = DAY_UNITS[unit]
-    out = scan.select(
-        *KEYS, "race", "admittime", "dischtime", "deathtime", "hospital_expire_flag", *carried,
-        F.when(diff(F.col("next_start"), F.col("dischtime")) <= days, 1).otherwise(0).alias("readmission_flag"),
-        F.col("ordinal").alias("num_hospital_admissions"),
-        *_visit_weights())
+        masks = codes.code_masks(keyed.diagnoses_icd, P.EPISODE, "icd_code", "icd_version", P.parse_rules())
+    out = stored["stays"] if "stays" in stored else _stays(t, days, unit, ranges, masks)
     if "readmission" in stored:
         out = out.drop("readmission_flag").join(stored["readmission"].select(*KEYS, "readmission_flag"), KEYS, "left")
-    for features in (procedure_features(keyed), diagnosis_features(keyed), prescription_features(keyed),
-                     drg_features(keyed), emar_count(keyed), lab_abnormal_count(keyed)):
-        out = out.join(features, KEYS, "left")
+    for name, make in EVENT_FEATURES.items():
+        out = out.join(stored[name] if name in stored else make(keyed), KEYS, "left")
     if set(P.CAREUNIT_GROUPS) & set(columns):
-        out = out.join(prev_transfers(t, ranges), KEYS, "left")
+        out = out.join(stored["transfers"] if "transfers" in stored else prev_transfers(t, ranges), KEYS, "left")
 
     if "comorbidity_index" in stored:
         age_table = stored["age"] if "age" in stored else age(t)
@@ -260,7 +280,7 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
     elif indexed or "age" in columns:
         # Ages per stay keys, so that a stay id two patients share finds both; one row for each stay of the scan.
         out = out.join(age(t).withColumn("_aged", F.lit(True)), KEYS, "left")
-    if indexed and "comorbidity_index" not in stored:
+    if masks is not None:
         # A stay without an age row has a NULL index; a NULL age itself is in the top band.
         flags = {c: F.coalesce(F.shiftright("_mask", i).bitwiseAND(1).cast("int"), F.lit(0))
                  for i, c in enumerate(P.categories())}
@@ -268,3 +288,10 @@ def model_data(t: Tables, stored: dict[str, DataFrame] | None = None,
         out = out.withColumn("charlson_comorbidity_index", _charlson("_age_score"))
 
     return out.where(F.col("deathtime").isNull()).select(*columns)
+
+
+def model_data_bucketed(t: Tables, buckets: int | None = None) -> DataFrame:
+    """The feature table from feature groups stored bucketed by the stay keys: its ten joins shuffle nothing."""
+    groups = io.store_bucketed(t.spark, feature_groups(t), KEYS, "features", buckets)
+    # Merge joins of what lies side by side; a broadcast would send each group to every task instead.
+    return model_data(t, stored={name: df.hint("merge") for name, df in groups.items()})

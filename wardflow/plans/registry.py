@@ -59,6 +59,7 @@ CORE: dict[str, Query] = {
     "age_score": _q(_age_score),
     "charlson_index": _q(C.comorbidity_index),
     "model_data": _q(C.model_data, ranges=True),
+    "model_data_bucketed": _q(C.model_data_bucketed),
 }
 
 

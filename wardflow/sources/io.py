@@ -36,6 +36,39 @@ def store_and_reload(spark: SparkSession, frames: dict[str, DataFrame], name: st
     return out
 
 
+TABLE_PREFIX = "wardflow_stored_"
+
+
+def store_bucketed(spark: SparkSession, frames: dict[str, DataFrame], keys: list[str], name: str = "bucketed",
+                   buckets: int | None = None) -> dict[str, DataFrame]:
+    """Write each frame bucketed and sorted by ``keys`` under one new shared folder and return readers over the copies.
+
+    Copies of the same number of buckets are joined, grouped and scanned by those keys without a shuffle, as often as
+    they are read. ``buckets`` is the number of shuffle partitions by default: what the session holds right for its
+    largest shuffle. Each is written by one task, so it is one file. The tables are in the session's catalog until
+    ``drop_bucketed``; their files are in the shared folder.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = shared_dir(spark, name)
+    mark = "".join(c if c.isalnum() else "_" for c in root.rsplit("/", 1)[-1])
+    out = {}
+    for key, df in frames.items():
+        table = f"{TABLE_PREFIX}{mark}_{key}"
+        (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+         .option("path", f"{root}/{key}").saveAsTable(table))
+        out[key] = spark.table(table)
+    return out
+
+
+def drop_bucketed(spark: SparkSession) -> list[str]:
+    """Take the tables of ``store_bucketed`` out of the catalog; results still to be read must not need them. (Their files go
+    with ``session.drop_shared``.)"""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLE_PREFIX)]
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    return names
+
+
 def model_data_schema(with_index: bool = False) -> T.StructType:
     fields = [T.StructField(c, T._parse_datatype_string(P.MODEL_DATA_TYPES[c])) for c in P.MODEL_DATA_COLUMNS]
     if with_index:
