@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardflow.plans import clinical as C
-from wardflow.plans import modelling
+from wardflow.plans import learning, modelling
 from wardflow.sources.synthetic import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,4 +64,4 @@ CORE: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return CORE | modelling.QUERIES
+    return CORE | modelling.QUERIES | {run.__name__: _q(run) for run in learning.RUNS}
