@@ -48,7 +48,8 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 SHARD = "shard long, rows long, top long, prev binary, next binary, lang array<string>, word array<string>, n array<bigint>"
 #: Packed columns for a part of the phrases, or for a shard.
 PACKED = "part long, packed binary"
-COUNTED = "p long, s long, at long, n long, total long, id long"
+#: Of a part: its phrases (with their sums), and for each shard its entries of them (packed places, counts, ids).
+COUNTED = "p long, s long, id long, total long, shard long, packed binary"
 
 
 class Words(dict):
@@ -266,8 +267,8 @@ def _right(parts: int):
 
 
 def _sums(min_count: int):
-    """The entries of one part of the phrases: of those found ``min_count`` times in all, with the sum and an id, the
-    phrase's first place."""
+    """From the entries of one part of the phrases, those of phrases found ``min_count`` times in all. A phrase's id is its
+    first place."""
 
     def sums(rows: pa.Table) -> pa.Table:
         p, s, at, n = unpacked(rows["packed"])
@@ -275,10 +276,16 @@ def _sums(min_count: int):
         p, s, at, n = p[order], s[order], at[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (s[1:] != s[:-1])]))
         size = np.diff(np.append(first, len(p)))
-        total = np.repeat(np.add.reduceat(n, first), size)
-        keep = total >= min_count
-        columns = [p, s, at, n, total, np.repeat(at[first], size)]
-        return pa.table([pa.array(c[keep]) for c in columns], names=[c.split()[0] for c in COUNTED.split(", ")])
+        total = np.add.reduceat(n, first)
+        often = total >= min_count
+        keep = np.repeat(often, size)
+        entries = packed_parts(at[keep] >> ROW_BITS, [at[keep], n[keep], np.repeat(at[first], size)[keep]])
+        first, none = first[often], pa.nulls(len(entries), pa.int64())
+        phrases = [p[first], s[first], at[first], total[often]]
+        columns = [pa.chunked_array([pa.array(c), none]) for c in phrases]
+        columns.append(pa.chunked_array([pa.nulls(len(first), pa.int64()), *entries["part"].chunks]))
+        columns.append(pa.chunked_array([pa.nulls(len(first), pa.binary()), *entries["packed"].chunks]))
+        return pa.table(columns, names=[c.split()[0] for c in COUNTED.split(", ")])
 
     return sums
 
@@ -303,15 +310,17 @@ def ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: i
     total = F.array("total")
     found = [level.filter(own).select("id", "lang", F.array("word").alias("words"), "total", total.alias("heads"), total.alias("tails"))]
     parts = 1 + (index.agg(F.sum("rows")).first()[0] or 0) // part_words
+    known = level.select(F.shiftright("at", ROW_BITS).alias("shard"), "at", "id").mapInArrow(packed_by("shard", ["at", "id"]), PACKED)
+    known = known.withColumnRenamed("part", "shard")
     for size in range(2, max_words + 1):
-        step, column, held = (_left(parts), "prev", ["at", "id"]) if size == 2 else (_right(parts), "next", ["at", "n", "id"])
-        known = level.select(F.shiftright("at", ROW_BITS).alias("shard"), *held).mapInArrow(packed_by("shard", held), PACKED)
+        step, column = (_left(parts), "prev") if size == 2 else (_right(parts), "next")
         grown = (index.select("shard", "rows", "top", column).groupBy("shard")
-                 .cogroup(known.withColumnRenamed("part", "shard").groupBy("shard")).applyInArrow(step, PACKED))
+                 .cogroup(known.groupBy("shard")).applyInArrow(step, PACKED))
         level = stored(grown.groupBy("part").applyInArrow(_sums(min_count), COUNTED), f"phrase-{size}")
+        known = level.filter("shard is not null").select("shard", "packed")
         head = found[-1].select(F.col("id").alias("p"), "lang", "words", "heads")
         tail = found[-1].select(F.col("id").alias("s"), F.element_at("words", -1).alias("last"), "tails")
-        both = level.filter(own).select("id", "p", "s", "total").join(head, "p").join(tail, "s")
+        both = level.filter("shard is null").select("id", "p", "s", "total").join(head, "p").join(tail, "s")
         found.append(stored(both.select("id", "p", "s", "lang", F.concat("words", F.array("last")).alias("words"), "total",
                                         F.concat("heads", total).alias("heads"), F.concat("tails", total).alias("tails")),
                             f"phrase-list-{size}"))
