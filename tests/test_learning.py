@@ -1,0 +1,139 @@
+"""Fits from aggregates: against numpy, pyspark.ml and plain Python. (Their queries are compared with SQL in test_oracle.)"""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wardflow.operators import cooccurrence, importance, models, solvers, trees
+
+
+def made(spark, n=400, seed=2):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 30, size=(n, 3)).astype(float)
+    y = (x[:, 0] - x[:, 1] + rng.normal(0, 8, n) > 0).astype(int)
+    rows = [(i, *map(float, x[i]), int(y[i])) for i in range(n)]
+    return x, y, spark.createDataFrame(rows, "id long, a double, b double, c double, y int").repartition(3)
+
+
+def test_newton_steps_equal_numpy_and_arrive_at_the_fit(spark):
+    x, y, df = made(spark)
+    got = {(r["step"], r["term"]): r["coefficient"] for r in solvers.newton_logistic(df, ["a", "b", "c"], "y", steps=8).collect()}
+    X, w = np.column_stack([np.ones(len(x)), x]), np.zeros(4)
+    penalty = np.diag([0.0, 1, 1, 1])
+    for k in range(1, 9):
+        p = 1 / (1 + np.exp(-X @ w))
+        w = w - np.linalg.solve((X.T * (p * (1 - p))) @ X + penalty, X.T @ (p - y) + penalty @ w)
+        for term, v in zip([solvers.INTERCEPT, "a", "b", "c"], w):
+            assert got[k, term] == pytest.approx(v, rel=1e-9, abs=1e-12)
+    data = models.assembler(["a", "b", "c"]).transform(df)
+    fit = models.logistic_regression("y", len(x)).setTol(1e-12).fit(data)
+    assert np.allclose([fit.intercept, *fit.coefficients], w, atol=1e-4)
+
+
+def test_newton_on_columns_that_depend_on_each_other_or_on_nothing(spark):
+    _, _, df = made(spark, 60)
+    twice = df.withColumn("d", 2 * F.col("a")).withColumn("e", F.lit(0.0))
+    rows = solvers.newton_logistic(twice, ["a", "d", "e"], "y", steps=3).collect()
+    assert len(rows) == 12 and all(math.isfinite(r["coefficient"]) for r in rows)
+    assert solvers.newton_logistic(df.limit(0), ["a"], "y").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 7])
+def test_eigenvalues(n):
+    m = np.random.default_rng(n).normal(size=(n, n))
+    m = m @ m.T
+    assert np.allclose(sorted(solvers.jacobi(m)), np.linalg.eigvalsh(m))
+    assert solvers.jacobi(np.zeros((n, n))) == [0.0] * n
+
+
+def test_shares_equal_the_library(spark):
+    _, _, df = made(spark)
+    whole = df.selectExpr("cast(a as int) a", "cast(b as int) b", "cast(a + c as int) c")
+    got = [r["share"] for r in solvers.principal_shares(models.covariance(whole, ["a", "b", "c"]), 3).orderBy("component").collect()]
+    want = [r["explained_variance"] for r in models.pca_variance(whole, ["a", "b", "c"], 3).orderBy("component").collect()]
+    assert np.allclose(got, want, atol=1e-9) and sum(got) == pytest.approx(1)
+
+
+def gini(y):
+    return 2 * np.mean(y) * (1 - np.mean(y))
+
+
+def test_best_splits_by_trying_all(spark):
+    x, y, df = made(spark)
+    df = df.withColumn("one", F.lit(3.0)).withColumn("b", F.expr("if(id = 5, null, b)"))
+    got = {r["feature"]: r for r in trees.best_splits(df, ["a", "b", "c", "one"], "y", bins=8).collect()}
+    assert set(got) == {"a", "b", "c"}  # nothing to split in a column of one value
+    x[5, 1] = min(v for i, v in enumerate(x[:, 1]) if i != 5)  # a NULL goes with the least
+    for k, c in enumerate("abc"):
+        lo, hi = x[:, k].min(), x[:, k].max()
+        bins = np.minimum(np.floor((x[:, k] - lo) * 8 / (hi - lo)), 7)
+        best = None
+        for b in sorted(set(bins))[:-1]:
+            left, right = y[bins <= b], y[bins > b]
+            gain = round(gini(y) - len(left) / len(y) * gini(left) - len(right) / len(y) * gini(right), 9)
+            if best is None or gain > best[0]:
+                best = (gain, lo + (b + 1) * (hi - lo) / 8, len(left), left.sum(), len(right), right.sum())
+        r = got[c]
+        assert (r["n_left"], r["positives_left"], r["n_right"], r["positives_right"]) == best[2:]
+        assert r["gain"] == pytest.approx(best[0], abs=2e-9) and r["threshold"] == pytest.approx(best[1])
+
+
+def test_stumps_lower_the_loss_and_equal_plain_boosting(spark):
+    x, y, df = made(spark)
+    stumps = trees.boosted_stumps(df, ["a", "b", "c"], "y", rounds=4, bins=16).orderBy("round").collect()
+    margin, losses = np.zeros(len(y)), []
+    for r in stumps:
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+        best = None
+        for k in range(3):
+            lo, hi = x[:, k].min(), x[:, k].max()
+            bins = np.minimum(np.floor((x[:, k] - lo) * 16 / (hi - lo)), 15)
+            for b in sorted(set(bins))[:-1]:
+                on = bins <= b
+                gain = round(sum(g[s].sum() ** 2 / (h[s].sum() + 1) for s in (on, ~on)) - g.sum() ** 2 / (h.sum() + 1), 9)
+                if best is None or gain > best[0]:
+                    best = (gain, "abc"[k], [-0.3 * g[s].sum() / (h[s].sum() + 1) for s in (on, ~on)], on)
+        assert r["feature"] == best[1] and [r["below"], r["above"]] == pytest.approx(best[2])
+        margin = margin + np.where(best[3], *best[2])
+        losses.append(np.mean(np.log1p(np.exp(-(2 * y - 1) * margin))))
+    assert len(stumps) == 4 and losses == sorted(losses, reverse=True)
+    assert trees.boosted_stumps(df.limit(0), ["a"], "y").count() == 0
+
+
+def test_importance_is_that_of_the_column_that_decides(spark):
+    rows = [(i, i % 2, (i * 7) % 5, i % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, a int, b int, y int").repartition(6)
+    run = lambda d: {r["feature"]: r for r in importance.permutation_importance(d, "id", "y", ["a", "b"], lambda v: v["a"]).collect()}
+    got = run(df)
+    assert got["b"]["importance"] == 0 and got["a"]["accuracy"] == 1.0
+    import hashlib
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"42:{r[0]}".encode()).hexdigest(), r[0]))
+    right = sum(order[i - 1][1] == order[i][3] for i in range(1000))
+    assert got["a"]["permuted_accuracy"] == right / 1000 and 0.4 < right / 1000 < 0.6
+    assert run(df.repartition(2)) == got
+
+
+def test_cooccurrence_by_brute_force(spark):
+    rnd = random.Random(4)
+    seqs = [" ".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 9))) for _ in range(200)] + [None, "z"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)], "id long, s string").repartition(4)
+    for window in (1, 3):
+        want = Counter()
+        for s in seqs:
+            t = (s or "").split()
+            for i in range(len(t)):
+                for j in range(len(t)):
+                    if 1 <= abs(i - j) <= window:
+                        want[t[i], t[j]] += 1
+        own, total = Counter(), sum(want.values())
+        for (a, _), n in want.items():
+            own[a] += n
+        rows = cooccurrence.ppmi(cooccurrence.skip_grams(df, "s", window)).collect()
+        assert {(r["code_a"], r["code_b"]): r["n"] for r in rows} == want
+        for r in rows:
+            assert r["ppmi"] == pytest.approx(max(0, math.log(r["n"] * total / (own[r["code_a"]] * own[r["code_b"]]))), abs=1e-8)
