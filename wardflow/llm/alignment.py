@@ -32,8 +32,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -82,58 +80,40 @@ class Vocabularies:
         self.b_sizes = np.array([len(self.b_bytes[i]) for i in range(p.get_piece_size())], np.int64)
         self.names = [str(i) for i in range(max(len(self.a_sizes), len(self.b_sizes)))]
 
-    def align(self, rest: str, groups: bool):
-        """A word without the blank that it starts with: numbers of tokens, linked pairs, groups. None if B's bytes aren't
-        the word's."""
-        word = " " + rest
-        a = self.encode_a(word)
-        b = self._pieces.encode(rest, num_threads=1) if rest else [self._mark]
-        if b"".join([self.b_bytes[i] for i in b]) != word.encode():
+    def align(self, word: str, groups: bool):
+        """A word without the blank that it starts with, see ``align_all``. None if B's bytes aren't the word's."""
+        text = " " + word
+        b = self._pieces.encode(word, num_threads=1) if word else [self._mark]
+        if b"".join([self.b_bytes[i] for i in b]) != text.encode():
             return None
-        return next(self._linked([len(word.encode())], a, b, groups))
+        return self._linked([len(text.encode())], self.encode_a(text), b, groups)
 
-    def align_all(self, words: list[str], groups: bool, most: int = 100_000) -> Iterator[tuple]:
-        """``align`` for many words that end in a character that isn't white space: as one text, ``most`` characters at a time."""
-        part, held = [], 0
-        for word in words:
-            part.append(word)
-            held += len(word) + 1
-            if held >= most:
-                yield from self._align_part(part, groups)
-                part, held = [], 0
-        if part:
-            yield from self._align_part(part, groups)
-
-    def _align_part(self, words: list[str], groups: bool) -> Iterator[tuple]:
+    def align_all(self, words: list[str], groups: bool):
+        """Words that end in a character that isn't white space, as one text: of each the numbers of A's and B's tokens and of
+        linked pairs; all pairs; a string of groups for each word. None if B's bytes aren't the text's."""
         text = " " + " ".join(words)
-        a, b = self.encode_a.fast(text), self._pieces.encode(text[1:], num_threads=1)
-        if b"".join([self.b_bytes[i] for i in b]) == text.encode():
-            yield from self._linked([len(w.encode()) + 1 for w in words], a, b, groups)
-        else:
-            yield from (self.align(w, groups) for w in words)
-
-    def _linked(self, sizes: list[int], a: list[int], b: list[int], groups: bool) -> Iterator[tuple]:
-        """For words of so many bytes, encoded one after the other: numbers of tokens, linked pairs, groups."""
+        b = self._pieces.encode(text[1:], num_threads=1)
+        if b"".join([self.b_bytes[i] for i in b]) != text.encode():
+            return None
+        return self._linked([len(w.encode()) + 1 for w in words], self.encode_a.fast(text), b, groups)
+
+    def _linked(self, sizes: list[int], a: list[int], b: list[int], groups: bool):
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b, ends = np.cumsum(self.a_sizes[ids_a]), np.cumsum(self.b_sizes[ids_b]), np.cumsum(sizes)
-        common, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        keys = (ids_a[at_a] << B_BITS | ids_b[at_b]).tolist()
-        upto = [np.searchsorted(x, ends, side="right") for x in (ends_a, ends_b, common)]
-        n_a, n_b, n_keys = (np.diff(x, prepend=0).tolist() for x in upto)
-        first, i, j, names = 0, 0, 0, self.names
+        at_b = np.searchsorted(ends_b, ends_a)  # both end with the text
+        at_a = np.flatnonzero(ends_b[at_b] == ends_a)
+        at_b = at_b[at_a]
+        keys = ids_a[at_a] << B_BITS | ids_b[at_b]
+        upto = [np.searchsorted(x, ends, side="right") for x in (ends_a, ends_b, ends_a[at_a])]
+        counts = np.array([np.diff(x, prepend=0) for x in upto])
+        if not groups:
+            return counts, keys, []
+        names_a, names_b = [self.names[i] for i in a], [self.names[i] for i in b]
         at_a, at_b = (at_a + 1).tolist(), (at_b + 1).tolist()
-        for x, y, n in zip(n_a, n_b, n_keys):
-            parts = []
-            if groups:
-                for k in range(first, first + n):
-                    p, q = at_a[k], at_b[k]
-                    if p - i == 1 and q - j == 1:
-                        parts.append(names[a[i]] + "|" + names[b[j]])
-                    else:
-                        parts.append(",".join([names[t] for t in a[i:p]]) + "|" + ",".join([names[t] for t in b[j:q]]))
-                    i, j = p, q
-            yield x, y, keys[first:first + n], ";".join(parts)
-            first += n
+        parts = [names_a[i] + "|" + names_b[j] if p - i == 1 and q - j == 1 else ",".join(names_a[i:p]) + "|" + ",".join(names_b[j:q])
+                 for i, p, j, q in zip([0, *at_a], at_a, [0, *at_b], at_b)]
+        first = [0, *upto[2].tolist()]
+        return counts, keys, [parts[i] if j - i == 1 else ";".join(parts[i:j]) for i, j in zip(first, first[1:])]
 
 
 def most_pairs(a_json: str = "byte_bpe_50k.json", a_ranks: str = "byte_bpe_50k.tiktoken", b_model: str = "piece_bpe_32k.model") -> int:
@@ -148,44 +128,76 @@ def most_pairs(a_json: str = "byte_bpe_50k.json", a_ranks: str = "byte_bpe_50k.t
             + sum(n * by_a.get(e, 0) for t, n in by_b.items() for e in ends(t) if e != t))
 
 
+class Numbers(dict):
+    """Words to numbers; a new word takes the next one and is listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordTable:
-    """The words met, aligned once each: ``n_a``, ``n_b``, ``keys`` of all words in a row (``n_keys`` of each), ``groups``."""
+    """The words met, aligned once each: ``n_a``, ``n_b``, ``keys`` of all words in a row (``n_keys`` of each), ``groups``, and
+    ``bad``: words whose bytes B doesn't give back."""
 
     def __init__(self, names: tuple[str, str, str], groups: bool):
         self._vocabularies, self._with_groups = Vocabularies(*names), groups
         self.clear()
 
     def clear(self) -> None:
-        self._numbers, self.held = {}, 0
+        self._numbers, self.held = Numbers(), 0
         self.n_a, self.n_b, self.n_keys, self.keys = (np.zeros(0, np.int64) for _ in range(4))
+        self.bad = np.zeros(0, bool)
         self.groups: list[str] = []
 
     def numbers(self, texts: list) -> list[np.ndarray | None]:
         """The words of each text, by their numbers here; None for a text without tokens."""
-        cut = [self._words(t) if isinstance(t, str) and t else None for t in texts]
-        known = self._numbers
-        new = [w for w in dict.fromkeys(w for words in cut if words for w in words) if w not in known]
-        rows, keys = [], []
-        plain, others = [], []
-        for word in new:
-            (plain if 0 < len(word) < 500 and not word[-1].isspace() and word[-1] not in UNSURE else others).append(word)
-        found_all = chain(self._vocabularies.align_all(plain, self._with_groups),
-                          (self._vocabularies.align(w, self._with_groups) for w in others))
-        for word, found in zip(chain(plain, others), found_all):
-            self.held += len(word) + 8
-            if found is None:
-                known[word] = -1
-                continue
-            known[word] = len(self.groups)
-            rows.append((found[0], found[1], len(found[2])))
-            keys += found[2]
-            self.groups.append(found[3])
-        if rows:
-            n_a, n_b, n_keys = np.array(rows, np.int64).T
-            self.n_a, self.n_b = np.append(self.n_a, n_a), np.append(self.n_b, n_b)
-            self.n_keys, self.keys = np.append(self.n_keys, n_keys), np.append(self.keys, np.array(keys, np.int64))
-        out = [None if words is None else np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for words in cut]
-        return [None if words is None or (words < 0).any() else words for words in out]
+        known, out = self._numbers, []
+        for text in texts:
+            words = self._words(text) if isinstance(text, str) and text else None
+            out.append(None if words is None else np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
+        new, known.new = known.new, []
+        self._add(new)
+        return [None if words is None or self.bad[words].any() else words for words in out]
+
+    def _add(self, words: list[str], most: int = 20_000) -> None:
+        """Align new words, neighbours of one kind together, some ``most`` characters at a time."""
+        found, part, held = [], [], 0
+        for word in words:
+            if 0 < len(word) < 500 and not word[-1].isspace() and word[-1] not in UNSURE:
+                part.append(word)
+                held += len(word) + 1
+                if held < most:
+                    continue
+                word = None
+            if part:
+                found += self._aligned(part)
+                part, held = [], 0
+            if word is not None:
+                found += self._one(word)
+        if part:
+            found += self._aligned(part)
+        self.held += sum(map(len, words)) + 8 * len(words)
+        if found:
+            counts = np.concatenate([f[0] for f in found], axis=1)
+            self.n_a, self.n_b, self.n_keys = (np.append(x, y) for x, y in zip((self.n_a, self.n_b, self.n_keys), counts))
+            self.keys = np.concatenate([self.keys, *[f[1] for f in found]])
+            self.bad = np.append(self.bad, counts[2] == 0)
+            for f in found:
+                self.groups += f[2]
+
+    def _aligned(self, words: list[str]) -> list[tuple]:
+        found = self._vocabularies.align_all(words, self._with_groups)
+        return [found] if found else [x for w in words for x in self._one(w)]
+
+    def _one(self, word: str) -> list[tuple]:
+        found = self._vocabularies.align(word, self._with_groups)
+        return [found or (np.zeros((3, 1), np.int64), np.zeros(0, np.int64), [""] if self._with_groups else [])]
 
     @staticmethod
     def _words(text: str) -> list[str]:
@@ -356,8 +368,8 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", names:
                 best, n = np.where(at < 0, 0, counted.best[at]), np.where(at < 0, 0, counted.counts[at])
             else:
                 best, n = counted.best[at], counted.counts[at]
-            first = np.cumsum(lengths) - lengths
-            new = [table.n_a[done:], table.n_b[done:], np.add.reduceat(best.astype(np.int64), first), np.add.reduceat(n, first)]
+            sum_of = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[np.concatenate([[0], np.cumsum(lengths)])])
+            new = [table.n_a[done:], table.n_b[done:], sum_of(best), sum_of(n)]
             return np.concatenate([sums, np.array(new)], axis=1)
 
         for batch in batches:
