@@ -112,17 +112,6 @@ def _page(field: Column) -> Column:
     return F.regexp_extract(field, "^<urn:page:(.*)>$", 1).cast("long")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records as written: type, page ids and digest from the header bytes, and the size of the stored payload."""
-    heads = spark.read.schema(HEADERS).parquet(f"{path}/headers")
-    sizes = read_payloads(spark, path).select("payload_digest", F.octet_length("payload").cast("long")
-                                              .alias("payload_bytes"))
-    return heads.join(sizes, "payload_digest").select(
-        _page(header_field("WARC-Record-ID")).alias("page_id"), "payload_bytes",
-        F.regexp_extract(header_field("WARC-Payload-Digest"), "^sha256:(.*)$", 1).alias("payload_digest"),
-        header_field("WARC-Type").alias("record_type"), _page(header_field("WARC-Refers-To")).alias("refers_to"))
-
-
 def rebuild(spark: SparkSession, path: str) -> DataFrame:
     """``record_no``, the record's bytes as in a WARC file, and its full payload (that of the response for revisits)."""
     heads = spark.read.schema(HEADERS).parquet(f"{path}/headers")
@@ -132,6 +121,22 @@ def rebuild(spark: SparkSession, path: str) -> DataFrame:
         "record_no", F.concat("warc_header", "http_header", block, end).alias("record"), "payload")
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records as rebuilt, taken apart again: type and page ids from the header in the record's bytes, size and digest of
+    the payload that came back: what stands in a response's block, and what a revisit's join found."""
+    text = F.decode("record", "UTF-8")
+    rows = rebuild(spark, path).select("record", "payload", F.substring_index(text, EOL * 2, 1).alias("head"),
+                                       F.substring_index(text, EOL * 2, 2).alias("heads"))
+    rows = rows.withColumn("warc_header", F.encode(F.concat("head", F.lit(EOL * 2)), "UTF-8"))
+    first = F.octet_length("heads") + len(EOL * 2)
+    block = F.substring(F.col("record"), first + 1, F.octet_length("record") - first - len(EOL * 2))
+    body = F.when(header_field("WARC-Type") == "revisit", F.col("payload")).otherwise(block)
+    return rows.select(
+        _page(header_field("WARC-Record-ID")).alias("page_id"), F.octet_length(body).cast("long").alias("payload_bytes"),
+        F.sha2(body, 256).alias("payload_digest"), header_field("WARC-Type").alias("record_type"),
+        _page(header_field("WARC-Refers-To")).alias("refers_to"))
+
+
 def archive_roundtrip(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     """Archive the pages under the shared folder and read every record back."""
     spark = pages.sparkSession
