@@ -256,7 +256,6 @@ def reliabilities(counts: pd.DataFrame, rounds: int = 60) -> tuple[np.ndarray, n
 def classifier(bits: np.ndarray, target: np.ndarray, n: np.ndarray, rounds: int = 50, ridge: float = 1.0) -> np.ndarray:
     """Weights (bias last) of a ridge logistic regression on feature bits, by Newton steps over weighted patterns."""
     x = np.array([[b >> k & 1 for k in range(N_FEATURES)] + [1] for b in bits], dtype=float)
-    n = n / n.sum() * min(n.sum(), 1e4)  # a bounded total, so that the ridge counts at every size
     weights = np.zeros(N_FEATURES + 1)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
