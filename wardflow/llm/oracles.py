@@ -14,11 +14,13 @@ OP5_LINES = r"""
 with l as (select doc_id, source, pos, line, trim(line) as k from (
     select doc_id, source, unnest(string_split(text, chr(10))) as line,
       generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)),
-b as (select k from l where regexp_matches(line, '[^ \t]+[ \t]+[^ \t]+[ \t]+[^ \t]')
-  group by k having count(distinct coalesce(source, chr(0))) >= 3),
+b as (select k from l where regexp_matches(line, '[^\x20\x09-\x0D]') group by k
+  having count(distinct coalesce(source, chr(0))) >= case
+    when regexp_matches(k, '[^ \t]+[ \t]+[^ \t]+[ \t]+[^ \t]') or regexp_matches(k,
+      '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}][^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]*){6}')
+    then 3 else 6 end),
 r as (select l.*, case when b.k is null then 0 when row_number() over (partition by l.k order by doc_id, pos) = 1 then 0
-    else 1 end as gone from l left join b on l.k = b.k
-    and regexp_matches(line, '[^ \t]+[ \t]+[^ \t]+[ \t]+[^ \t]'))
+    else 1 end as gone from l left join b on l.k = b.k)
 select doc_id, cast(sum(gone) as bigint) as n_removed,
   coalesce(string_agg(line, chr(10) order by pos) filter (where gone = 0), '') as text
 from r group by doc_id

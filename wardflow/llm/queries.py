@@ -34,7 +34,7 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    out = linededup.drop_boilerplate(read_table(spark, sf_dir, "documents"), short_sites=6)
     return out.select("doc_id", "n_removed", "text")
 
 
@@ -45,25 +45,25 @@ TOOLS = {"search": {"query": ("string", True), "limit": ("integer", True), "afte
 
 def tool_transcripts(conversations: DataFrame) -> DataFrame:
     """The conversations with tool messages made from them (the table has none): before each assistant turn stand a
-    call that asks for the start of its text and the call's result, its lines. A call uses the result of the one two
+    call that asks for its whole text and the call's result, all its lines. A call uses the result of the one two
     turns earlier. Lengths of texts decide on the tool, and on faults: wrong types, results that miss or come twice."""
     n = F.coalesce(F.length("text"), F.lit(0))
     own = F.concat(F.lit("c"), F.col("turn").cast("string"))
     before = F.concat(F.lit("c"), (F.col("turn") - 2).cast("string"))
     tool = F.element_at(F.array(*map(F.lit, [*TOOLS, "paint"])), (n % 13 % 4 + 1).cast("int"))
-    query = F.substring(F.coalesce("text", F.lit("")), 1, 40)
+    query = F.coalesce("text", F.lit(""))
     limit = F.when(n % 11 == 0, F.lit('"many"')).otherwise((n % 20).cast("string"))
     after = F.when(F.col("turn") >= 3, F.to_json(F.struct(before.alias("$result"))))
     quoted = lambda c: F.to_json(F.array(c))
     bare = lambda c: F.expr("substring(q, 2, length(q) - 2)")
     rows = conversations.filter("role = 'assistant'").select(
         "conv_id", "turn", n.alias("n"), own.alias("own"), tool.alias("tool"), limit.alias("limit"), after.alias("after"),
-        quoted(query).alias("q"), quoted(F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1)).alias("line"))
+        quoted(query).alias("q"), F.to_json(F.split(query, "\n")).alias("lines"))
     arguments = F.concat(F.lit('{"query":'), bare("q"), F.lit(',"limit":'), F.col("limit"),
                          F.coalesce(F.concat(F.lit(',"after":'), F.col("after")), F.lit("")), F.lit("}"))
     call = F.concat(F.lit('{"tool_calls":[{"name":"'), F.col("tool"), F.lit('","id":"'), F.col("own"),
                     F.lit('","arguments":'), arguments, F.lit("}]}"))
-    result = F.concat(F.lit('{"tool_call_id":"'), F.col("own"), F.lit('","content":{"lines":'), F.col("line"), F.lit("}}"))
+    result = F.concat(F.lit('{"tool_call_id":"'), F.col("own"), F.lit('","content":{"lines":'), F.col("lines"), F.lit("}}"))
     calls = rows.select("conv_id", "turn", F.lit("assistant").alias("role"), call.alias("text"))
     results = rows.filter("n % 17 <> 0").select("conv_id", "turn", F.lit("tool").alias("role"), result.alias("text"))
     twice = rows.filter("n % 19 = 0").select("conv_id", "turn", F.lit("tool").alias("role"), result.alias("text"))
