@@ -4,11 +4,15 @@ Per language and source, a minimum-covariance-determinant estimate of location
 and scatter is made over transformed text statistics; documents far from it in
 Mahalanobis distance are rejected. DataFrame functions only.
 
-The estimate starts from medians and median deviations (deterministic), then
-takes concentration steps: distances, the share ``keep_share`` of a group's rows
-with the smallest ones, and mean and covariance of those. A group of fewer than
-``min_rows`` rows is pooled with the other small groups of its language; if the
-pool is small too, its rows get no verdict and stay. Each document's distance
+An estimate has two deterministic starts: medians and median deviations, and mean
+and covariance of all rows. Each takes concentration steps (distances, the share
+``keep_share`` of a group's rows with the smallest ones, mean and covariance of
+those) until no group's determinant falls any more; the start that ends at the
+lesser determinant is the group's estimate. There is one for each language and
+source, for each language and for all rows. A language's is shrunk towards that of
+all rows and a language and source's towards its language's, with the weight of
+``shrink_rows`` rows: so every document has a verdict, a large group's estimate is
+its own, and a small one's mostly its language's. Each document's distance
 has floors from its own length under the spread of repeated lines and words.
 
 Defined results: a null or empty text has no words and fails the base rules;
@@ -151,14 +155,58 @@ def _first_estimate(rows: DataFrame) -> DataFrame:
         for i, j in _pairs()])
 
 
-def estimates(rows: DataFrame, keep_share: float, steps: int) -> DataFrame:
-    """Per group ``g``: the minimum-covariance-determinant estimate after ``steps`` concentration steps."""
-    now = stored(_first_estimate(rows), "mcd-start")
-    for k in range(steps):
+def _log_determinants(groups: DataFrame) -> DataFrame:
+    return _cholesky(groups).select("g", sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0)).alias("det"))
+
+
+def concentrated(rows: DataFrame, start: DataFrame, keep_share: float, most_steps: int, settled: float = 1e-6) -> DataFrame:
+    """Per group the estimate after concentration steps from ``start``, until no determinant falls by more than ``settled``
+    (as a logarithm) or ``most_steps`` are taken, with that logarithm ``det``. One number a step reaches the driver."""
+    now = stored(start, "mcd-start")
+    dets = stored(_log_determinants(now), "mcd-det")
+    for k in range(most_steps):
         near = _distances(rows, now)
         cut = near.groupBy("g").agg(F.percentile_approx("d", keep_share, 1000).alias("cut"))
         now = stored(_moments(near.join(_spread(cut), ["g", "salt"]).filter("d <= cut")), f"mcd-{k}")
-    return now
+        before, dets = dets, stored(_log_determinants(now), "mcd-det")
+        fell = dets.join(before.select("g", F.col("det").alias("was")), "g").agg(F.max(F.abs(F.col("was") - F.col("det")))).first()[0]
+        if fell is None or fell <= settled:
+            break
+    return now.join(dets, "g")
+
+
+def estimates(rows: DataFrame, keep_share: float, most_steps: int) -> DataFrame:
+    """Per group ``g``: the minimum-covariance-determinant estimate, the lesser of two starts, and ``n`` rows."""
+    starts = F.explode(F.array(F.lit("a"), F.lit("b")))
+    both = rows.withColumn("start", starts).withColumn("g", F.concat("start", "g")).drop("start")
+    named = lambda df, name: df.withColumn("g", F.concat(F.lit(name), "g"))
+    start = named(_first_estimate(rows), "a").unionByName(named(_moments(rows), "b"))
+    found = concentrated(both, start, keep_share, most_steps)
+    best = found.groupBy(F.substring("g", 2, 1 << 30).alias("g")).agg(F.min_by(F.struct(*found.columns[1:]), "det").alias("e"))
+    return best.select("g", "e.*").join(rows.groupBy("g").agg(F.count("*").alias("n")), "g")
+
+
+def _values() -> list[str]:
+    return [*[f"m{i}" for i in range(len(FEATURES))], *[f"c{i}{j}" for i, j in _pairs()]]
+
+
+def shrunk(found: DataFrame, towards: DataFrame, key: str, rows: int) -> DataFrame:
+    """``found`` (with ``n``) mixed with the estimates ``towards`` of its ``key``, which weigh ``rows`` rows."""
+    other = towards.select(F.col("g").alias(key), *[F.col(c).alias(f"t_{c}") for c in _values()])
+    weight = F.col("n") / (F.col("n") + rows)
+    kept = [c for c in found.columns if c not in _values()]
+    return found.join(other, key).select(*kept, *[(weight * F.col(c) + (1 - weight) * F.col(f"t_{c}")).alias(c) for c in _values()])
+
+
+def group_estimates(good: DataFrame, keep_share: float, most_steps: int, shrink_rows: int) -> DataFrame:
+    """Estimates of the groups ``g`` (a language and source) of ``good`` (``g, g_language`` and features)."""
+    levels = good.withColumn("g", F.explode(F.array(F.lit("all"), F.concat(F.lit("language"), "g_language"), F.concat(F.lit("own"), "g"))))
+    found = stored(estimates(levels.select("g", "salt", *FEATURES), keep_share, most_steps), "mcd-found")
+    languages = found.filter("g like 'language%'").withColumn("up", F.lit("all"))
+    languages = stored(shrunk(languages, found.filter("g = 'all'"), "up", shrink_rows), "mcd-languages")
+    up = good.select(F.concat(F.lit("own"), "g").alias("g"), F.concat(F.lit("language"), "g_language").alias("up")).distinct()
+    own = shrunk(found.filter("g like 'own%'").join(up, "g"), languages, "up", shrink_rows)
+    return stored(own.select(F.substring("g", 4, 1 << 30).alias("g"), *_values()), "mcd-groups")
 
 
 def _group(language: Column, source: Column) -> Column:
@@ -167,27 +215,20 @@ def _group(language: Column, source: Column) -> Column:
 
 
 def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",
-                     source: str = "source", keep_share: float = 0.75, steps: int = 4, min_rows: int = 100,
+                     source: str = "source", keep_share: float = 0.75, most_steps: int = 20, shrink_rows: int = 100,
                      cut: float = 25.0, carry: tuple = ()) -> DataFrame:
-    """``doc_id``, the statistics, ``base_failed``, ``distance`` (null if the group is small) and ``kept``.
+    """``doc_id``, the statistics, ``base_failed``, ``distance`` (null in a group of failed documents only) and ``kept``.
 
     ``cut`` is the squared distance above which a document is rejected (25: one in
     several thousand, were the statistics normal).
     """
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carry,
-                        _group(F.col(language), F.col(source)).alias("g_own"),
-                        _group(F.col(language), F.lit("*")).alias("g_pool"))
-    stats = text_statistics(named, carry=(*carry, "g_own", "g_pool"))
-    stats = stored(stats.withColumns({"base_failed": base_failed(), "salt": F.pmod(F.hash("doc_id", "n_words"), F.lit(SALTS))})
-                   .withColumns(dict(zip([*FEATURES, *OWN.values()], [*_features(), *_own_floors()]))), "quality-statistics")
-    good = stats.filter("not base_failed")
-    large = good.groupBy("g_own").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select(
-        F.col("g_own"), F.lit(True).alias("large"))
-    rows = stats.join(_spread(large), ["g_own", "salt"], "left").withColumn(
-        "g", F.when(F.col("large"), F.col("g_own")).otherwise(F.concat(F.lit("pool"), "g_pool"))).drop("large")
-    good = rows.filter("not base_failed")
-    enough = good.groupBy("g").agg(F.count("*").alias("n")).filter(F.col("n") >= min_rows).select("g")
-    found = estimates(good, keep_share, steps).join(enough, "g", "left_semi")
+                        _group(F.col(language), F.col(source)).alias("g"),
+                        _group(F.col(language), F.lit("*")).alias("g_language"))
+    stats = text_statistics(named, carry=(*carry, "g", "g_language"))
+    rows = stored(stats.withColumns({"base_failed": base_failed(), "salt": F.pmod(F.hash("doc_id", "n_words"), F.lit(SALTS))})
+                  .withColumns(dict(zip([*FEATURES, *OWN.values()], [*_features(), *_own_floors()]))), "quality-statistics")
+    found = group_estimates(rows.filter("not base_failed"), keep_share, most_steps, shrink_rows)
     out = _distances(rows, found, own_floors=True)
     return out.select("doc_id", *carry, *STATS, "base_failed", F.col("d").alias("distance"),
                       (~F.col("base_failed") & (F.coalesce(F.col("d"), F.lit(0.0)) <= cut)).alias("kept"))
