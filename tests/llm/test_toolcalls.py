@@ -102,6 +102,11 @@ def test_query_against_brute_force(spark):
     messages = queries.tool_transcripts(spark.read.parquet(f"{sf}/conversations.parquet")).collect()
     assert len(got) == len(messages)
     calls = {(r["conv_id"], r["call_id"]): r for r in got if r["kind"] == "call"}
+    answers = {}
+    for r in got:
+        if r["kind"] == "result":
+            answers.setdefault((r["conv_id"], r["call_id"]), []).append(r)
+    assert answers
     turns = {(r["conv_id"], r["turn"]) for r in rows if r["role"] == "assistant"}
     assert set(calls) == {(c, f"c{t}") for c, t in turns}
     for r in rows:
@@ -118,7 +123,9 @@ def test_query_against_brute_force(spark):
             assert own["status"] == ("unanswered" if n % 17 == 0 and n % 19 else "linked")
         tool = [*queries.TOOLS, "paint"][n % 13 % 4]
         arguments = json.loads(own["json"])["arguments"]
-        assert arguments["query"] == r["text"][:40]
+        assert arguments["query"] == r["text"]  # the whole text
+        for answer in answers.get((r["conv_id"], f"c{r['turn']}"), []):
+            assert json.loads(answer["json"])["content"] == {"lines": r["text"].split("\n")}
         wrong = ["unknown tool"] if tool == "paint" else []
         if tool != "paint" and n % 11 == 0:
             wrong.append(f"limit is no {queries.TOOLS[tool]['limit'][0]}")
