@@ -61,21 +61,55 @@ def test_both_libraries_agree():
 @pytest.mark.parametrize("max_open", [3, 4096])
 def test_packer_invariants(max_open):
     rnd = random.Random(4)
-    packer, pieces, want = packing.SumOfSquares(100, 7, max_open), [], {}
-    for doc in range(2000):
-        ids = np.array([rnd.randint(0, 9) for _ in range(rnd.choice([1, 7, 33, 50, 99, 100, 101, 250]))], dtype="<u4")
-        want[doc] = ids.tolist()
-        pieces += packer.place(doc, ids)
+    packer, parts, want = packing.SumOfSquares(100, 7, max_open), [], {}
+    for item in range(2000):
+        want[item] = rnd.choice([1, 7, 33, 50, 99])
+        parts += packer.place(item, want[item])
         assert packer.n_open == packer.levels.sum() <= max_open
-    pieces += packer.finish()
-    names = ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
-    rows = [dict(zip(names, p)) for p in pieces]
-    for r in rows:
-        r["ids_crc32"] = zlib.crc32(r["ids"])
-    by_seq = check_pieces(rows, want, 100)
-    total = sum(map(len, want.values()))
-    assert len(by_seq) == -(-total // 100)  # no padding but in the last
+    parts += packer.finish()
+    by_item, by_seq = {}, {}
+    for item, start, length, sequence, offset, closed_by in parts:
+        by_item.setdefault(item, []).append((start, length))
+        by_seq.setdefault(sequence, []).append((offset, length, closed_by))
+    for item, size in want.items():
+        at = 0
+        for start, length in sorted(by_item[item]):
+            assert start == at
+            at += length
+        assert at == size
+    for own in by_seq.values():
+        at = 0
+        for offset, length, _ in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 100 and len({c for _, _, c in own}) == 1
+    assert len(by_seq) == -(-sum(want.values()) // 100)  # no padding but in the last
     assert min(by_seq) == 7
+    if max_open > 3:
+        assert sum(p[2] for p in parts if p[5] == "placement") > 0.6 * sum(want.values())
+
+
+def test_few_packers_see_the_items_of_many_tasks(spark):
+    """At 24 tasks most tokens are in windows that placement closed, or whole ones."""
+    items = spark.range(0, 30_000).selectExpr("id as item", "1 + pmod(xxhash64(id), 255) as length").repartition(24)
+    placed = packing.place_items(items, 1, 256, 1 << 18)
+    share = {r["closed_by"]: r["tokens"] for r in placed.groupBy("closed_by").agg({"length": "sum"}).withColumnRenamed("sum(length)", "tokens").collect()}
+    assert share["placement"] > 0.8 * sum(share.values())
+    again = packing.place_items(items.repartition(5), 1, 256, 1 << 18)
+    assert placed.exceptAll(again).isEmpty() and again.exceptAll(placed).isEmpty()
+    three = packing.place_items(items, 3, 256, 1 << 18)
+    assert three.selectExpr("sequence_id >> 40 as packer").distinct().count() == 3
+    assert three.groupBy("item").sum("length").join(items, "item").where("length <> `sum(length)`").isEmpty()
+
+
+def test_query_equals_the_library(spark):
+    """Every piece of the whole table, its ids by the tokenizer's own library."""
+    from wardflow.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    ids = {r["doc_id"]: reference_ids(r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    by_seq = check_pieces(QUERIES["op2_pack"](spark, sf).collect(), ids)
+    tokens = sum(map(len, ids.values()))
+    assert len(by_seq) <= tokens // 2048 + 2
 
 
 def test_best_level_is_the_smallest_sum_of_squares():

@@ -123,3 +123,16 @@ def test_edge_rows(spark):
     again = {r["doc_id"]: r["text"] for r in pii.redacted(docs).collect()}
     assert again == {r["doc_id"]: r["text"] for r in docs.collect()}
     assert pii.detect(no_docs(spark)).count() == 0 and pii.redacted(no_docs(spark)).count() == 0
+
+
+def test_a_rare_kind_keeps_its_verdict_when_others_grow():
+    """The same spans of one kind beside a thousand times as many of the others."""
+    rare = [(0b01, 0.95, 40.0), (0b11, 0.9, 60.0)]
+    common = [(0b100, 0.9, 500.0), (0b1000, 0.05, 700.0)]
+    for grown in (1, 1000, 100_000):
+        patterns = rare + [(b, p, n * grown) for b, p, n in common]
+        bits, target, n = (np.array(c) for c in zip(*patterns))
+        weights = pii.classifier(bits, target, n)
+        for b, p, _ in patterns:
+            odds = weights[-1] + sum(weights[k] for k in range(pii.N_FEATURES) if b >> k & 1)
+            assert (odds > 0) == (p > 0.5), (grown, b)

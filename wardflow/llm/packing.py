@@ -1,17 +1,20 @@
 """Sum-of-squares online packing of tokenised documents into fixed windows.
 
 A document is its token ids followed by one end id. Whole windows are cut off
-its front; what remains (shorter than a window) is an item. Each task packs the
-rows it scans, with no shuffle: ``levels[h]`` counts the open windows filled to
+its front; what remains (shorter than a window) is an item. Each task tokenises the
+rows it scans and writes windows and items. The items' sizes alone, some ``packer_items``
+of them, are a packer's stream: ``levels[h]`` counts the open windows filled to
 ``h``, and an item goes where the sum of the squared counts after the move is
-smallest (a new window is level 0, a full one counts as closed). When a task
-has read its rows, or holds ``max_open`` open windows, the open ones are levelled:
+smallest (a new window is level 0, a full one counts as closed). So a packer sees
+items of many tasks, and open windows live as long as its stream. When that ends,
+or the packer holds ``max_open`` open windows, the open ones are levelled:
 the emptiest are cut up to fill the gaps of the fullest, which leaves one
-partly filled window.
+partly filled window. ``closed_by`` says which way a window was closed. Places go back
+to the items' ids by a join.
 
 Defined results: a null or empty text is one end id; repeated rows are packed
-once each; an empty table gives no rows. Memory in a task: the open windows
-(``max_open`` times a window of 4-byte ids) and the rows of one Arrow batch.
+once each; an empty table gives no rows. Memory in a task: the rows of one Arrow
+batch, or the sizes of a packer's open windows.
 """
 
 from __future__ import annotations
@@ -25,11 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.scratch import small_batches
+from wardflow.llm.scratch import small_batches, stored
 
-PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-#: Sequences are numbered from the task's number times this.
-SEQUENCES_PER_TASK = 1 << 40
+#: Whole windows have a sequence, items (remainders) a number.
+CUT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, item long"
+PLACED = "item long, part long, length long, sequence_id long, offset long, closed_by string"
+#: Sequences and items are numbered from the task's (or packer's) number times this; whole windows' sequences are negative.
+PER_TASK = 1 << 40
 LONG_WORD, LONG_GAP = 2_000, 1_000
 
 
@@ -72,20 +77,21 @@ class Encoder:
 
 
 class SumOfSquares:
-    """The packer of one task. ``place`` returns the pieces of windows it closed."""
+    """A packer of items by size. ``place`` returns the parts of the windows it closed:
+    (item, start in it, length, sequence, offset, closed by)."""
 
     def __init__(self, window: int, first_sequence: int, max_open: int):
         self.window, self.max_open = window, max_open
         self.levels = np.zeros(window + 1, dtype=np.int64)
-        self.open: list[list[list]] = [[] for _ in range(window)]  # by level: windows, each a list of pieces
+        self.open: list[list[list]] = [[] for _ in range(window)]  # by level: windows, each a list of parts
         self.n_open = 0
         self.next_sequence = first_sequence
 
-    def _close(self, pieces: list[tuple]) -> list[tuple]:
+    def _close(self, parts: list[tuple], closed_by: str) -> list[tuple]:
         out, at = [], 0
-        for doc_id, start, ids, total in pieces:
-            out.append((doc_id, start, len(ids), ids.tobytes(), total, self.next_sequence, at))
-            at += len(ids)
+        for item, start, length in parts:
+            out.append((item, start, length, self.next_sequence, at, closed_by))
+            at += length
         self.next_sequence += 1
         return out
 
@@ -101,33 +107,28 @@ class SumOfSquares:
         cost = np.where(usable, cost, np.iinfo(np.int64).max)
         return last - int(np.argmin(cost[::-1]))
 
-    def place(self, doc_id, ids: np.ndarray) -> list[tuple]:
-        out, total, window = [], len(ids), self.window
-        whole = total - total % window
-        for start in range(0, whole, window):
-            out += self._close([(doc_id, start, ids[start:start + window], total)])
-        size = total - whole
-        if size:
-            level = self.best_level(size)
-            pieces = self.open[level].pop() if level else []
-            pieces.append((doc_id, whole, ids[whole:].copy(), total))
-            if level:
-                self.levels[level] -= 1
-            else:
-                self.n_open += 1
-            if level + size == window:
-                self.n_open -= 1
-                out += self._close(pieces)
-            else:
-                self.levels[level + size] += 1
-                self.open[level + size].append(pieces)
+    def place(self, item: int, size: int) -> list[tuple]:
+        """Place an item shorter than a window."""
+        out, level = [], self.best_level(size)
+        parts = self.open[level].pop() if level else []
+        parts.append((item, 0, size))
+        if level:
+            self.levels[level] -= 1
+        else:
+            self.n_open += 1
+        if level + size == self.window:
+            self.n_open -= 1
+            out += self._close(parts, "placement")
+        else:
+            self.levels[level + size] += 1
+            self.open[level + size].append(parts)
         if self.n_open > self.max_open:
             out += self.level_out()
         return out
 
     def level_out(self) -> list[tuple]:
         """Fill the fullest open windows with what the emptiest hold; keep the last partly filled one open."""
-        queue = [(level, pieces) for level in range(1, self.window) for pieces in self.open[level]]
+        queue = [(level, parts) for level in range(1, self.window) for parts in self.open[level]]
         self.levels[:] = 0
         self.open = [[] for _ in range(self.window)]
         self.n_open = 0
@@ -136,65 +137,115 @@ class SumOfSquares:
             filled, target = queue[high]
             while filled < self.window and low < high:
                 level, source = queue[low]
-                doc_id, start, ids, total = source.pop()
+                item, start, length = source.pop()
                 room = self.window - filled
-                if len(ids) > room:  # cut: the front moves, the rest stays
-                    source.append((doc_id, start + room, ids[room:], total))
-                    ids = ids[:room]
-                target.append((doc_id, start, ids, total))
-                filled += len(ids)
-                queue[low] = (level - len(ids), source)
+                if length > room:  # cut: the front moves, the rest stays
+                    source.append((item, start + room, length - room))
+                    length = room
+                target.append((item, start, length))
+                filled += length
+                queue[low] = (level - length, source)
                 if not source:
                     low += 1
             queue[high] = (filled, target)
             if filled == self.window:
-                out += self._close(target)
+                out += self._close(target, "levelling")
                 high -= 1
         if low == high:
-            filled, pieces = queue[low]
+            filled, parts = queue[low]
             if filled == self.window:
-                out += self._close(pieces)
+                out += self._close(parts, "levelling")
             else:
                 self.levels[filled] += 1
-                self.open[filled].append(pieces)
+                self.open[filled].append(parts)
                 self.n_open = 1
         return out
 
     def finish(self) -> list[tuple]:
         out = self.level_out()
         for level in range(1, self.window):
-            for pieces in self.open[level]:
-                out += self._close(pieces)
+            for parts in self.open[level]:
+                out += self._close(parts, "levelling")
         return out
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 2048, end_id: int = 1,
-         json_name: str = "byte_bpe_50k.json", ranks_name: str = "byte_bpe_50k.tiktoken",
-         max_open: int = 4096) -> DataFrame:
-    """One row per piece, with its ids as little-endian unsigned 32-bit integers."""
+def cut_documents(docs: DataFrame, doc_id: str, text: str, window: int, end_id: int, json_name: str, ranks_name: str) -> DataFrame:
+    """Whole windows and items of the documents, with ids as little-endian unsigned 32-bit integers."""
+    columns = [part.split()[0] for part in CUT.split(", ")]
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = Encoder(json_name, ranks_name)
-        packer = SumOfSquares(window, TaskContext.get().partitionId() * SEQUENCES_PER_TASK, max_open)
-        columns = [part.split()[0] for part in PIECES.split(", ")]
-        pieces: list[tuple] = []
-        held = 0
+        number = TaskContext.get().partitionId() * PER_TASK
+        sequence, pieces, held = -1 - number, [], 0
         for batch in batches:
             for key, body in zip(batch["doc_id"], batch["text"]):
-                ids = encode(body) if isinstance(body, str) and body else []
-                done = packer.place(key, np.array([*ids, end_id], dtype="<u4"))
-                pieces += done
-                held += sum(p[2] for p in done)
+                ids = np.array([*(encode(body) if isinstance(body, str) and body else []), end_id], dtype="<u4")
+                whole = len(ids) - len(ids) % window
+                for start in range(0, whole, window):
+                    pieces.append((key, start, window, ids[start:start + window].tobytes(), len(ids), sequence, None))
+                    sequence -= 1
+                if whole < len(ids):
+                    pieces.append((key, whole, len(ids) - whole, ids[whole:].tobytes(), len(ids), None, number))
+                    number += 1
+                held += len(ids)
                 if held > 2_000_000:
-                    yield pd.DataFrame(pieces, columns=columns)
+                    yield frame(pieces)
                     pieces, held = [], 0
-        pieces += packer.finish()
         if pieces:
-            yield pd.DataFrame(pieces, columns=columns)
+            yield frame(pieces)
+
+    def frame(pieces: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(pieces, columns=columns)
+        return out.astype({"sequence_id": "Int64", "item": "Int64"})
 
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(task, PIECES)
+    return rows.mapInPandas(task, CUT)
+
+
+def place_items(items: DataFrame, packers: int, window: int, max_open: int) -> DataFrame:
+    """Where the parts of ``items`` (``item, length``) go. A packer takes its items in order of their numbers."""
+    columns = [part.split()[0] for part in PLACED.split(", ")]
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer, now, parts = None, None, []
+        for batch in batches:
+            for own, item, size in zip(batch["packer"].tolist(), batch["item"].tolist(), batch["length"].tolist()):
+                if own != now:  # the next packer's stream begins
+                    parts += packer.finish() if packer else []
+                    packer, now = SumOfSquares(window, own * PER_TASK, max_open), own
+                parts += packer.place(item, size)
+            if len(parts) > 100_000:
+                yield pd.DataFrame(parts, columns=columns)
+                parts = []
+        parts += packer.finish() if packer else []
+        if parts:
+            yield pd.DataFrame(parts, columns=columns)
+
+    dealt = items.select("item", "length", F.pmod(F.xxhash64("item"), F.lit(packers)).alias("packer"))
+    return dealt.repartition(packers, "packer").sortWithinPartitions("packer", "item").mapInPandas(task, PLACED)
+
+
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 2048, end_id: int = 1,
+         json_name: str = "byte_bpe_50k.json", ranks_name: str = "byte_bpe_50k.tiktoken",
+         max_open: int = 1 << 18, packer_items: int = 200_000) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit integers), ``doc_tokens,
+    sequence_id, offset, closed_by`` (whole, placement or levelling)."""
+    small_batches(docs.sparkSession)
+    cut = stored(cut_documents(docs, doc_id, text, window, end_id, json_name, ranks_name), "pack-cut")
+    items = cut.filter("item is not null")
+    packers = max(1, -(-items.count() // packer_items))
+    places = stored(place_items(items, packers, window, max_open), "pack-places")
+    laid = items.drop("sequence_id").withColumnRenamed("length", "whole").join(places, "item").select(
+        "doc_id", (F.col("start") + F.col("part")).alias("start"), "length",
+        F.expr("substring(ids, int(4 * part + 1), int(4 * length))").alias("ids"), "doc_tokens", "sequence_id", "offset", "closed_by")
+    full = cut.filter("item is null").select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id",
+                                             F.lit(0).cast("long").alias("offset"), F.lit("whole").alias("closed_by"))
+    return full.unionByName(laid)
+
+
+def closed_tokens(pieces: DataFrame) -> DataFrame:
+    """``closed_by, sequences, tokens``: how many windows were closed in which way, and what they hold."""
+    return pieces.groupBy("closed_by").agg(F.countDistinct("sequence_id").alias("sequences"), F.sum("length").alias("tokens"))
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
