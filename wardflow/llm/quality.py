@@ -155,24 +155,25 @@ def _first_estimate(rows: DataFrame) -> DataFrame:
         for i, j in _pairs()])
 
 
-def _log_determinants(groups: DataFrame) -> DataFrame:
-    return _cholesky(groups).select("g", sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0)).alias("det"))
+def _determined(groups: DataFrame) -> DataFrame:
+    """``groups`` with ``det``, the logarithm of the covariance's determinant."""
+    dets = _cholesky(groups).select("g", sum((2 * F.log(f"l{i}{i}") for i in range(len(FEATURES))), F.lit(0.0)).alias("det"))
+    return groups.join(dets, "g")
 
 
-def concentrated(rows: DataFrame, start: DataFrame, keep_share: float, most_steps: int, settled: float = 1e-6) -> DataFrame:
-    """Per group the estimate after concentration steps from ``start``, until no determinant falls by more than ``settled``
+def concentrated(rows: DataFrame, start: DataFrame, keep_share: float, most_steps: int, settled: float = 1e-3) -> DataFrame:
+    """Per group the estimate after concentration steps from ``start``, until no determinant changes by more than ``settled``
     (as a logarithm) or ``most_steps`` are taken, with that logarithm ``det``. One number a step reaches the driver."""
-    now = stored(start, "mcd-start")
-    dets = stored(_log_determinants(now), "mcd-det")
+    now = stored(start.withColumn("det", F.lit(float("inf"))), "mcd-start")
     for k in range(most_steps):
         near = _distances(rows, now)
         cut = near.groupBy("g").agg(F.percentile_approx("d", keep_share, 1000).alias("cut"))
-        now = stored(_moments(near.join(_spread(cut), ["g", "salt"]).filter("d <= cut")), f"mcd-{k}")
-        before, dets = dets, stored(_log_determinants(now), "mcd-det")
-        fell = dets.join(before.select("g", F.col("det").alias("was")), "g").agg(F.max(F.abs(F.col("was") - F.col("det")))).first()[0]
+        before, found = now, _moments(near.join(_spread(cut), ["g", "salt"]).filter("d <= cut"))
+        now = stored(_determined(stored(found, "mcd-moments")), f"mcd-{k}")
+        fell = now.join(before.select("g", F.col("det").alias("was")), "g").agg(F.max(F.abs(F.col("was") - F.col("det")))).first()[0]
         if fell is None or fell <= settled:
             break
-    return now.join(dets, "g")
+    return now
 
 
 def estimates(rows: DataFrame, keep_share: float, most_steps: int) -> DataFrame:
@@ -182,7 +183,7 @@ def estimates(rows: DataFrame, keep_share: float, most_steps: int) -> DataFrame:
     named = lambda df, name: df.withColumn("g", F.concat(F.lit(name), "g"))
     start = named(_first_estimate(rows), "a").unionByName(named(_moments(rows), "b"))
     found = concentrated(both, start, keep_share, most_steps)
-    best = found.groupBy(F.substring("g", 2, 1 << 30).alias("g")).agg(F.min_by(F.struct(*found.columns[1:]), "det").alias("e"))
+    best = found.groupBy(F.substring("g", 2, 1 << 30).alias("g")).agg(F.min_by(F.struct(*_values(), "det"), "det").alias("e"))
     return best.select("g", "e.*").join(rows.groupBy("g").agg(F.count("*").alias("n")), "g")
 
 
@@ -215,7 +216,7 @@ def _group(language: Column, source: Column) -> Column:
 
 
 def quality_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", language: str = "lang",
-                     source: str = "source", keep_share: float = 0.75, most_steps: int = 20, shrink_rows: int = 100,
+                     source: str = "source", keep_share: float = 0.75, most_steps: int = 12, shrink_rows: int = 100,
                      cut: float = 25.0, carry: tuple = ()) -> DataFrame:
     """``doc_id``, the statistics, ``base_failed``, ``distance`` (null in a group of failed documents only) and ``kept``.
 
