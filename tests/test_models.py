@@ -109,6 +109,26 @@ def test_stages_of_one_fit_are_the_shorter_fits(spark):
         assert abs(accuracy - sum(alone) / 3) < 1e-12, point
 
 
+def test_trees_of_a_forest_serve_the_larger_one(spark):
+    data = _made(spark)
+    grid = {"numTrees": [2, 5], "maxDepth": [3]}
+    assert models.fits_of("RandomForest", models.grid_points(grid)) == [[0, 1]]
+    _, rows = models.grid_search(data, "y", "fold", "RandomForest", grid, refit=False)
+    train, valid = data.where("fold <> 0"), data.where("fold = 0")
+    both = [models.random_forest("y", n, 3, models.SEED + i).fit(train) for i, n in enumerate((2, 3))]
+    votes = {r["id"]: (r["votes_2"], r["votes_5"]) for r in models.staged_votes(train, valid, "y", [2, 5], 3).collect()}
+    for r in valid.collect():
+        first, more = (m.predictRaw(r["features"]).toArray() for m in both)
+        assert np.allclose(votes[r["id"]], (first, first + more), atol=1e-12) and abs(sum(votes[r["id"]][1]) - 5) < 1e-9
+    alone = [models.random_forest("y", 2, 3).fit(data.where(f"fold <> {k}")).transform(data.where(f"fold = {k}")) for k in range(3)]
+    assert abs(rows[0][2] - sum(s.where("prediction = y").count() / s.count() for s in alone) / 3) < 1e-12
+
+
+def test_partitions_of_a_fit_dont_grow_with_small_ones():
+    assert [models.partitions_for(n) for n in (0, 1, 20_001, 480_000, 7_200_000, 12_000_001)] == [1, 1, 2, 24, 24, 25]
+    assert models.random_forest("y", 5, 20).getCacheNodeIds() and not models.random_forest("y", 5, 10).getCacheNodeIds()
+
+
 def test_fits_are_repeatable(spark):
     data = _made(spark)
     shuffled = models.sized(data.repartition(7), "id")
