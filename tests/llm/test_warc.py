@@ -1,4 +1,6 @@
+import glob
 import hashlib
+import os
 import random
 
 import pytest
@@ -66,3 +68,14 @@ def test_a_payload_that_differs_from_its_digest_stops_the_read(spark):
     spark.createDataFrame([("00" * 32, b"abc")], warc.PAYLOADS).write.parquet(path + "/payloads")
     with pytest.raises(Exception, match="payload differs from its digest"):
         warc.read_payloads(spark, path).collect()
+
+
+def test_archive_files_are_packed_well(spark):
+    """Letters of a small alphabet without repeats: only a codec that codes single letters makes them smaller."""
+    rnd = random.Random(2)
+    bodies = ["".join(rnd.choices("abcdefgh", k=4000)) for _ in range(60)]
+    path = warc.write_archive(pages(spark, [(i, "http://a/", b) for i, b in enumerate(bodies)]), shared_dir(spark, "test-warc"))
+    files = glob.glob(f"{path.removeprefix('file:')}/payloads/*.parquet")
+    assert sum(os.path.getsize(f) for f in files) < 0.6 * sum(map(len, bodies))
+    stored = {r["payload_digest"]: bytes(r["payload"]) for r in warc.read_payloads(spark, path).collect()}
+    assert stored == {hashlib.sha256(b.encode()).hexdigest(): b.encode() for b in bodies}

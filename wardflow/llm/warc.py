@@ -29,6 +29,8 @@ HEADERS = ("record_no long, payload_digest string, warc_header binary, http_head
 PAYLOADS = "payload_digest string, payload binary"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EOL = "\r\n"
+#: The archive's files: texts of a few hundred bytes to some megabytes, written once and read once.
+FILES = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 
 
 def _line(name: str, value: Column) -> Column:
@@ -85,11 +87,13 @@ def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: st
                   least_bytes: int = 100) -> str:
     """Write the tables ``headers`` and ``payloads`` under ``path``."""
     records = classify(pages, page_id, url, payload, least_bytes)
-    record_headers(records).write.mode("overwrite").parquet(f"{path}/headers")
+    record_headers(records).write.mode("overwrite").options(**FILES).parquet(f"{path}/headers")
     body = F.encode(F.coalesce(F.col(payload).cast("string"), F.lit("")), "UTF-8")
-    (pages.select(F.sha2(body, 256).alias("payload_digest"), body.alias("payload"))
-     .groupBy("payload_digest").agg(F.first("payload").alias("payload"))
-     .write.mode("overwrite").parquet(f"{path}/payloads"))
+    # Shuffled by the digest's 32 bytes, written by its 64 digits.
+    (pages.select(F.unhex(F.sha2(body, 256)).alias("digest"), body.alias("payload"))
+     .groupBy("digest").agg(F.first("payload").alias("payload"))
+     .select(F.lower(F.hex("digest")).alias("payload_digest"), "payload")
+     .write.mode("overwrite").options(**FILES).parquet(f"{path}/payloads"))
     return path
 
 
@@ -117,7 +121,9 @@ def rebuild(spark: SparkSession, path: str) -> DataFrame:
     heads = spark.read.schema(HEADERS).parquet(f"{path}/headers")
     block = F.when(header_field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     end = F.lit((EOL * 2).encode())
-    return heads.join(read_payloads(spark, path), "payload_digest").select(
+    digest = F.unhex("payload_digest").alias("digest")
+    heads = heads.select(digest, "record_no", "warc_header", "http_header")
+    return heads.join(read_payloads(spark, path).select(digest, "payload"), "digest").select(
         "record_no", F.concat("warc_header", "http_header", block, end).alias("record"), "payload")
 
 
