@@ -119,3 +119,15 @@ def test_stored_tables_leave_the_catalog(spark):
     names = io.drop_bucketed(spark)
     assert len(names) >= 2 and not io.drop_bucketed(spark)
     assert spark.read.parquet(*files).count() == 50
+
+
+def test_tables_bound_what_a_task_holds(spark):
+    """Shuffles of event rows go to tasks of 8 MB at most; a session that asks for less keeps its setting."""
+    was = spark.conf.get(session.ADVISORY)
+    try:
+        for set_to, held in (("64m", "8m"), ("67108864b", "8m"), ("1g", "8m"), ("16384k", "8m"), ("4m", "4m"), ("8388608", "8388608")):
+            spark.conf.set(session.ADVISORY, set_to)
+            ParquetTables(spark, SF_SMALL)
+            assert spark.conf.get(session.ADVISORY) == held, set_to
+    finally:
+        spark.conf.set(session.ADVISORY, was)
