@@ -95,3 +95,20 @@ def test_sequence_profile_equals_separate_aggregates(spark):
             for r in sep.join(top, K).collect()}
     assert got == want
     assert dict(fused.dtypes)["n"] == "bigint" and dict(fused.dtypes)["d"] == "bigint"
+
+
+def test_sequence_profile_by_the_token_itself(spark):
+    """Ordered by its tokens, or without pieces, a sequence is joined in one step and equals the two steps'."""
+    rnd = random.Random(5)
+    data = [(1, rnd.randint(1, 4), rnd.choice([None, 1, 2]), rnd.choice([None, "x", "y z", "y", ""]), rnd.choice([None, 1, 2]), rnd.choice([None, 1]))
+            for _ in range(300)]
+    df = spark.createDataFrame(data, "subject_id long, hadm_id long, o int, t string, sev int, mort int")
+    top = (["t", "sev", "mort"], ["sev", "mort"], "top")
+    for order, more in ((None, {}), ("o", {"pieces": False}), ("o", {})):
+        out = agg.sequence_profile(df, K, "t", order, "s", count_name="n", distinct_name="d", top=top, **more)
+        steps = out._jdf.queryExecution().optimizedPlan().toString().count("listagg(")
+        assert steps == (2 if order and not more else 1)
+        by = "o ASC NULLS FIRST, t" if order else "t"
+        want = df.groupBy(*K).agg(F.expr(f"listagg(t, ' ') WITHIN GROUP (ORDER BY {by})").alias("s"), F.count("t").alias("n"), F.countDistinct("t").alias("d"))
+        want = want.join(agg.top_record(df, K, *top), K)
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))

@@ -131,3 +131,21 @@ def test_tables_bound_what_a_task_holds(spark):
             assert spark.conf.get(session.ADVISORY) == held, set_to
     finally:
         spark.conf.set(session.ADVISORY, was)
+
+
+def test_stay_frames_are_hashed_not_sorted(spark, stored):
+    """The frames of a row per stay are the hashed sides of the feature table's joins: no task sorts them all."""
+    text = plan(C.model_data(stored))
+    assert text.count("ShuffledHashJoin") >= 9, text
+    assert len(re.findall(r"SortMergeJoin \[subject_id[^\]]*hadm_id", text)) == 0, text
+
+
+def test_generated_methods_stay_compiled(spark):
+    was = spark.conf.get(session.METHOD_LIMIT)
+    try:
+        for set_to, held in (("65535", "8000"), ("8000", "8000"), ("4000", "4000")):
+            spark.conf.set(session.METHOD_LIMIT, set_to)
+            ParquetTables(spark, SF_SMALL)
+            assert spark.conf.get(session.METHOD_LIMIT) == held
+    finally:
+        spark.conf.set(session.METHOD_LIMIT, was)

@@ -116,3 +116,24 @@ def test_masks_join_without_broadcast_too(spark):
         assert masks() == spread
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_masks_are_worked_out_once_a_row(spark):
+    """No filter before the aggregate repeats the rules; stays whose codes match nothing still get no row."""
+    from wardflow.operators.codes import code_masks
+    df = spark.createDataFrame([(1, "4255", 9), (1, "I21", 10), (2, "7999", 9), (3, None, 9), (4, "C35", 10), (5, "C34", 10)],
+                               "hadm_id long, icd_code string, icd_version int")
+    masks = code_masks(df, "hadm_id", "icd_code", "icd_version", P.parse_rules())
+    assert masks._jdf.queryExecution().optimizedPlan().toString().count("4259") == 1
+    assert {r["hadm_id"] for r in masks.collect()} == {1, 5}
+
+
+def test_ranges_that_overlap_are_in_apart_cases(spark):
+    from pyspark.sql import functions as F
+
+    from wardflow.operators.codes import range_mask
+    rules = [P.CodeRule(c, v, n, (), lo, hi) for c, v, n, lo, hi in
+             [("a", 9, 3, "100", "199"), ("b", 9, 3, "150", "250"), ("a", 9, 3, "300", "310"), ("c", 9, 4, "1500", "1509"), ("c", 10, 3, "A00", "A09")]]
+    df = spark.createDataFrame([("1501", 9), ("100", 9), ("200", 9), ("305", 9), ("A05", 10), ("A05", 9), ("1501", 10), (None, 9), ("1501", None)], "c string, v int")
+    got = [r[0] for r in df.select(F.coalesce(range_mask(rules, "c", "v"), F.lit(0))).collect()]
+    assert got == [1 | 2 | 4, 1, 2, 1, 4, 0, 0, 0, 0]
