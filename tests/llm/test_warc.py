@@ -79,3 +79,20 @@ def test_archive_files_are_packed_well(spark):
     assert sum(os.path.getsize(f) for f in files) < 0.6 * sum(map(len, bodies))
     stored = {r["payload_digest"]: bytes(r["payload"]) for r in warc.read_payloads(spark, path).collect()}
     assert stored == {hashlib.sha256(b.encode()).hexdigest(): b.encode() for b in bodies}
+
+
+def test_payloads_are_shuffled_once(spark):
+    """Written by digest, they stay where they are when the records are rebuilt; a copy of the files needs no catalog."""
+    rows = [(i, "http://a/", f"{i % 7} " * 100) for i in range(40)]
+    path = warc.write_archive(pages(spark, rows), shared_dir(spark, "test-warc"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = warc.rebuild(spark, path)
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # the headers
+        got = sorted((r["record_no"], bytes(r["payload"])) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sorted(p for _, p in got) == sorted(h.encode() for _, _, h in rows)
+    spark.sql(f"DROP TABLE {warc._table(path)}")
+    assert sorted((r["record_no"], bytes(r["payload"])) for r in warc.rebuild(spark, path).collect()) == got

@@ -19,6 +19,8 @@ an empty archive; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,27 +85,36 @@ def record_headers(records: DataFrame, date: str = "2024-01-01T00:00:00Z") -> Da
                     F.encode("http", "UTF-8").alias("http_header")))
 
 
+def _table(path: str) -> str:
+    """The name by which this session's catalog knows the payloads of the archive at ``path``."""
+    return f"wardflow_payloads_{hashlib.md5(path.encode()).hexdigest()}"
+
+
 def write_archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html",
                   least_bytes: int = 100) -> str:
-    """Write the tables ``headers`` and ``payloads`` under ``path``."""
+    """Write the tables ``headers`` and ``payloads`` under ``path``.
+
+    Payloads are written in buckets of their digest, as the shuffle that finds the copies leaves them, so that a reader in
+    this session (``rebuild``) shuffles headers only. Elsewhere the files are read as any Parquet.
+    """
     records = classify(pages, page_id, url, payload, least_bytes)
     record_headers(records).write.mode("overwrite").options(**FILES).parquet(f"{path}/headers")
     body = F.encode(F.coalesce(F.col(payload).cast("string"), F.lit("")), "UTF-8")
-    # Shuffled by the digest's 32 bytes, written by its 64 digits.
-    (pages.select(F.unhex(F.sha2(body, 256)).alias("digest"), body.alias("payload"))
-     .groupBy("digest").agg(F.first("payload").alias("payload"))
-     .select(F.lower(F.hex("digest")).alias("payload_digest"), "payload")
-     .write.mode("overwrite").options(**FILES).parquet(f"{path}/payloads"))
+    (pages.select(F.sha2(body, 256).alias("payload_digest"), body.alias("payload"))
+     .groupBy("payload_digest").agg(F.first("payload").alias("payload"))
+     .write.mode("overwrite").options(**FILES).option("path", f"{path}/payloads")
+     .bucketBy(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "payload_digest").saveAsTable(_table(path)))
     return path
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """The stored payloads, each checked against the digest it is stored under."""
-    rows = spark.read.schema(PAYLOADS).parquet(f"{path}/payloads")
-    digest = F.sha2("payload", 256)
-    return rows.select(F.when(digest == F.col("payload_digest"), digest).otherwise(
-        F.raise_error(F.concat(F.lit("payload differs from its digest "), "payload_digest")).cast("string"))
-        .alias("payload_digest"), "payload")
+    table = _table(path)
+    rows = spark.table(table) if spark.catalog.tableExists(table) else spark.read.schema(PAYLOADS).parquet(f"{path}/payloads")
+    # The digest stays the column that the rows are bucketed by.
+    same = F.sha2("payload", 256) == F.col("payload_digest")
+    return rows.select("payload_digest", F.when(same, F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("payload differs from its digest "), "payload_digest")).cast("binary")).alias("payload"))
 
 
 def header_field(name: str) -> Column:
@@ -121,9 +132,7 @@ def rebuild(spark: SparkSession, path: str) -> DataFrame:
     heads = spark.read.schema(HEADERS).parquet(f"{path}/headers")
     block = F.when(header_field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     end = F.lit((EOL * 2).encode())
-    digest = F.unhex("payload_digest").alias("digest")
-    heads = heads.select(digest, "record_no", "warc_header", "http_header")
-    return heads.join(read_payloads(spark, path).select(digest, "payload"), "digest").select(
+    return heads.join(read_payloads(spark, path), "payload_digest").select(
         "record_no", F.concat("warc_header", "http_header", block, end).alias("record"), "payload")
 
 
