@@ -149,3 +149,19 @@ def test_generated_methods_stay_compiled(spark):
             assert spark.conf.get(session.METHOD_LIMIT) == held
     finally:
         spark.conf.set(session.METHOD_LIMIT, was)
+
+
+def test_joins_of_small_partitions_are_hashed(spark, stored):
+    """Where no side can be sent to every task, the events of a stay are joined by hash, not by two sorts."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", session.LOCAL_MAP)}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set(session.LOCAL_MAP, "0b")
+        df = C.drug_distinct(tables(spark, SF_SMALL))
+        assert spark.conf.get(session.LOCAL_MAP) == "16m"
+        assert df.count() == df._jdf.queryExecution().executedPlan().executeCollect().__len__()
+        text = plan(df).split("== Initial Plan ==")[0]
+        assert text.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in text, text
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
