@@ -136,6 +136,55 @@ def test_fits_are_repeatable(spark):
     assert a == b
 
 
+def test_a_deep_forest_is_grown_in_parts(spark, monkeypatch):
+    """However many trees there are, the driver never holds more than so many nodes (or one tree)."""
+    data = _made(spark)
+    grown, make = [], models.random_forest
+
+    def recorded(label, num_trees=100, max_depth=10, seed=models.SEED):
+        forest = make(label, num_trees, max_depth, seed)
+        fit = forest.fit
+        forest.fit = lambda df: grown.append((num_trees, seed, fit(df))) or grown[-1][2]
+        return forest
+
+    monkeypatch.setattr(models, "random_forest", recorded)
+    monkeypatch.setattr(models, "NODES_AT_ONCE", 150)
+    train, valid = data.where("fold <> 0"), data.where("fold = 0")
+    out = models.staged_votes(train, valid, "y", [3, 6], 6)
+    assert out.columns == [*valid.columns, "votes_3", "votes_6"]
+    assert len(grown) > 2 and sum(n for n, _, _ in grown) == 6
+    assert all(n == 1 or m.totalNumNodes <= 150 for n, _, m in grown), [(n, m.totalNumNodes) for n, _, m in grown]
+    assert len({seed for _, seed, _ in grown}) == len(grown)
+    votes, trees = {r["id"]: r for r in out.collect()}, np.cumsum([n for n, _, _ in grown])
+    assert 3 in trees and trees[-1] == 6
+    for r in valid.collect():
+        want = np.cumsum([m.predictRaw(r["features"]).toArray() for _, _, m in grown], axis=0)
+        assert np.allclose(votes[r["id"]]["votes_6"], want[-1]) and np.allclose(votes[r["id"]]["votes_3"], want[list(trees).index(3)])
+    assert len(votes) == valid.count()
+    # A fit of such a forest is grown when it scores, with the columns of a fitted one.
+    model = models.fitted("RandomForest", train, "y", train.count(), numTrees=3, maxDepth=6)
+    assert isinstance(model, models.GrownForest)
+    for r in models.score(model, valid, "y", keep=("id",)).collect():
+        assert 0 <= r["probability_1"] <= 1 and r["prediction"] == int(r["probability_1"] > 0.5)
+
+
+def test_scores_of_a_forest_in_one_part_are_the_fitted_ones(spark):
+    data = _made(spark)
+    train, valid = data.where("fold <> 0"), data.where("fold = 0")
+    model = models.fitted("RandomForest", train, "y", 160, numTrees=5, maxDepth=4)
+    assert not isinstance(model, models.GrownForest)
+    want = {r["id"]: r for r in models.score(model, valid, "y", keep=("id",)).collect()}
+    for r in models.score(models.GrownForest(train, "y", 5, 4), valid, "y", keep=("id",)).collect():
+        assert r["prediction"] == want[r["id"]]["prediction"] and abs(r["probability_1"] - want[r["id"]]["probability_1"]) < 1e-12
+
+
+def test_fits_under_way_fit_the_driver():
+    points = models.grid_points({"numTrees": [50, 100], "maxDepth": [10, 20]})
+    gb = 1 << 30
+    assert [models.fits_at_once("RandomForest", points, 100_000, h) for h in (gb // 2, gb, 4 * gb, 16 * gb)] == [1, 1, 3, 14]
+    assert models.fits_at_once("RandomForest", points, 100, gb) > 8 and models.fits_at_once("LogisticRegression", [{"C": 1}], 10**9, gb) > 8
+
+
 def test_scores_are_decided_exactly(spark):
     """3, 9, 65 and 8 give a score of exactly 0, which doubles put above it."""
     df = spark.createDataFrame([(3, 9, 65, 8), (3, 9, 64, 8), (3, 9, 66, 8)], "a int, b int, c int, d long")
