@@ -1,6 +1,7 @@
 """Plans: nothing runs while they are built, and each table is read no more often than it must."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from wardflow.plans import clinical as C
 from wardflow.sources import io
 from wardflow.plans import modelling as M
 from wardflow.sources.synthetic import tables
-from wardflow.sources.tables import SCHEMAS, ParquetTables, stage_tables
+from wardflow.sources.tables import SCHEMAS, ParquetTables, Tables, stage_tables
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +166,63 @@ def test_joins_of_small_partitions_are_hashed(spark, stored):
     finally:
         for k, v in was.items():
             spark.conf.set(k, v)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_staged_groups_leave_their_rows_only(spark, stored):
+    """Each group's shuffle files and written ranges are gone once it is stored; the joins shuffle nothing."""
+    def left_over():
+        return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session._own_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, folders, was = shuffle_files(spark), left_over(), spark.conf.get(session.CLEANUP)
+    groups = C.staged_groups(stored, buckets=3)
+    for _ in range(50):  # files are removed in the background
+        more = shuffle_files(spark) - files
+        if not more:
+            break
+        time.sleep(0.2)
+    assert not more and spark.conf.get(session.CLEANUP) == was
+    assert left_over() - folders == {groups.root.rsplit("/", 1)[-1]}
+    df = C.model_data(stored, stored=groups)
+    assert "Exchange" not in plan(df)
+    want = C.model_data(stored)
+    assert df.dtypes == want.dtypes and df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+    tables_held = list(groups.tables)
+    groups.drop()
+    assert not left_over() - folders and not any(spark.catalog.tableExists(name) for name in tables_held)
+
+
+def test_staged_groups_hold_what_the_columns_need(spark, stored):
+    columns = ["hadm_id", "num_unique_drugs", "num_hospital_admissions"]
+    groups = C.staged_groups(stored, columns, buckets=2)
+    assert set(groups) == {"stays", "prescriptions"} and groups["prescriptions"].columns == ["subject_id", "hadm_id", "num_unique_drugs"]
+    df, want = C.model_data(stored, stored=groups, columns=columns), C.model_data(stored).select(*columns)
+    assert df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+
+
+def test_staged_groups_of_a_stay_id_that_patients_share(spark, stored):
+    """Rows per stay keys and ages per patient, as in one plan, where a stay id has two patients and a patient no age."""
+    class Shared(Tables):
+        def _load(self, name):
+            df = stored.get(name)
+            if name == "admissions":
+                return df.unionByName(df.where("hadm_id < 60").withColumn("subject_id", F.col("subject_id") + 1))
+            return df.withColumn("anchor_age", F.when(F.col("subject_id") % 7 > 0, F.col("anchor_age"))) if name == "patients" else df
+
+    columns = ["subject_id", "hadm_id", "age", "charlson_comorbidity_index", "num_emar_medications"]
+    t = Shared(spark)
+    df, want = C.model_data_staged(t, columns), C.model_data(t, columns=columns)
+    assert df.count() > stored.admissions.where("deathtime is null").count() and want.where("age is null").count() > 0
+    assert df.exceptAll(want).isEmpty() and want.exceptAll(df).isEmpty()
+
+
+@pytest.mark.parametrize("name, exchanges", [("impute", 0), ("preview", 0), ("profile", 1), ("feature_covariance", 1)])
+def test_feature_queries_shuffle_one_group_at_a_time(spark, name, exchanges):
+    text = plan(M.QUERIES[name](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"\bExchange\b", text)) == exchanges, text
