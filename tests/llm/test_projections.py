@@ -109,3 +109,31 @@ def test_edge_rows(spark):
     assert all(got[i] == (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10)) and got[None] == (0, None)
     assert got[11] == got[12] == (2, 11)
     assert projections.embedding_duplicates(frame(spark, [])).count() == 0
+
+
+def dense_spot(n, m, cosine):
+    """A label of vectors in all directions, and pairs at cosine 0.981 in one spot that a small sample doesn't know."""
+    rng, rows = np.random.default_rng(7), []
+    for k in range(n):
+        rows.append((k, rng.normal(size=64).tolist(), 0))
+    spot = rng.normal(size=64)
+    spot /= np.linalg.norm(spot)
+    for k in range(m // 2):
+        x = rng.normal(size=64)
+        x = np.sqrt(cosine) * spot + np.sqrt(1 - cosine) * x / np.linalg.norm(x)
+        rows += [(n + 2 * k, x.tolist(), 0), (n + 2 * k + 1, near(rng, x, np.arccos(.981)).tolist(), 0)]
+    return rows
+
+
+def test_a_dense_spot_that_the_sample_misses(spark):
+    rows = dense_spot(2400, 120, .93)
+    links, find = brute(rows[2400:])  # in the spot; the others have none
+    got = {r["vec_id"]: r for r in projections.embedding_duplicates(frame(spark, rows), window=2, sample=6).collect()}
+    right = [got[i]["n_links"] == links.get(i, 0) and got[i]["component_id"] == find(i) for i in range(2400, 2520)]
+    assert np.mean(right) >= 0.995 and sum(got[i]["n_links"] for i in range(2400)) == 0
+
+
+def test_shared_bits():
+    a = np.array([0, 5, (1 << 60) - 1, 1 << 59, (1 << 59) - 1, 1 << 30])
+    b = np.array([0, 4, (1 << 60) - 2, 0, 1 << 59, (1 << 31) - 1])
+    assert projections.shared_bits(a, b, 60).tolist() == [60, 59, 59, 0, 0, 30]
